@@ -36,17 +36,32 @@ def assign_cohort(sales: DataFrame) -> DataFrame:
 def customer_months(sales: DataFrame) -> DataFrame:
     """One row per customer and active month, with cohort and home/away flags.
 
-    The only pass over invoice rows that cohort tables need. After it a
-    customer has at most one row per calendar month, so the window is safe.
+    The only pass over invoice rows that cohort tables need, and one shuffle: a
+    customer's months are collected map-side as sets, which hold no more than
+    the calendar's months, and the first of them is the cohort.
     """
     active = (
         sales.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id", "month")
-        .agg(F.bool_or("is_home").alias("home"), F.bool_or(~F.col("is_home")).alias("away"))
+        .groupBy("customer_id")
+        .agg(
+            F.collect_set(F.when(F.col("is_home"), F.col("month"))).alias("home_months"),
+            F.collect_set(F.when(~F.col("is_home"), F.col("month"))).alias("away_months"),
+        )
+        .withColumn("months", F.array_union("home_months", "away_months"))
     )
-    first = F.min("month").over(W.partitionBy("customer_id"))
-    return active.withColumn("cohort_month", first).withColumn(
-        "cohort_index", cohort_index("month", "cohort_month")
+    return active.select(
+        "customer_id",
+        F.array_min("months").alias("cohort_month"),
+        F.explode("months").alias("month"),
+        "home_months",
+        "away_months",
+    ).select(
+        "customer_id",
+        "month",
+        F.array_contains("home_months", F.col("month")).alias("home"),
+        F.array_contains("away_months", F.col("month")).alias("away"),
+        "cohort_month",
+        cohort_index("month", "cohort_month").alias("cohort_index"),
     )
 
 

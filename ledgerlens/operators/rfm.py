@@ -16,17 +16,38 @@ MEASURES = {"recency": "r", "frequency": "f", "monetary": "m"}
 QUARTILES = (25, 50, 75)
 LOWEST_EDGE = -1
 
+SPEND = "decimal(28,2)"
+
 
 def rfm_base(sales: DataFrame) -> DataFrame:
     """Per customer: last and first purchase, invoice rows, spend."""
+    return _purchases(sales, ["customer_id"])
+
+
+def customer_sides(sales: DataFrame) -> DataFrame:
+    """``rfm_base`` apart for home and away: two rows per customer at most."""
+    return _purchases(sales, ["customer_id", "is_home"])
+
+
+def merge_sides(sides: DataFrame) -> DataFrame:
+    """``rfm_base`` from ``customer_sides``, without another pass over sales."""
+    return sides.groupBy("customer_id").agg(
+        F.max("last_ts").alias("last_ts"),
+        F.min("first_ts").alias("first_ts"),
+        F.sum("frequency").alias("frequency"),
+        F.sum("monetary").cast(SPEND).alias("monetary"),
+    )
+
+
+def _purchases(sales: DataFrame, by: list[str]) -> DataFrame:
     return (
         sales.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
+        .groupBy(*by)
         .agg(
             F.max("invoice_ts").alias("last_ts"),
             F.min("invoice_ts").alias("first_ts"),
             F.count("invoice_no").alias("frequency"),
-            F.sum("amount").alias("monetary"),
+            F.sum("amount").cast(SPEND).alias("monetary"),
         )
     )
 
@@ -56,11 +77,12 @@ def rfm_scores(rfm: DataFrame, edges: DataFrame, on_bad_edges: str = "collapse")
     wide = edges.agg(
         F.struct(*[F.max(F.when(F.col("measure") == m, row)).alias(m) for m in MEASURES]).alias("edges")
     )
-    scored = rfm.withColumn("edges", wide.scalar())
-    for measure, score in MEASURES.items():
-        edge = [F.col("edges")[measure][f] for f in fields]
-        scored = scored.withColumn(score, _score(F.col(measure), edge, on_bad_edges == "error"))
-    return scored.drop("edges")
+    strict = on_bad_edges == "error"
+    scores = {
+        score: _score(F.col(measure), [F.col("edges")[measure][f] for f in fields], strict)
+        for measure, score in MEASURES.items()
+    }
+    return rfm.withColumn("edges", wide.scalar()).withColumns(scores).drop("edges")
 
 
 def _score(x: Column, edges: list[Column], strict: bool) -> Column:
@@ -139,23 +161,14 @@ def segment_cum_share(summary: DataFrame) -> DataFrame:
     )
 
 
-def customer_sides(sales: DataFrame) -> DataFrame:
-    """One row per customer and side (home or away) they bought on."""
-    return (
-        sales.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id", "is_home")
-        .agg(F.sum("amount").alias("side_revenue"))
-    )
-
-
 def segments_by_home(labelled: DataFrame, sides: DataFrame) -> DataFrame:
     """Segment mix at home and away; customers of both sides count in each."""
     counts = (
         labelled.filter(F.col("category").isNotNull())
         .select("customer_id", "category")
-        .join(sides, "customer_id")
+        .join(sides.select("customer_id", "is_home", "monetary"), "customer_id")
         .groupBy("is_home", "category")
-        .agg(F.count("*").alias("customers"), F.sum("side_revenue").alias("revenue"))
+        .agg(F.count("*").alias("customers"), F.sum("monetary").alias("revenue"))
     )
     side = W.partitionBy("is_home")
     return counts.withColumn("customer_share", ratio("customers", F.sum("customers").over(side))).withColumn(

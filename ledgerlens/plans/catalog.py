@@ -60,11 +60,11 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.scored_customers(_sales(spark, sf_dir), AS_OF)
+    return flows.scored_customers(rfm.rfm_base(_sales(spark, sf_dir)), AS_OF)
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.labelled_customers(_sales(spark, sf_dir), AS_OF, default_segments(spark))
+    return flows.labelled_customers(rfm.rfm_base(_sales(spark, sf_dir)), AS_OF, default_segments(spark))
 
 
 def _summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -449,7 +449,7 @@ def weakest_cohort(spark, sf_dir):
 
 @query
 def segments_by_home(spark, sf_dir):
-    return rfm.segments_by_home(_labelled(spark, sf_dir), rfm.customer_sides(_sales(spark, sf_dir)))
+    return flows.segment_mix(_sales(spark, sf_dir), AS_OF, default_segments(spark))
 
 
 @query

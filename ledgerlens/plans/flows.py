@@ -19,29 +19,28 @@ def prepared_sales(
     return raw.transform(clean.clean_sales, ts_format, on_error).transform(clean.add_features, home)
 
 
-def customer_rfm(sales: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Recency, frequency, spend per customer, stored: edges and scores both
-    read it, and it is small next to the invoices."""
-    return materialise(rfm.add_recency(rfm.rfm_base(sales), as_of))
+def scored_customers(base: DataFrame, as_of: dt.datetime, on_bad_edges: str = "collapse") -> DataFrame:
+    """Customers of ``rfm_base`` with recency, scores and RFM code.
 
-
-def scored_customers(sales: DataFrame, as_of: dt.datetime, on_bad_edges: str = "collapse") -> DataFrame:
-    """Customers with scores and RFM code."""
-    customers = customer_rfm(sales, as_of)
+    They are stored first: edges and scores both read them, and they are few
+    next to the invoices.
+    """
+    customers = materialise(rfm.add_recency(base, as_of))
     scored = rfm.rfm_scores(customers, rfm.rfm_edges(customers), on_bad_edges)
     return scored.withColumn("rfm_code", rfm.rfm_code())
 
 
 def labelled_customers(
-    sales: DataFrame, as_of: dt.datetime, lookup: DataFrame, on_bad_edges: str = "collapse"
+    base: DataFrame, as_of: dt.datetime, lookup: DataFrame, on_bad_edges: str = "collapse"
 ) -> DataFrame:
     """Scored customers with their segment."""
-    return rfm.drop_key(rfm.join_segments(scored_customers(sales, as_of, on_bad_edges), lookup))
+    return rfm.drop_key(rfm.join_segments(scored_customers(base, as_of, on_bad_edges), lookup))
 
 
-def retention_table(sales: DataFrame, scope: str = "all") -> DataFrame:
-    months = cohort.customer_months(sales)
-    return cohort.retention(cohort.cohort_counts(months, scope))
+def segment_mix(sales: DataFrame, as_of: dt.datetime, lookup: DataFrame) -> DataFrame:
+    """Segments at home and away, from a single pass over the invoices."""
+    sides = materialise(rfm.customer_sides(sales))
+    return rfm.segments_by_home(labelled_customers(rfm.merge_sides(sides), as_of, lookup), sides)
 
 
 def write_analysis(
@@ -56,9 +55,9 @@ def write_analysis(
 ) -> list[str]:
     """Run the whole analysis and write each result table under ``out``.
 
-    The clean rows, the customer months and the labelled customers are written
-    once; every later table reads those, so the invoices are shuffled for
-    duplicates a single time.
+    The clean rows, customer months, customer sides and labelled customers are
+    written once, and every later table reads those: the invoices are shuffled
+    for duplicates a single time.
     """
     written = []
 
@@ -69,7 +68,8 @@ def write_analysis(
 
     sales = store("sales", prepared_sales(raw, ts_format, home))
     months = store("customer_months", cohort.customer_months(sales))
-    labelled = store("customers", labelled_customers(sales, as_of, lookup, on_bad_edges))
+    sides = store("customer_sides", rfm.customer_sides(sales))
+    labelled = store("customers", labelled_customers(rfm.merge_sides(sides), as_of, lookup, on_bad_edges))
     monthly = store("monthly_sales", metrics.monthly_sales(sales))
     summary = store("segment_summary", rfm.segment_summary(labelled))
     tables = {
@@ -80,7 +80,7 @@ def write_analysis(
         "avg_month_revenue": metrics.avg_month_revenue(sales),
         "new_vs_returning": cohort.new_vs_returning(months, monthly),
         "heatmap_cells": report.heatmap_cells(months),
-        "segments_by_home": rfm.segments_by_home(labelled, rfm.customer_sides(sales)),
+        "segments_by_home": rfm.segments_by_home(labelled, sides),
         "segment_cum_share": rfm.segment_cum_share(summary),
         "treemap_cells": report.treemap_cells(summary),
         "pareto_customers": ranking.pareto_customers(ranking.pareto_curve(labelled)),
