@@ -29,8 +29,11 @@ def elapsed_days(as_of: dt.datetime, ts: Column | str) -> Column:
     Not a calendar ``datediff``: 23:00 to 01:00 is 0 days, and 23 hours into
     the future is -1. EXTRACT truncates towards zero, hence the correction.
     """
+    if as_of.tzinfo is not None:
+        raise ValueError("as_of must be a naive datetime, like the invoice times")
     ts = F.col(ts) if isinstance(ts, str) else ts
-    gap = F.lit(as_of).cast("timestamp_ntz") - ts.cast("timestamp_ntz")
+    # As text: a datetime literal would be a zoned timestamp.
+    gap = F.lit(as_of.isoformat(sep=" ")).cast("timestamp_ntz") - ts.cast("timestamp_ntz")
     days = F.extract(F.lit("DAY"), gap)
     return (days - F.when(gap < F.make_dt_interval(days), 1).otherwise(0)).cast("long")
 
