@@ -12,22 +12,28 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlens.functions.dates import cohort_index
 from ledgerlens.operators.metrics import ratio
+from ledgerlens.session import stored
 
 SCOPES = ("all", "home", "away")
 
 
+def first_months(sales: DataFrame) -> DataFrame:
+    """One row per customer: the month of the first purchase."""
+    return (
+        sales.filter(F.col("customer_id").isNotNull())
+        .groupBy("customer_id")
+        .agg(F.min("month").alias("cohort_month"))
+    )
+
+
 def assign_cohort(sales: DataFrame) -> DataFrame:
     """Add cohort month and index to every invoice row.
 
     A window by customer would sort all rows of a customer in one task. The
-    first months are aggregated map-side and joined back instead: the join is
-    broadcast if they prove small, and else splits a hot customer (AQE).
+    first months are aggregated map-side, stored and joined back instead: the
+    join is broadcast if they prove small, and else AQE splits a hot customer.
     """
-    first = (
-        sales.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(F.min("month").alias("cohort_month"))
-    )
+    first = stored(first_months(sales), "first-months")
     return sales.join(first, "customer_id", "left").withColumn(
         "cohort_index", cohort_index("month", "cohort_month")
     )

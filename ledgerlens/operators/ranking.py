@@ -110,15 +110,16 @@ def pareto_curve(base: DataFrame) -> DataFrame:
 def pareto_customers(curve: DataFrame) -> DataFrame:
     """Revenue share of the top 1 %, 2 %, ... 100 % of customers.
 
-    The top k % are the ``ceil(k * customers / 100)`` with the highest spend.
-    Each spend level yields the percents whose last customer stands on it, so
-    the curve is read once and nothing is joined.
+    The top k % are the ``floor(k * customers / 100)`` with the highest spend.
+    Each spend level yields the percents whose last customer stands on it (the
+    first level also those of no customer yet), so the curve is read once and
+    nothing is joined.
     """
     above = F.col("top_customers") - F.col("customers")
-    first = F.floor(above * 100 / F.col("all_customers")) + 1
-    last = F.floor(F.col("top_customers") * 100 / F.col("all_customers"))
-    reached = F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<bigint>"))
-    chosen = F.ceil(F.col("percent") * F.col("all_customers") / 100)
+    first = F.when(above == 0, 1).otherwise(F.ceil((above + 1) * 100 / F.col("all_customers")))
+    last = F.least(F.ceil((F.col("top_customers") + 1) * 100 / F.col("all_customers")) - 1, F.lit(100))
+    reached = F.when(first <= last, F.sequence(first.cast("long"), last)).otherwise(F.array().cast("array<bigint>"))
+    chosen = F.floor(F.col("percent") * F.col("all_customers") / 100)
     surplus = (F.col("top_customers") - chosen) * F.col("monetary")
     revenue = (F.col("top_revenue") - surplus).cast("decimal(38,2)")
     return (

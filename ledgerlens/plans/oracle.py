@@ -359,12 +359,13 @@ ORACLE = {
     ),
     "pareto_customers": _with(
         _BASE,
-        "SELECT percent, position AS customers, CAST(upto AS DOUBLE) AS revenue, "
-        "CAST(upto AS DOUBLE) / CAST(total AS DOUBLE) AS revenue_share FROM range(1, 101) AS p(percent) JOIN ("
-        "SELECT row_number() OVER (ORDER BY monetary DESC, customer_id) AS position, "
-        "sum(monetary) OVER (ORDER BY monetary DESC, customer_id ROWS UNBOUNDED PRECEDING) AS upto, "
-        "sum(monetary) OVER () AS total, count(*) OVER () AS n FROM base) "
-        "ON position = (percent * n + 99) // 100",
+        "SELECT percent, CAST(percent * n // 100 AS BIGINT) AS customers, "
+        "CAST(coalesce(upto, 0) AS DOUBLE) AS revenue, "
+        "CAST(coalesce(upto, 0) AS DOUBLE) / CAST(total AS DOUBLE) AS revenue_share "
+        "FROM range(1, 101) AS p(percent) CROSS JOIN (SELECT count(*) AS n, sum(monetary) AS total FROM base) "
+        "LEFT JOIN (SELECT row_number() OVER (ORDER BY monetary DESC, customer_id) AS position, "
+        "sum(monetary) OVER (ORDER BY monetary DESC, customer_id ROWS UNBOUNDED PRECEDING) AS upto FROM base) "
+        "ON position = percent * n // 100",
     ),
     "segment_cum_share": _with(
         _SCORED,

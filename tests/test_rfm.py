@@ -111,7 +111,7 @@ def test_pareto_equals_brute_force(spark, cents):
     ordered = sorted((Decimal(c) / 100 for c in cents), reverse=True)
     assert [r.percent for r in rows] == list(range(1, 101))
     for r in rows:
-        take = -(-r.percent * len(cents) // 100)
+        take = r.percent * len(cents) // 100
         assert (r.customers, r.revenue) == (take, sum(ordered[:take]))
 
 
