@@ -12,24 +12,34 @@ def ratio(part: Column | str, whole: Column | str) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def country_panorama(sales: DataFrame) -> DataFrame:
-    """Per country: customers, invoices, amount range, mean and sum, items.
-
-    Both distinct counts are keyed on (country, value) before the final
-    per-country step, so a country with most of the rows is spread out.
+def sums_and_distincts(sales: DataFrame, key: str, sums: list[Column], distincts: list[Column]) -> DataFrame:
+    """Plain and distinct aggregates by ``key``, joined on it.
+
+    In one aggregate Spark would repeat every row for each distinct count and
+    carry the sums along. Apart, the sums combine map-side to a row per key,
+    the distinct values travel alone, re-keyed on (key, value) so that a key
+    with most rows is spread out, and they skip any removal of duplicate rows
+    before them. The join sees one row per key.
     """
+    known = sales.filter(F.col(key).isNotNull())
+    return known.groupBy(key).agg(*sums).join(known.groupBy(key).agg(*distincts), key)
+
+
+def country_panorama(sales: DataFrame) -> DataFrame:
+    """Per country: customers, invoices, amount range, mean and sum, items."""
+    sums = [
+        F.min("amount").alias("min_amount"),
+        F.max("amount").alias("max_amount"),
+        F.sum("amount").alias("revenue"),
+        F.count("amount").alias("amounts"),
+        F.sum("quantity").alias("items"),
+    ]
+    distincts = [
+        F.countDistinct("customer_id").alias("customers"),
+        F.countDistinct("invoice_no").alias("invoices"),
+    ]
     return (
-        sales.filter(F.col("country").isNotNull())
-        .groupBy("country")
-        .agg(
-            F.countDistinct("customer_id").alias("customers"),
-            F.countDistinct("invoice_no").alias("invoices"),
-            F.min("amount").alias("min_amount"),
-            F.max("amount").alias("max_amount"),
-            F.sum("amount").alias("revenue"),
-            F.count("amount").alias("amounts"),
-            F.sum("quantity").alias("items"),
-        )
+        sums_and_distincts(sales, "country", sums, distincts)
         .withColumn("mean_amount", ratio("revenue", "amounts"))
         .drop("amounts")
         .orderBy(F.desc("revenue"), "country")
@@ -38,17 +48,12 @@ def country_panorama(sales: DataFrame) -> DataFrame:
 
 def monthly_sales(sales: DataFrame) -> DataFrame:
     """Per month: invoices, customers, items, revenue."""
-    return (
-        sales.filter(F.col("month").isNotNull())
-        .groupBy("month")
-        .agg(
-            F.countDistinct("invoice_no").alias("invoices"),
-            F.countDistinct("customer_id").alias("customers"),
-            F.sum("quantity").alias("items"),
-            F.sum("amount").alias("revenue"),
-        )
-        .orderBy("month")
-    )
+    sums = [F.sum("quantity").alias("items"), F.sum("amount").alias("revenue")]
+    distincts = [
+        F.countDistinct("invoice_no").alias("invoices"),
+        F.countDistinct("customer_id").alias("customers"),
+    ]
+    return sums_and_distincts(sales, "month", sums, distincts).orderBy("month")
 
 
 def peak_month(monthly: DataFrame) -> DataFrame:
