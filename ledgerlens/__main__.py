@@ -6,7 +6,7 @@ import argparse
 import datetime as dt
 
 from ledgerlens.plans.flows import write_analysis
-from ledgerlens.schema import HOME_COUNTRY
+from ledgerlens.schema import AMOUNT_SCALE, HOME_COUNTRY
 from ledgerlens.session import build_session
 from ledgerlens.sources.sales import read_sales, read_segments
 from ledgerlens.sources.segments import default_segments
@@ -21,6 +21,7 @@ def main() -> None:
     parser.add_argument("--segments", help="CSV with columns rfm, Categoria; default: built-in rules")
     parser.add_argument("--as-of", type=dt.datetime.fromisoformat, help="default: now")
     parser.add_argument("--home", default=HOME_COUNTRY)
+    parser.add_argument("--amount-scale", type=int, default=AMOUNT_SCALE, help="decimals of an amount")
     parser.add_argument("--on-bad-edges", choices=["collapse", "error"], default="collapse")
     args = parser.parse_args()
     spark = build_session()
@@ -34,6 +35,7 @@ def main() -> None:
         args.ts_format,
         args.home,
         args.on_bad_edges,
+        args.amount_scale,
     )
     print("\n".join(written))
 

@@ -6,27 +6,38 @@ from functools import reduce
 
 from pyspark.sql import Column, functions as F, types as T
 
-from ledgerlens.schema import AMOUNT
+from ledgerlens.schema import AMOUNT_SCALE, amount_type
 
-# Wide enough to see decimals that AMOUNT would round away.
+# Wide enough to see decimals that the wanted type would round away.
 _EXACT = T.DecimalType(28, 10)
 
 
-def parse_decimal_comma(text: Column | str, on_error: str = "fail", to: T.DecimalType = AMOUNT) -> Column:
+def _exactly(text: Column, number: Column, to: T.DataType, on_error: str) -> Column:
+    """``number`` as ``to``; text that is no number, or that would be rounded,
+    fails the query or becomes null."""
+    value = number.try_cast(to)
+    fits = value == number
+    if on_error == "null":
+        return F.when(fits, value)
+    failed = F.raise_error(F.concat(F.lit(f"not {to.simpleString()}: "), text)).cast(to)
+    return F.when(fits, value).when(text.isNotNull(), failed)
+
+
+def parse_decimal_comma(text: Column | str, on_error: str = "fail", scale: int = AMOUNT_SCALE) -> Column:
     """``"139,12"`` to 139.12.
 
     Thousands separators are never guessed: ``"1.234,56"`` is an error, and so
-    is a value with more decimals than ``to`` holds. Errors fail the query or,
-    with ``on_error="null"``, become null.
+    is a value with more decimals than ``scale``.
     """
     text = F.col(text) if isinstance(text, str) else text
-    exact = F.replace(text, F.lit(","), F.lit(".")).try_cast(_EXACT)
-    amount = exact.try_cast(to)
-    fits = amount == exact
-    if on_error == "null":
-        return F.when(fits, amount)
-    failed = F.raise_error(F.concat(F.lit("not an amount: "), text))
-    return F.when(fits, amount).when(text.isNotNull(), failed.cast(to))
+    number = F.replace(text, F.lit(","), F.lit(".")).try_cast(_EXACT)
+    return _exactly(text, number, amount_type(scale), on_error)
+
+
+def parse_whole(text: Column | str, on_error: str = "fail") -> Column:
+    """``"17850"``, or ``"17850.0"`` as a float column was exported, to 17850."""
+    text = F.col(text) if isinstance(text, str) else text
+    return _exactly(text, text.try_cast(_EXACT), T.LongType(), on_error)
 
 
 def round_rate(rate: Column | str, places: int = 3) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.dates import month_floor, parse_timestamp
 from ledgerlens.functions.numbers import all_of, parse_decimal_comma
-from ledgerlens.schema import HOME_COUNTRY
+from ledgerlens.schema import AMOUNT_SCALE, HOME_COUNTRY
 
 
 def drop_negative(sales: DataFrame) -> DataFrame:
@@ -38,17 +38,21 @@ def drop_missing(sales: DataFrame) -> DataFrame:
     return sales.filter(all_of(present))
 
 
-def type_columns(sales: DataFrame, ts_format: str | None = None, on_error: str = "fail") -> DataFrame:
+def type_columns(
+    sales: DataFrame, ts_format: str | None = None, on_error: str = "fail", scale: int = AMOUNT_SCALE
+) -> DataFrame:
     """Parse dates (when they are text) and comma-decimal amounts."""
     if dict(sales.dtypes)["invoice_ts"] == "string":
         if ts_format is None:
             raise ValueError("text dates need an explicit ts_format")
         sales = sales.withColumn("invoice_ts", parse_timestamp("invoice_ts", ts_format, on_error))
-    amount = parse_decimal_comma("amount_txt", on_error).alias("amount")
+    amount = parse_decimal_comma("amount_txt", on_error, scale).alias("amount")
     return sales.select(*[amount if c == "amount_txt" else F.col(f"`{c}`") for c in sales.columns])
 
 
-def clean_sales(sales: DataFrame, ts_format: str | None = None, on_error: str = "fail") -> DataFrame:
+def clean_sales(
+    sales: DataFrame, ts_format: str | None = None, on_error: str = "fail", scale: int = AMOUNT_SCALE
+) -> DataFrame:
     """Refunds, duplicates, incomplete rows out; then typed.
 
     Duplicates are compared as text, so ``"10,0"`` and ``"10,00"`` differ.
@@ -57,14 +61,14 @@ def clean_sales(sales: DataFrame, ts_format: str | None = None, on_error: str =
         sales.transform(drop_negative)
         .transform(drop_duplicates)
         .transform(drop_missing)
-        .transform(type_columns, ts_format, on_error)
+        .transform(type_columns, ts_format, on_error, scale)
     )
 
 
-def unparsable(sales: DataFrame, ts_format: str) -> DataFrame:
+def unparsable(sales: DataFrame, ts_format: str, scale: int = AMOUNT_SCALE) -> DataFrame:
     """Rows whose date or amount text cannot be read: the quarantine side of
     ``type_columns(on_error="null")``."""
-    bad = _unread("amount_txt", parse_decimal_comma("amount_txt", "null"))
+    bad = _unread("amount_txt", parse_decimal_comma("amount_txt", "null", scale))
     if dict(sales.dtypes)["invoice_ts"] == "string":
         bad = bad | _unread("invoice_ts", parse_timestamp("invoice_ts", ts_format, "null"))
     return sales.filter(bad)

@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F, types as T
 
 from ledgerlens.operators.metrics import ratio
 from ledgerlens.session import materialise
 
-VALUE = "decimal(28,2)"
+
+def _scale(df: DataFrame, columns: Sequence[str]) -> int:
+    """The most decimals among whole-number and decimal columns."""
+    kinds = [df.schema[c].dataType for c in columns]
+    return max((k.scale for k in kinds if isinstance(k, T.DecimalType)), default=0)
 
 
 def cumulative_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -24,11 +28,12 @@ def cumulative_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
     has one row per group and partition: its size is the partition count, not
     the data's.
     """
+    total = T.DecimalType(38, _scale(df, [value]))
     counted = df.groupBy(group, value).agg(F.count("*").alias("n"))
     ranged = materialise(
         counted.repartitionByRange(group, value)
         .withColumn("part", F.spark_partition_id())
-        .withColumn("amount", (F.col(value) * F.col("n")).cast("decimal(38,2)"))
+        .withColumn("amount", (F.col(value) * F.col("n")).cast(total))
     )
     earlier = W.partitionBy(group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(group)
@@ -68,7 +73,8 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], percents: Sequence[
     computed in whole numbers and decimals, so an edge that falls on a value
     equals it exactly.
     """
-    values = df.select(*[F.col(c).cast(VALUE).alias(c) for c in columns])
+    scale = _scale(df, columns)
+    values = df.select(*[F.col(c).cast(T.DecimalType(28, scale)).alias(c) for c in columns])
     long = values.unpivot([], list(columns), "measure", "value").filter(F.col("value").isNotNull())
     curve = cumulative_histogram(long, "measure", "value")
 
@@ -86,7 +92,7 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], percents: Sequence[
     for p in percents:
         weight = (((F.col("n_total") - 1) * p) % 100).cast("decimal(2,0)") * F.lit("0.01").cast("decimal(2,2)")
         edge = F.col(f"low{p}") + (F.col(f"high{p}") - F.col(f"low{p}")) * weight
-        edges.append(edge.cast("decimal(30,4)").alias(f"p{p}"))
+        edges.append(edge.cast(T.DecimalType(30, scale + 2)).alias(f"p{p}"))
     return curve.groupBy("measure").agg(*picked).select("measure", *edges, "max")
 
 
@@ -95,13 +101,14 @@ def pareto_curve(base: DataFrame) -> DataFrame:
 
     Customers of equal spend share a row.
     """
-    spend = base.select(F.lit("spend").alias("measure"), F.col("monetary").cast(VALUE).alias("monetary"))
+    spend = base.select(F.lit("spend").alias("measure"), "monetary")
+    total = T.DecimalType(38, _scale(base, ["monetary"]))
     curve = cumulative_histogram(spend, "measure", "monetary")
     return curve.select(
         "monetary",
         F.col("n").alias("customers"),
         (F.col("n_total") - F.col("n_below")).alias("top_customers"),
-        (F.col("amount_total") - F.col("amount_below")).cast("decimal(38,2)").alias("top_revenue"),
+        (F.col("amount_total") - F.col("amount_below")).cast(total).alias("top_revenue"),
         F.col("n_total").alias("all_customers"),
         F.col("amount_total").alias("all_revenue"),
     )
@@ -121,7 +128,7 @@ def pareto_customers(curve: DataFrame) -> DataFrame:
     reached = F.when(first <= last, F.sequence(first.cast("long"), last)).otherwise(F.array().cast("array<bigint>"))
     chosen = F.floor(F.col("percent") * F.col("all_customers") / 100)
     surplus = (F.col("top_customers") - chosen) * F.col("monetary")
-    revenue = (F.col("top_revenue") - surplus).cast("decimal(38,2)")
+    revenue = (F.col("top_revenue") - surplus).cast(curve.schema["top_revenue"].dataType)
     return (
         curve.withColumn("percent", F.explode(reached))
         .select("percent", chosen.alias("customers"), revenue.alias("revenue"), "all_revenue")

@@ -16,8 +16,6 @@ MEASURES = {"recency": "r", "frequency": "f", "monetary": "m"}
 QUARTILES = (25, 50, 75)
 LOWEST_EDGE = -1
 
-SPEND = "decimal(28,2)"
-
 
 def rfm_base(sales: DataFrame) -> DataFrame:
     """Per customer: last and first purchase, invoice rows, spend."""
@@ -35,7 +33,7 @@ def merge_sides(sides: DataFrame) -> DataFrame:
         F.max("last_ts").alias("last_ts"),
         F.min("first_ts").alias("first_ts"),
         F.sum("frequency").alias("frequency"),
-        F.sum("monetary").cast(SPEND).alias("monetary"),
+        F.sum("monetary").cast(sides.schema["monetary"].dataType).alias("monetary"),
     )
 
 
@@ -47,7 +45,7 @@ def _purchases(sales: DataFrame, by: list[str]) -> DataFrame:
             F.max("invoice_ts").alias("last_ts"),
             F.min("invoice_ts").alias("first_ts"),
             F.count("invoice_no").alias("frequency"),
-            F.sum("amount").cast(SPEND).alias("monetary"),
+            F.sum("amount").alias("monetary"),
         )
     )
 

@@ -7,16 +7,20 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.operators import clean, cohort, metrics, ranking, report, rfm
-from ledgerlens.schema import HOME_COUNTRY
+from ledgerlens.schema import AMOUNT_SCALE, HOME_COUNTRY
 from ledgerlens.session import materialise
 from ledgerlens.sources.sales import read_report, write_report
 
 
 def prepared_sales(
-    raw: DataFrame, ts_format: str | None = None, home: str = HOME_COUNTRY, on_error: str = "fail"
+    raw: DataFrame,
+    ts_format: str | None = None,
+    home: str = HOME_COUNTRY,
+    on_error: str = "fail",
+    scale: int = AMOUNT_SCALE,
 ) -> DataFrame:
     """Clean rows with month and home flag."""
-    return raw.transform(clean.clean_sales, ts_format, on_error).transform(clean.add_features, home)
+    return raw.transform(clean.clean_sales, ts_format, on_error, scale).transform(clean.add_features, home)
 
 
 def scored_customers(base: DataFrame, as_of: dt.datetime, on_bad_edges: str = "collapse") -> DataFrame:
@@ -52,6 +56,7 @@ def write_analysis(
     ts_format: str | None = None,
     home: str = HOME_COUNTRY,
     on_bad_edges: str = "collapse",
+    scale: int = AMOUNT_SCALE,
 ) -> list[str]:
     """Run the whole analysis and write each result table under ``out``.
 
@@ -66,7 +71,7 @@ def write_analysis(
         written.append(name)
         return read_report(spark, f"{out}/{name}")
 
-    sales = store("sales", prepared_sales(raw, ts_format, home))
+    sales = store("sales", prepared_sales(raw, ts_format, home, scale=scale))
     months = store("customer_months", cohort.customer_months(sales))
     sides = store("customer_sides", rfm.customer_sides(sales))
     labelled = store("customers", labelled_customers(rfm.merge_sides(sides), as_of, lookup, on_bad_edges))

@@ -23,7 +23,33 @@ RAW_TYPES = {
 # Fixed value: the company's home country.
 HOME_COUNTRY = "United Kingdom"
 
+# Field texts that mean "missing" in the invoice and lookup files.
+MISSING_TEXTS = [
+    "",
+    "#N/A",
+    "#N/A N/A",
+    "#NA",
+    "-1.#IND",
+    "-1.#QNAN",
+    "-NaN",
+    "-nan",
+    "1.#IND",
+    "1.#QNAN",
+    "<NA>",
+    "N/A",
+    "NA",
+    "NULL",
+    "NaN",
+    "None",
+    "n/a",
+    "nan",
+    "null",
+]
+
 # Money is summed as a decimal, so that no total depends on the order in which
 # partitions arrive; reports show doubles.
 AMOUNT_SCALE = 2
-AMOUNT = T.DecimalType(18, AMOUNT_SCALE)
+
+
+def amount_type(scale: int = AMOUNT_SCALE) -> T.DecimalType:
+    return T.DecimalType(18, scale)

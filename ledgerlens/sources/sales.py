@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from ledgerlens.schema import RAW_TYPES, SOURCE_NAMES
+from ledgerlens.functions.numbers import parse_whole
+from ledgerlens.schema import MISSING_TEXTS, RAW_TYPES, SOURCE_NAMES
 
 
 def read_sales(spark: SparkSession, path: str, fmt: str = "csv", **options: str) -> DataFrame:
@@ -14,22 +15,30 @@ def read_sales(spark: SparkSession, path: str, fmt: str = "csv", **options: str)
     columns are kept. Nothing is inferred: CSV fields are text, the known ones
     get their types, and dates stay text until cleaning parses them.
     """
-    reader = spark.read.options(**options)
-    if fmt == "csv":
-        # Blanks around a value are data; only an empty field is missing.
-        reader = reader.options(header=True, inferSchema=False)
-    raw = reader.format(fmt).load(path)
-    columns = []
-    for name in raw.columns:
-        ours = SOURCE_NAMES.get(name, name)
-        column = F.col(f"`{name}`")
-        if ours in RAW_TYPES:
-            column = column.cast(RAW_TYPES[ours])
-        columns.append(column.alias(ours))
-    missing = set(SOURCE_NAMES.values()) - {SOURCE_NAMES.get(c, c) for c in raw.columns}
+    raw = _read(spark, path, fmt, **options).withColumnsRenamed(SOURCE_NAMES)
+    missing = set(SOURCE_NAMES.values()) - set(raw.columns)
     if missing:
         raise ValueError(f"{path} lacks columns {sorted(missing)}")
-    return raw.select(columns)
+    return raw.select(*[_typed(name, kind).alias(name) for name, kind in raw.dtypes])
+
+
+def _read(spark: SparkSession, path: str, fmt: str, **options: str) -> DataFrame:
+    if fmt != "csv":
+        return spark.read.options(**options).format(fmt).load(path)
+    text = spark.read.options(header=True, inferSchema=False, **options).csv(path)
+    return text.select(
+        *[F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in text.columns]
+    )
+
+
+def _typed(name: str, kind: str) -> Column:
+    column = F.col(f"`{name}`")
+    wanted = RAW_TYPES.get(name)
+    if wanted is None:
+        return column
+    if kind == "string" and isinstance(wanted, T.LongType):
+        return parse_whole(column)
+    return column.cast(wanted)
 
 
 def write_sales_csv(sales: DataFrame, path: str) -> None:
@@ -40,12 +49,8 @@ def write_sales_csv(sales: DataFrame, path: str) -> None:
 
 def read_segments(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """RFM code to category lookup; codes are read as text."""
-    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
-    raw = reader.format(fmt).load(path)
-    return raw.select(
-        F.col("rfm").cast("string").alias("rfm"),
-        F.col(next(c for c in raw.columns if c.lower() in ("categoria", "category"))).alias("category"),
-    )
+    raw = _read(spark, path, fmt).withColumnRenamed("Categoria", "category")
+    return raw.select(F.col("rfm").cast("string").alias("rfm"), "category")
 
 
 def write_report(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlens.schema import AMOUNT, HOME_COUNTRY
+from ledgerlens.schema import HOME_COUNTRY, amount_type
 
 # The columns used. Given as a schema, they spare a job that reads footers.
 TABLES = {
@@ -35,7 +35,7 @@ def sales_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     refund = key % 11 == 0
     quantity = F.coalesce(F.col("items"), F.lit(0)).cast("long")
-    amount = F.col("o_totalprice").cast(AMOUNT)
+    amount = F.col("o_totalprice").cast(amount_type())
     copies = F.when(key % 50 == 1, 2).otherwise(1)
     sales = joined.select(
         key.cast("string").alias("invoice_no"),

@@ -65,6 +65,11 @@ def test_bad_amounts(spark, bad):
     assert values(spark, [bad], "string", lambda x: numbers.parse_decimal_comma(x, "null")) == [None]
 
 
+def test_more_decimals_on_request(spark):
+    got = values(spark, ["0,001", "12,5"], "string", lambda x: numbers.parse_decimal_comma(x, scale=3))
+    assert [str(v) for v in got] == ["0.001", "12.500"]
+
+
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_bad_text_fails_in_either_ansi_mode(spark, ansi):
     before = spark.conf.get("spark.sql.ansi.enabled")

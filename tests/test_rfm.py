@@ -70,6 +70,14 @@ def test_percentiles_of_one_row_and_of_none(spark):
     assert rfm.rfm_edges(customers(spark, [])).collect() == []
 
 
+def test_amounts_with_three_decimals_keep_them(spark):
+    base = spark.createDataFrame([(Decimal(v),) for v in ("0.125", "0.250", "1.001")], "monetary decimal(28,3)")
+    row = ranking.exact_percentiles(base, ["monetary"], [25, 50]).first()
+    assert (row.p25, row.p50, row.max) == (Decimal("0.1875"), Decimal("0.25"), Decimal("1.001"))
+    top = ranking.pareto_customers(ranking.pareto_curve(base)).filter("percent IN (67, 100)").orderBy("percent")
+    assert [r.revenue for r in top.collect()] == [Decimal("1.251"), Decimal("1.376")]
+
+
 money = st.integers(-500, 500) | st.sampled_from([0, 100, 250])
 
 

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 
 from ledgerlens.operators import clean
 from ledgerlens.plans.flows import write_analysis
@@ -40,6 +41,28 @@ def test_csv_by_column_name(spark, tmp_path):
     assert (second.country, second.customer_id, second.quantity) == ("França", None, -6)
 
 
+def test_csv_missing_texts_and_exported_floats(spark, tmp_path):
+    path = write(
+        tmp_path / "sales.csv",
+        HEADER,
+        '1,17850.0,d,NA,6,"1,0"',
+        '2,,d,"",-6.0,nan',
+        'null,NaN,,  ,7,"2,5"',
+    )
+    rows = [tuple(r) for r in io.read_sales(spark, path).orderBy("quantity").collect()]
+    assert rows == [
+        ("2", None, "d", None, -6, None),
+        ("1", 17850, "d", None, 6, "1,0"),
+        (None, None, None, "  ", 7, "2,5"),
+    ]
+
+
+def test_ids_are_not_rounded(spark, tmp_path):
+    df = io.read_sales(spark, write(tmp_path / "sales.csv", HEADER, '1,17850.5,d,France,6,"1,0"'))
+    with pytest.raises(PySparkException, match="not bigint"):
+        df.collect()
+
+
 def test_missing_column_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError, match="country"):
         io.read_sales(spark, write(tmp_path / "bad.csv", HEADER.replace("País", "Land"), "1,1,1,1,1,1"))
