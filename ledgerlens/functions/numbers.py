@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, functions as F, types as T
 
 from ledgerlens.schema import AMOUNT_SCALE, amount_type
@@ -59,7 +57,3 @@ def heat_intensity(rate: Column | str, low: float = 0.0, high: float = 0.5) -> C
     rate = F.col(rate) if isinstance(rate, str) else rate
     clipped = F.when(rate < low, low).when(rate > high, high).otherwise(rate)
     return (clipped - low) / (high - low)
-
-
-def all_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

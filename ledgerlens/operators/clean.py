@@ -2,16 +2,34 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.functions.dates import month_floor, parse_timestamp
-from ledgerlens.functions.numbers import all_of, parse_decimal_comma
+from ledgerlens.functions.numbers import parse_decimal_comma
 from ledgerlens.schema import AMOUNT_SCALE, HOME_COUNTRY
 
 
+def is_kept() -> Column:
+    """No refund: quantity is not negative. An unknown quantity stays."""
+    return F.col("quantity").isNull() | (F.col("quantity") >= 0)
+
+
+def is_complete(df: DataFrame) -> Column:
+    """No column is null or NaN."""
+    present = []
+    for name, kind in df.dtypes:
+        column = F.col(f"`{name}`")
+        present.append(column.isNotNull())
+        if kind in ("float", "double"):
+            present.append(~F.isnan(column))
+    return reduce(lambda a, b: a & b, present)
+
+
 def drop_negative(sales: DataFrame) -> DataFrame:
-    """Remove refunds: rows with negative quantity. An unknown quantity stays."""
-    return sales.filter(F.col("quantity").isNull() | (F.col("quantity") >= 0))
+    """Remove refunds."""
+    return sales.filter(is_kept())
 
 
 def drop_duplicates(sales: DataFrame) -> DataFrame:
@@ -29,13 +47,7 @@ def drop_missing(sales: DataFrame) -> DataFrame:
     Written as IS NOT NULL tests, which reach the parquet scan; ``dropna`` does
     not get that far.
     """
-    present = []
-    for name, kind in sales.dtypes:
-        column = F.col(f"`{name}`")
-        present.append(column.isNotNull())
-        if kind in ("float", "double"):
-            present.append(~F.isnan(column))
-    return sales.filter(all_of(present))
+    return sales.filter(is_complete(sales))
 
 
 def type_columns(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from ledgerlens.operators.clean import is_complete, is_kept
+
 
 def profile_columns(df: DataFrame) -> DataFrame:
     """Per column: type, non-null count and row count."""
@@ -48,11 +50,7 @@ def clean_audit(sales: DataFrame) -> DataFrame:
     Copies are counted per distinct row, so a row repeated many times arrives
     already combined.
     """
-    present = [F.col(_q(c)).isNotNull() for c in sales.columns]
-    complete = present[0]
-    for p in present[1:]:
-        complete = complete & p
-    kept = F.col("quantity").isNull() | (F.col("quantity") >= 0)
+    kept, complete = is_kept(), is_complete(sales)
     distinct = sales.groupBy(*[F.col(_q(c)) for c in sales.columns]).agg(F.count("*").alias("copies"))
     # The steps, in order.
     steps = ["raw", "drop_negative", "drop_duplicates", "drop_missing"]

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerlens.functions import dates, numbers
 from ledgerlens.operators import clean, cohort, metrics, profile, ranking, report, rfm
 from ledgerlens.plans import flows
-from ledgerlens.session import materialise, scratch_path
+from ledgerlens.session import fit_shuffles, materialise, scratch_path
 from ledgerlens.sources import sales as io
 from ledgerlens.sources.segments import default_segments, segment_rule
 from ledgerlens.sources.star import sales_from_orders
@@ -36,7 +36,9 @@ def query(build: Query) -> Query:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sales_from_orders(spark, sf_dir)
+    sales = sales_from_orders(spark, sf_dir)
+    fit_shuffles(sales)
+    return sales
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.operators import clean, cohort, metrics, ranking, report, rfm
 from ledgerlens.schema import AMOUNT_SCALE, HOME_COUNTRY
-from ledgerlens.session import materialise
+from ledgerlens.session import fit_shuffles, materialise
 from ledgerlens.sources.sales import read_report, write_report
 
 
@@ -64,6 +64,7 @@ def write_analysis(
     written once, and every later table reads those: the invoices are shuffled
     for duplicates a single time.
     """
+    fit_shuffles(raw)
     written = []
 
     def store(name: str, df: DataFrame) -> DataFrame:

@@ -210,7 +210,8 @@ ORACLE = {
     "profile_columns": _with(
         _SALES,
         _per_column(
-            "SELECT '{column}' AS \"column\", '{type}' AS type, count({column}) AS non_null, count(*) AS rows FROM sales"
+            "SELECT '{column}' AS \"column\", '{type}' AS type, count({column}) AS non_null, count(*) AS rows "
+            "FROM sales"
         ),
     ),
     "profile_shape": _with(

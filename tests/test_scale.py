@@ -9,6 +9,7 @@ from compare import TESTDATA
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from ledgerlens import session
 from ledgerlens.operators import clean, cohort, metrics, rfm
 from ledgerlens.plans import flows
 from ledgerlens.sources.segments import default_segments
@@ -137,6 +138,20 @@ def test_duplicates_are_shuffled_once_for_two_branches(spark):
     assert "ReusedExchange" in text
 
 
+def test_shuffles_fit_the_input(spark, stored, monkeypatch):
+    with conf(spark, spark__sql__shuffle__partitions="8", spark__sql__files__maxPartitionBytes="128MB"):
+        assert session.fit_shuffles(stored) == 8
+        assert session.fit_shuffles(spark.createDataFrame([(1,)], "x int")) == 8
+        monkeypatch.setattr(session, "TASK_BYTES", 10_000)
+        many = session.fit_shuffles(stored)
+        assert many > 8 and spark.conf.get("spark.sql.shuffle.partitions") == str(many)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "128MB"
+        monkeypatch.setattr(session, "MAX_TASKS", 10)
+        assert session.fit_shuffles(stored) == many
+        split = int(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+        assert 10 * split >= 10_000 * (many - 1)
+
+
 def test_library_avoids_local_state():
     package = Path(__file__).parent.parent / "ledgerlens"
     source = "\n".join(p.read_text(encoding="utf-8") for p in package.rglob("*.py"))
