@@ -74,43 +74,61 @@ def revenue_by_month(sales: DataFrame, by: list[str] | None = None) -> DataFrame
     return sales.groupBy(*(by or []), "month").agg(F.sum("amount").alias("revenue"))
 
 
-def avg_month_revenue(sales: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Average revenue of the months that have sales."""
+def avg_month_revenue(monthly: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Average revenue of the months that have sales; one input row per month."""
     return (
-        revenue_by_month(sales, by)
-        .groupBy(*(by or []))
+        monthly.groupBy(*(by or []))
         .agg(F.sum("revenue").alias("revenue"), F.count("*").alias("months"))
         .withColumn("avg_month_revenue", ratio("revenue", "months"))
     )
 
 
-def customer_kpis(sales: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Customers, average spend per customer, share who bought more than once.
+def customer_repeats(sales: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Per customer (and ``by``): spend, smallest and largest invoice number.
 
-    More than one distinct invoice means that the smallest and largest invoice
-    numbers differ, which needs no distinct count.
+    More than one distinct invoice means that the two differ, which needs no
+    shuffle of the invoices as a distinct count does.
     """
-    by = by or []
-    per_customer = sales.groupBy(*by, "customer_id").agg(
-        F.sum("amount").alias("spend"),
-        (F.min("invoice_no") != F.max("invoice_no")).alias("returned"),
+    return (
+        sales.filter(F.col("customer_id").isNotNull())
+        .groupBy("customer_id", *(by or []))
+        .agg(
+            F.sum("amount").alias("spend"),
+            F.min("invoice_no").alias("min_invoice"),
+            F.max("invoice_no").alias("max_invoice"),
+        )
+    )
+
+
+def merge_repeats(repeats: DataFrame) -> DataFrame:
+    """One row per customer from ``customer_repeats`` by side."""
+    return repeats.groupBy("customer_id").agg(
+        F.sum("spend").alias("spend"),
+        F.min("min_invoice").alias("min_invoice"),
+        F.max("max_invoice").alias("max_invoice"),
     )
+
+
+def customer_kpis(repeats: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Customers, average spend per customer, share who bought more than once,
+    from ``customer_repeats``."""
+    returned = F.col("min_invoice") != F.col("max_invoice")
     return (
-        per_customer.groupBy(*by)
+        repeats.groupBy(*(by or []))
         .agg(
             F.count("*").alias("customers"),
             F.sum("spend").alias("revenue"),
-            F.count_if("returned").alias("repeat_customers"),
+            F.count_if(returned).alias("repeat_customers"),
         )
         .withColumn("avg_customer_spend", ratio("revenue", "customers"))
         .withColumn("repeat_rate", ratio("repeat_customers", "customers"))
     )
 
 
-def kpis_by_home(sales: DataFrame) -> DataFrame:
+def kpis_by_home(side_repeats: DataFrame, side_months: DataFrame) -> DataFrame:
     """Monthly, per-customer and repeat figures for home and away sales."""
-    months = avg_month_revenue(sales, ["is_home"]).select("is_home", "months", "avg_month_revenue")
-    return customer_kpis(sales, ["is_home"]).join(months, "is_home")
+    months = avg_month_revenue(side_months, ["is_home"]).select("is_home", "months", "avg_month_revenue")
+    return customer_kpis(side_repeats, ["is_home"]).join(months, "is_home")
 
 
 def top_customers(base: DataFrame, n: int = 10) -> DataFrame:

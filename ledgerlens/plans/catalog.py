@@ -77,6 +77,10 @@ def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.monthly_sales(_sales(spark, sf_dir))
 
 
+def _kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.customer_kpis(metrics.customer_repeats(_sales(spark, sf_dir)))
+
+
 # Sources and sinks
 
 
@@ -406,22 +410,25 @@ def split_away(spark, sf_dir):
 
 @query
 def avg_month_revenue(spark, sf_dir):
-    return metrics.avg_month_revenue(_sales(spark, sf_dir))
+    return metrics.avg_month_revenue(metrics.revenue_by_month(_sales(spark, sf_dir)))
 
 
 @query
 def avg_customer_spend(spark, sf_dir):
-    return metrics.customer_kpis(_sales(spark, sf_dir)).select("customers", "revenue", "avg_customer_spend")
+    return _kpis(spark, sf_dir).select("customers", "revenue", "avg_customer_spend")
 
 
 @query
 def repeat_rate(spark, sf_dir):
-    return metrics.customer_kpis(_sales(spark, sf_dir)).select("customers", "repeat_customers", "repeat_rate")
+    return _kpis(spark, sf_dir).select("customers", "repeat_customers", "repeat_rate")
 
 
 @query
 def kpis_by_home(spark, sf_dir):
-    return metrics.kpis_by_home(_sales(spark, sf_dir))
+    sales = _sales(spark, sf_dir)
+    return metrics.kpis_by_home(
+        metrics.customer_repeats(sales, ["is_home"]), metrics.revenue_by_month(sales, ["is_home"])
+    )
 
 
 @query

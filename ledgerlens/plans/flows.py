@@ -60,9 +60,9 @@ def write_analysis(
 ) -> list[str]:
     """Run the whole analysis and write each result table under ``out``.
 
-    The clean rows, customer months, customer sides and labelled customers are
-    written once, and every later table reads those: the invoices are shuffled
-    for duplicates a single time.
+    The clean rows and the tables with a row per customer are written once, and
+    the later tables read those: the invoices are shuffled for duplicates a
+    single time.
     """
     fit_shuffles(raw)
     written = []
@@ -75,15 +75,16 @@ def write_analysis(
     sales = store("sales", prepared_sales(raw, ts_format, home, scale=scale))
     months = store("customer_months", cohort.customer_months(sales))
     sides = store("customer_sides", rfm.customer_sides(sales))
+    repeats = store("customer_repeats", metrics.customer_repeats(sales, ["is_home"]))
     labelled = store("customers", labelled_customers(rfm.merge_sides(sides), as_of, lookup, on_bad_edges))
     monthly = store("monthly_sales", metrics.monthly_sales(sales))
     summary = store("segment_summary", rfm.segment_summary(labelled))
     tables = {
         "country_panorama": metrics.country_panorama(sales),
         "partial_periods": metrics.partial_periods(sales),
-        "kpis": metrics.customer_kpis(sales),
-        "kpis_by_home": metrics.kpis_by_home(sales),
-        "avg_month_revenue": metrics.avg_month_revenue(sales),
+        "kpis": metrics.customer_kpis(metrics.merge_repeats(repeats)),
+        "kpis_by_home": metrics.kpis_by_home(repeats, metrics.revenue_by_month(sales, ["is_home"])),
+        "avg_month_revenue": metrics.avg_month_revenue(monthly),
         "new_vs_returning": cohort.new_vs_returning(months, monthly),
         "heatmap_cells": report.heatmap_cells(months),
         "segments_by_home": rfm.segments_by_home(labelled, sides),

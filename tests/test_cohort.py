@@ -159,9 +159,10 @@ def test_pandas_twin(spark, rows):
     assert [r.month for r in monthly] == sorted(set(twin.month))
     assert [float(r.revenue) for r in monthly] == pytest.approx(list(twin.groupby("month").amount.sum()))
 
-    kpis = metrics.customer_kpis(ours).first()
+    kpis = metrics.customer_kpis(metrics.customer_repeats(ours)).first()
     per_customer = twin.groupby("customer_id").agg(n=("invoice_no", "nunique"), spend=("amount", "sum"))
     assert kpis.repeat_rate == pytest.approx((per_customer.n > 1).mean())
+    assert metrics.customer_kpis(metrics.merge_repeats(metrics.customer_repeats(ours, ["is_home"]))).first() == kpis
     assert kpis.avg_customer_spend == pytest.approx(per_customer.spend.mean())
 
     first = twin.groupby("customer_id").month.min().to_dict()

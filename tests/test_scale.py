@@ -133,7 +133,7 @@ def test_distinct_counts_are_rekeyed(spark, stored):
 
 
 def test_duplicates_are_shuffled_once_for_two_branches(spark):
-    text = plan(metrics.kpis_by_home(flows.prepared_sales(sales_from_orders(spark, SF))))
+    text = plan(queries()["kpis_by_home"](spark, SF))
     assert len(re.findall(r"[^d]Exchange hashpartitioning\(quantity", text.split("ReusedExchange")[0])) == 1
     assert "ReusedExchange" in text
 
