@@ -23,6 +23,7 @@ def main() -> None:
     parser.add_argument("--home", default=HOME_COUNTRY)
     parser.add_argument("--amount-scale", type=int, default=AMOUNT_SCALE, help="decimals of an amount")
     parser.add_argument("--on-bad-edges", choices=["collapse", "error"], default="collapse")
+    parser.add_argument("--overwrite", action="store_true", help="replace tables of an earlier run in OUT")
     args = parser.parse_args()
     spark = build_session()
     lookup = read_segments(spark, args.segments) if args.segments else default_segments(spark)
@@ -36,6 +37,7 @@ def main() -> None:
         args.home,
         args.on_bad_edges,
         args.amount_scale,
+        "overwrite" if args.overwrite else "error",
     )
     print("\n".join(written))
 

@@ -57,6 +57,7 @@ def write_analysis(
     home: str = HOME_COUNTRY,
     on_bad_edges: str = "collapse",
     scale: int = AMOUNT_SCALE,
+    mode: str = "error",
 ) -> list[str]:
     """Run the whole analysis and write each result table under ``out``.
 
@@ -68,7 +69,7 @@ def write_analysis(
     written = []
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        write_report(df, f"{out}/{name}")
+        write_report(df, f"{out}/{name}", mode=mode)
         written.append(name)
         return read_report(spark, f"{out}/{name}")
 

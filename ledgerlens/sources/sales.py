@@ -53,16 +53,18 @@ def read_segments(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame
     return raw.select(F.col("rfm").cast("string").alias("rfm"), "category")
 
 
-def write_report(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_report(
+    df: DataFrame, path: str, partition_by: list[str] | None = None, mode: str = "error"
+) -> None:
     """Persist a result table as parquet for dashboards.
 
     With ``partition_by`` rows are rebalanced on those columns first: each
     folder gets few files, and AQE splits a folder that holds most rows.
     """
     if partition_by:
-        df.hint("rebalance", *partition_by).write.partitionBy(*partition_by).parquet(path)
+        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
     else:
-        df.write.parquet(path)
+        df.write.mode(mode).parquet(path)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:

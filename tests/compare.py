@@ -7,10 +7,11 @@ import duckdb
 TESTDATA = Path("/root/testdata")
 
 
-def connect(sf: str) -> duckdb.DuckDBPyConnection:
+def connect(folder: Path) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    for table in sorted((TESTDATA / sf).glob("*.parquet")):
-        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM read_parquet('{table}')")
+    for table in sorted(folder.glob("*.parquet")):
+        files = f"{table}/*.parquet" if table.is_dir() else table
+        con.execute(f"CREATE VIEW {table.stem} AS SELECT * FROM read_parquet('{files}')")
     return con
 
 

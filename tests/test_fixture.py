@@ -1,10 +1,15 @@
 """Known figures of the order tables, and relations between results."""
 
+import datetime as dt
+
 import pytest
 from compare import TESTDATA
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from ledgerlens.operators import rfm
+from ledgerlens.plans import flows
 from ledgerlens.sources.star import sales_from_orders
 
 # Per scale factor: raw rows, with id, negative quantity, clean rows, customers.
@@ -80,3 +85,16 @@ def test_totals_agree(spark, sf):
 def test_first_month_rate_is_one(spark, sf):
     firsts = run(spark, sf, "retention").filter("cohort_index = 1")
     assert firsts.filter("rate <> 1 OR rate IS NULL").count() == 0
+
+
+def test_strict_bins_refuse_a_slice_with_tied_edges(spark, sf):
+    """In 13 months most customers bought once or twice, so quartiles repeat."""
+    sales = flows.prepared_sales(sales_from_orders(spark, str(TESTDATA / sf)))
+    base = rfm.rfm_base(sales.filter("month BETWEEN DATE '2000-07-01' AND DATE '2001-07-31'"))
+    as_of = dt.datetime(2001, 8, 2)
+    customers = rfm.add_recency(base, as_of)
+    edge = rfm.rfm_edges(customers).filter("measure = 'frequency'").first()
+    assert tuple(map(float, (edge.p25, edge.p50, edge.p75))) == {"sf0.1": (1, 2, 2)}.get(sf, (1, 1, 2))
+    assert flows.scored_customers(base, as_of).filter("f NOT BETWEEN 1 AND 4").count() == 0
+    with pytest.raises(PySparkException, match="edges must rise"):
+        flows.scored_customers(base, as_of, "error").collect()

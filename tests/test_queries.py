@@ -8,7 +8,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 
 @pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
 def tables(request):
-    con = connect(request.param)
+    con = connect(TESTDATA / request.param)
     yield request.param, con
     con.close()
 

@@ -5,10 +5,10 @@ import re
 from pathlib import Path
 
 import pytest
-from compare import TESTDATA
+from compare import TESTDATA, connect, duck_rows, spark_rows
 from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
+from __spark_entry__ import oracle_sql, queries
 from ledgerlens import session
 from ledgerlens.operators import clean, cohort, metrics, rfm
 from ledgerlens.plans import flows
@@ -96,21 +96,74 @@ def test_cohorts_need_no_deduplication_and_one_shuffle_by_customer(spark, tmp_pa
 
 
 def test_hot_customer_is_split(spark, stored):
-    settings = dict(
-        spark__sql__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
-        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
-        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
-        spark__sql__adaptive__advisoryPartitionSizeInBytes="8KB",
-    )
     wanted = sorted(map(tuple, cohort.assign_cohort(stored).collect()))
-    with conf(spark, **settings):
+    with conf(spark, **SMALL_PARTITIONS):
         df = cohort.assign_cohort(stored.repartition(16))
         text = plan(df)
         assert "SortMergeJoin(skew=true)" in text
         assert sorted(map(tuple, df.select(*cohort.assign_cohort(stored).columns).collect())) == wanted
 
 
+SMALL_PARTITIONS = dict(
+    spark__sql__autoBroadcastJoinThreshold="-1",
+    spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+    spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10KB",
+    spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+    spark__sql__adaptive__advisoryPartitionSizeInBytes="8KB",
+    spark__sql__adaptive__coalescePartitions__enabled="false",
+)
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """The order tables with a third of the orders on one customer, and a third
+    of the orders of one price."""
+    folder = tmp_path_factory.mktemp("skewed")
+    for name in ("lineitem", "customer", "nation"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(str(folder / f"{name}.parquet"))
+    key = F.col("o_orderkey")
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    orders.withColumns(
+        {
+            "o_custkey": F.when(key % 3 == 0, 4).otherwise(F.col("o_custkey")),
+            "o_totalprice": F.when(key % 3 == 1, 100.0).otherwise(F.col("o_totalprice")),
+        }
+    ).write.parquet(str(folder / "orders.parquet"))
+    con = connect(folder)
+    yield str(folder), con
+    con.close()
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "clean_sales",
+        "clean_audit",
+        "country_panorama",
+        "monthly_sales",
+        "cohort_index",
+        "heatmap_cells",
+        "kpis_by_home",
+        "pareto_customers",
+        "pareto_curve",
+        "rfm_edges",
+        "segments_by_home",
+    ],
+)
+def test_results_are_whole_under_skew(spark, skewed, name):
+    """With many small partitions, no broadcast and split hot keys."""
+    folder, con = skewed
+    with conf(spark, **SMALL_PARTITIONS):
+        types, rows = spark_rows(queries()[name](spark, folder))
+    wanted_types, wanted = duck_rows(con, oracle_sql()[name])
+    assert (types, rows) == (wanted_types, wanted)
+
+
+def test_hot_customer_of_the_orders_is_split(spark, skewed):
+    with conf(spark, **SMALL_PARTITIONS):
+        assert "SortMergeJoin(skew=true)" in plan(sales_from_orders(spark, skewed[0]))
+
+
 def test_first_months_are_broadcast_only_when_small(spark, stored):
     assert "BroadcastHashJoin" in plan(cohort.assign_cohort(stored))
     with conf(spark, spark__sql__autoBroadcastJoinThreshold="100"):
