@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ledgerlens.functions.dates import cohort_index
 from ledgerlens.operators.metrics import ratio
-from ledgerlens.session import stored
 
 SCOPES = ("all", "home", "away")
 
@@ -30,10 +29,12 @@ def assign_cohort(sales: DataFrame) -> DataFrame:
     """Add cohort month and index to every invoice row.
 
     A window by customer would sort all rows of a customer in one task. The
-    first months are aggregated map-side, stored and joined back instead: the
-    join is broadcast if they prove small, and else AQE splits a hot customer.
+    first months are aggregated map-side and joined back instead: the join is
+    broadcast if they prove small, and else AQE splits a hot customer. It does
+    so only between two fresh shuffles, not next to an aggregate's own
+    partitioning, hence the rebalance of the few rows per customer.
     """
-    first = stored(first_months(sales), "first-months")
+    first = first_months(sales).hint("rebalance")
     return sales.join(first, "customer_id", "left").withColumn(
         "cohort_index", cohort_index("month", "cohort_month")
     )

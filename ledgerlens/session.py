@@ -80,18 +80,6 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the scratch folder and read it back.
-
-    Unlike a checkpoint the table forgets how it was partitioned. A join then
-    shuffles it anew, which is what lets AQE split a skewed key of the other
-    side: it does not where an aggregate's own partitioning is used.
-    """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared scratch folder."""
     return f"{_ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"

@@ -26,8 +26,12 @@ def _read(spark: SparkSession, path: str, fmt: str, **options: str) -> DataFrame
     if fmt != "csv":
         return spark.read.options(**options).format(fmt).load(path)
     text = spark.read.options(header=True, inferSchema=False, **options).csv(path)
+    # A byte order mark would stick to the first header name.
     return text.select(
-        *[F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c) for c in text.columns]
+        *[
+            F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c.removeprefix("\ufeff"))
+            for c in text.columns
+        ]
     )
 
 

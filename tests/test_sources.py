@@ -57,6 +57,11 @@ def test_csv_missing_texts_and_exported_floats(spark, tmp_path):
     ]
 
 
+def test_byte_order_mark(spark, tmp_path):
+    df = io.read_sales(spark, write(tmp_path / "sales.csv", "\ufeff" + HEADER.replace('"', ""), '1,2,d,França,6,"1,0"'))
+    assert tuple(df.first()) == ("1", 2, "d", "França", 6, "1,0")
+
+
 def test_ids_are_not_rounded(spark, tmp_path):
     df = io.read_sales(spark, write(tmp_path / "sales.csv", HEADER, '1,17850.5,d,France,6,"1,0"'))
     with pytest.raises(PySparkException, match="not bigint"):
