@@ -7,8 +7,9 @@ range-partitioned, and each range gets the totals of the ranges below it.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ledgerlens.operators.metrics import ratio
 from ledgerlens.session import materialise
@@ -20,47 +21,65 @@ def _scale(df: DataFrame, columns: Sequence[str]) -> int:
     return max((k.scale for k in kinds if isinstance(k, T.DecimalType)), default=0)
 
 
-def cumulative_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Per (group, value): its rows, the rows and sum below it, group totals.
+def _compact(column: str, scale: int) -> Column:
+    """As a decimal that fits a machine word, which sorts and hashes fast. A
+    larger number fails the query."""
+    kind = T.DecimalType(18, scale)
+    value = F.col(column).try_cast(kind)
+    too_large = F.raise_error(F.lit(f"{column} does not fit {kind.simpleString()}")).cast(kind)
+    return F.when(F.col(column).isNotNull() & value.isNull(), too_large).otherwise(value)
 
-    The partition number is stored with the rows, so a later re-run of a lost
-    task, or AQE merging partitions another way, cannot change it. ``below``
-    has one row per group and partition: its size is the partition count, not
-    the data's.
+
+def ranged_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Per (group, value): its rows ``n``, its range ``part``, and for the range
+    the rows and sum before it and in it, with the group's totals.
+
+    The range number is the partition's, stored with the rows, so a later
+    re-run of a lost task, or AQE merging partitions another way, cannot change
+    it. ``totals`` has one row per group and partition: its size is the
+    partition count, not the data's.
     """
-    total = T.DecimalType(38, _scale(df, [value]))
     counted = df.groupBy(group, value).agg(F.count("*").alias("n"))
-    ranged = materialise(
-        counted.repartitionByRange(group, value)
-        .withColumn("part", F.spark_partition_id())
-        .withColumn("amount", (F.col(value) * F.col("n")).cast(total))
-    )
+    ranged = materialise(counted.repartitionByRange(group, value).withColumn("part", F.spark_partition_id()))
     earlier = W.partitionBy(group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(group)
-    below = (
+    totals = (
         ranged.groupBy(group, "part")
-        .agg(F.sum("n").alias("part_n"), F.sum("amount").alias("part_amount"))
+        .agg(F.sum("n").alias("part_n"), F.sum(_amount(ranged, value)).alias("part_amount"))
         .select(
             group,
             "part",
+            "part_n",
             F.coalesce(F.sum("part_n").over(earlier), F.lit(0)).alias("n_base"),
             F.coalesce(F.sum("part_amount").over(earlier), F.lit(0)).alias("amount_base"),
             F.sum("part_n").over(whole).alias("n_total"),
             F.sum("part_amount").over(whole).alias("amount_total"),
         )
     )
+    return ranged.join(F.broadcast(totals), [group, "part"])
+
+
+def _amount(df: DataFrame, value: str) -> Column:
+    return (F.col(value) * F.col("n")).cast(T.DecimalType(38, _scale(df, [value])))
+
+
+def cumulate(ranged: DataFrame, group: str, value: str) -> DataFrame:
+    """Add to ``ranged_histogram`` the rows and sum below each value.
+
+    A range without other ranges gives the same result, so ranges of no
+    interest can be filtered out before.
+    """
     inside = W.partitionBy(group, "part").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
 
-    def before(column: str, base: str):
+    def before(column: Column, base: str) -> Column:
         return F.col(base) + F.coalesce(F.sum(column).over(inside), F.lit(0))
 
-    return ranged.join(F.broadcast(below), [group, "part"]).select(
+    return ranged.select(
         group,
         value,
         "n",
-        "amount",
-        before("n", "n_base").alias("n_below"),
-        before("amount", "amount_base").alias("amount_below"),
+        before(F.col("n"), "n_base").alias("n_below"),
+        before(_amount(ranged, value), "amount_base").alias("amount_below"),
         "n_total",
         "amount_total",
     )
@@ -71,29 +90,32 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], percents: Sequence[
 
     One row per column, with fields ``p25`` and so on. Ranks and weights are
     computed in whole numbers and decimals, so an edge that falls on a value
-    equals it exactly.
+    equals it exactly. Only ranges that hold a wanted rank are sorted.
     """
     scale = _scale(df, columns)
-    values = df.select(*[F.col(c).cast(T.DecimalType(28, scale)).alias(c) for c in columns])
+    values = df.select(*[_compact(c, scale).alias(c) for c in columns])
     long = values.unpivot([], list(columns), "measure", "value").filter(F.col("value").isNotNull())
-    curve = cumulative_histogram(long, "measure", "value")
+    total = F.col("n_total")
+    ranks = {"max": total - 1}
+    for p in percents:
+        ranks[f"low{p}"] = F.floor((total - 1) * p / 100)
+        ranks[f"high{p}"] = F.least(ranks[f"low{p}"] + 1, total - 1)
 
-    def value_at(rank):
-        holds = (F.col("n_below") <= rank) & (rank < F.col("n_below") + F.col("n"))
-        return F.max(F.when(holds, F.col("value")))
+    def holds(rank: Column, first: str, count: str) -> Column:
+        return (F.col(first) <= rank) & (rank < F.col(first) + F.col(count))
 
-    picked = [F.max("value").alias("max"), F.max("n_total").alias("n_total")]
-    for p in percents:
-        scaled = (F.col("n_total") - 1) * p
-        low = F.floor(scaled / 100)
-        high = F.least(low + 1, F.col("n_total") - 1)
-        picked += [value_at(low).alias(f"low{p}"), value_at(high).alias(f"high{p}")]
+    def holds_any(first: str, count: str) -> Column:
+        return reduce(lambda a, b: a | b, [holds(r, first, count) for r in ranks.values()])
+
+    ranged = ranged_histogram(long, "measure", "value").filter(holds_any("n_base", "part_n"))
+    wanted = cumulate(ranged, "measure", "value").filter(holds_any("n_below", "n"))
+    picked = [F.max(F.when(holds(r, "n_below", "n"), F.col("value"))).alias(name) for name, r in ranks.items()]
     edges = []
     for p in percents:
-        weight = (((F.col("n_total") - 1) * p) % 100).cast("decimal(2,0)") * F.lit("0.01").cast("decimal(2,2)")
+        weight = (((total - 1) * p) % 100).cast("decimal(2,0)") * F.lit("0.01").cast("decimal(2,2)")
         edge = F.col(f"low{p}") + (F.col(f"high{p}") - F.col(f"low{p}")) * weight
         edges.append(edge.cast(T.DecimalType(30, scale + 2)).alias(f"p{p}"))
-    return curve.groupBy("measure").agg(*picked).select("measure", *edges, "max")
+    return wanted.groupBy("measure").agg(F.max(total).alias("n_total"), *picked).select("measure", *edges, "max")
 
 
 def pareto_curve(base: DataFrame) -> DataFrame:
@@ -101,9 +123,10 @@ def pareto_curve(base: DataFrame) -> DataFrame:
 
     Customers of equal spend share a row.
     """
-    spend = base.select(F.lit("spend").alias("measure"), "monetary")
-    total = T.DecimalType(38, _scale(base, ["monetary"]))
-    curve = cumulative_histogram(spend, "measure", "monetary")
+    scale = _scale(base, ["monetary"])
+    spend = base.select(F.lit("spend").alias("measure"), _compact("monetary", scale).alias("monetary"))
+    total = T.DecimalType(38, scale)
+    curve = cumulate(ranged_histogram(spend, "measure", "monetary"), "measure", "monetary")
     return curve.select(
         "monetary",
         F.col("n").alias("customers"),

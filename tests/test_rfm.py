@@ -81,6 +81,24 @@ def test_amounts_with_three_decimals_keep_them(spark):
 money = st.integers(-500, 500) | st.sampled_from([0, 100, 250])
 
 
+def test_spend_beyond_a_machine_word_fails(spark):
+    base = spark.createDataFrame([(Decimal("1" + "0" * 16),)], "monetary decimal(28,2)")
+    with pytest.raises(PySparkException, match="does not fit"):
+        ranking.exact_percentiles(base, ["monetary"], [50]).collect()
+
+
+def test_percentiles_over_many_ranges(spark):
+    values = [(i * 7919) % 5003 for i in range(5003)] + [100] * 2500
+    df = spark.createDataFrame([(Decimal(v) / 100,) for v in values], "x decimal(28,2)")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        row = ranking.exact_percentiles(df, ["x"], [1, 25, 50, 75, 99]).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for p in (1, 25, 50, 75, 99):
+        assert float(row[f"p{p}"]) == pytest.approx(np.percentile(values, p) / 100, abs=1e-9)
+
+
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(cents=st.lists(money, min_size=1, max_size=60))
 def test_percentiles_equal_numpy(spark, cents):
@@ -94,12 +112,12 @@ def test_percentiles_equal_numpy(spark, cents):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(cents=st.lists(money, min_size=1, max_size=80), parts=st.integers(1, 9))
-def test_cumulative_histogram_equals_brute_force(spark, cents, parts):
+def test_cumulated_histogram_equals_brute_force(spark, cents, parts):
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.createDataFrame([("g", Decimal(c) / 100) for c in cents], "g string, x decimal(28,2)")
-        rows = ranking.cumulative_histogram(df, "g", "x").collect()
+        rows = ranking.cumulate(ranking.ranged_histogram(df, "g", "x"), "g", "x").collect()
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

@@ -58,7 +58,8 @@ def test_csv_missing_texts_and_exported_floats(spark, tmp_path):
 
 
 def test_byte_order_mark(spark, tmp_path):
-    df = io.read_sales(spark, write(tmp_path / "sales.csv", "\ufeff" + HEADER.replace('"', ""), '1,2,d,França,6,"1,0"'))
+    path = write(tmp_path / "sales.csv", "\ufeff" + HEADER.replace('"', ""), '1,2,d,França,6,"1,0"')
+    df = io.read_sales(spark, path)
     assert tuple(df.first()) == ("1", 2, "d", "França", 6, "1,0")
 
 
