@@ -3,3 +3,35 @@
 from __future__ import annotations
 
 ORACLE: dict[str, str] = {}
+
+ORACLE["op10_mix_systematic"] = r"""
+WITH sized AS (
+  SELECT doc_id, source, source IS NULL AS no_source, coalesce(source, '') AS src,
+    len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS size
+  FROM documents
+), sources AS (
+  SELECT no_source, src, CAST(sum(size) AS BIGINT) AS source_size,
+    [5.0, 2.0, 1.0][1 + (row_number() OVER (ORDER BY no_source, src) - 1) % 3]::DOUBLE AS weight
+  FROM sized GROUP BY no_source, src
+), levels AS (
+  SELECT *, (sum(source_size) OVER () * 1.5
+      - coalesce(sum(source_size * 2.0) OVER (ORDER BY source_size * 2.0 / weight, no_source, src
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (ORDER BY source_size * 2.0 / weight, no_source, src
+          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM sources
+), targets AS (
+  SELECT no_source, src, source_size,
+    CAST(least(source_size * 2.0, max(level) OVER () * weight) AS DOUBLE) AS target FROM levels
+), placed AS (
+  SELECT doc_id, size, source_size, target,
+    CAST(row_number() OVER (PARTITION BY no_source, src
+      ORDER BY size, substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 3), doc_id NULLS FIRST) - 1 AS DOUBLE) AS place,
+    CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS ratio,
+    CAST(concat('0x', substr(md5('mix-1:' || src), 1, 8)) AS BIGINT) / 4294967296.0 AS start
+  FROM sized JOIN targets USING (no_source, src)
+), taken AS (
+  SELECT *, CAST(floor((place + 1) * ratio + start) - floor(place * ratio + start) AS BIGINT) AS copies FROM placed
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, copies * CAST(size AS BIGINT) AS taken, copies FROM taken
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import quality
+from ledgerlens.llm import mixing, quality
 from ledgerlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,3 +20,8 @@ def query(build: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 @query
 def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_mix_systematic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.report(table(spark, sf_dir, "documents"))
