@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import mixing, quality
+from ledgerlens.llm import mixing, quality, tokens_file
 from ledgerlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,12 @@ def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokens_file.model_text(public_tokenizers.path("word_bpe_49k.json"))
+    return tokens_file.report(table(spark, sf_dir, "documents"), model)
+
+
 @query
 def op10_mix_systematic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
