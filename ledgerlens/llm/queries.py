@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import licenses, mixing, quality, tokens_file
+from ledgerlens.llm import licenses, mixing, quality, tokens_file, topk
 from ledgerlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,11 @@ def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op1_top_k_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.report(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokens_file.model_text(public_tokenizers.path("word_bpe_49k.json"))
