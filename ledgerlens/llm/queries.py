@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import licenses, mixing, neardup, quality, tokens_file, topk
+from ledgerlens.llm import html, licenses, mixing, neardup, quality, tokens_file, topk
 from ledgerlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def op2_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=2, similarity=0.8)
 
 
+@query
+def op3_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract_pages(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = tokens_file.model_text(public_tokenizers.path("word_bpe_49k.json"))
