@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import html, licenses, lines, mixing, neardup, quality, tokens_file, topk
+from ledgerlens.llm import html, licenses, lines, mixing, neardup, quality, sentencepiece, tokens_file, topk
 from ledgerlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,12 @@ def op3_host_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract_pages(table(spark, sf_dir, "pages"))
 
 
+@query
+def op4_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = sentencepiece.Model.load(public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepiece.report(table(spark, sf_dir, "documents"), model)
+
+
 @query
 def op5_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.report(table(spark, sf_dir, "documents"))
