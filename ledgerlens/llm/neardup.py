@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens.llm.components import components
 from ledgerlens.llm.text import stored
+from ledgerlens.llm.wordhash import word_hashes
 
 # Trees of the forest, and hash values of a tree's key.
 TREES, DEPTH = 16, 6
@@ -27,9 +27,6 @@ FIRST_TREES = 4
 # Up to so many ids, 16 bytes each, are broadcast to thin the table of sets.
 BROADCAST_IDS = 4_000_000
 
-_WORD = re.compile(rb"[^\x20\x09-\x0d]+")
-_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_REMEMBERED = 500_000
 # Bytes of a shingle's hash that are kept: two different shingles of two texts
 # of 1,000 words each share one with a chance below 1e-8.
 _KEPT = 6
@@ -37,7 +34,6 @@ _KEPT = 6
 _random = np.random.default_rng(20_240_601)
 _A = _random.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _random.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
-_HASHES: dict[bytes, int] = {}
 
 SETS = "doc_id long, n_shingles long, set_id binary, shingles binary, keys binary"
 
@@ -50,20 +46,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str, size: int) -> np.ndarray:
     """Hashes of the distinct ``size``-word shingles, ascending; of all words if there are fewer."""
-    words = _WORD.findall(text.encode().translate(_LOWER))
-    if not words:
+    hashes = word_hashes(text)
+    if not len(hashes):
         return np.array([], np.uint64)
-    try:
-        hashes = np.array([_HASHES[w] for w in words], np.uint64)
-    except KeyError:
-        if len(_HASHES) > _REMEMBERED:
-            _HASHES.clear()
-        for w in words:
-            if w not in _HASHES:
-                _HASHES[w] = xxhash.xxh3_64_intdigest(w)
-        hashes = np.array([_HASHES[w] for w in words], np.uint64)
-    size = min(size, len(words))
-    n = len(words) - size + 1
+    size = min(size, len(hashes))
+    n = len(hashes) - size + 1
     out = np.full(n, size, np.uint64)
     for k in range(size):
         out = _mix(out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + n])

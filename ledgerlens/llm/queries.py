@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import html, licenses, lines, mixing, neardup, quality, sentencepiece, tokens_file, topk
+from ledgerlens.llm import html, licenses, lines, mixing, neardup, ngram_lm, quality, sentencepiece, tokens_file, topk
 from ledgerlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op7_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.report(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_ngram_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(table(spark, sf_dir, "documents"))
