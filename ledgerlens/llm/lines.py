@@ -9,7 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.llm.text import stored
+from ledgerlens.llm.text import set_aside, stored
 
 # Repeated lines in a row are removed if they have so many words together.
 MIN_WORDS = 50
@@ -226,12 +226,14 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """The documents with repeated passages cut out; those of which nothing is left go."""
-    cut = remove_repeated(docs)
+    """The documents with repeated passages cut out; those of which nothing is left go.
+
+    Where there is a column n_chars, it gets the new length.
+    """
+    renamed, back = set_aside(docs, doc_id=F.col("doc_id"), text=F.col("text"))
+    cut = remove_repeated(renamed)
     lost = (F.col("n_removed_lines") > 0) & (F.trim("cut_text") == "")
-    lengths = {"n_chars": F.length("cut_text").cast("long")} if "n_chars" in docs.columns else {}
-    return (
-        cut.filter(~F.coalesce(lost, F.lit(False)))
-        .withColumns({"text": F.col("cut_text"), **lengths})
-        .select(*docs.columns)
+    new = {"text": F.col("cut_text"), "n_chars": F.length("cut_text").cast("long")}
+    return cut.filter(~F.coalesce(lost, F.lit(False))).select(
+        *[new[c].alias(c) if c in new else old for c, old in zip(docs.columns, back)]
     )

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ledgerlens.llm.text import SPACE, stored
+from ledgerlens.llm.text import SPACE, set_aside, stored
 
 # The weights, given to the sources in order, again and again.
 WEIGHTS = (5, 2, 1)
@@ -159,12 +159,6 @@ def report(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The documents of the mix, each as often as it was taken, with their own columns."""
-    named = {c: f"d_{i}" for i, c in enumerate(docs.columns)}
-    renamed = docs.select(
-        "doc_id",
-        "source",
-        word_size(F.col("text")).alias("size"),
-        *[F.col(f"`{c}`").alias(n) for c, n in named.items()],
-    )
-    taken = mix(renamed).withColumn("m_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
-    return taken.select(*[F.col(n).alias(c) for c, n in named.items()])
+    renamed, back = set_aside(docs, doc_id=F.col("doc_id"), source=F.col("source"), size=word_size(F.col("text")))
+    copies = F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))
+    return mix(renamed).withColumn("m_copy", copies).select(*back)

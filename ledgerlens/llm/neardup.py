@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens.llm.components import components
-from ledgerlens.llm.text import stored
+from ledgerlens.llm.text import set_aside, stored
 from ledgerlens.llm.wordhash import word_hashes
 
 # Trees of the forest, and hash values of a tree's key.
@@ -259,12 +259,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
 
 def deduplicated(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """One document of each component, with its own columns; rows without an id stay."""
-    kept = near_duplicates(docs, size, similarity).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    rows = docs.filter(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
+    found = near_duplicates(docs, size, similarity)
+    kept = found.filter("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("d_id")).distinct()
+    renamed, back = set_aside(docs, d_id=F.col("doc_id"), d_order=F.xxhash64("text"))
+    first = Window.partitionBy("d_id").orderBy("d_order")
     return (
-        rows.withColumn("d_row", F.row_number().over(first))
+        renamed.filter(F.col("d_id").isNotNull())
+        .join(kept, "d_id", "left_semi")
+        .withColumn("d_row", F.row_number().over(first))
         .filter("d_row = 1")
-        .select(*docs.columns)
-        .unionByName(docs.filter(F.col("doc_id").isNull()))
+        .select(*back)
+        .unionByName(renamed.filter(F.col("d_id").isNull()).select(*back))
     )

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.llm.text import let, stored, total, words
+from ledgerlens.llm.text import let, set_aside, stored, total, words
 
 WINDOW = 8
 # A text of fewer words is too short for its histograms to mean anything.
@@ -296,7 +296,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
+    renamed, back = set_aside(docs, text=F.col("text"))
     # The row number keeps the optimizer from pushing the test below the
     # projections, where it would compute the measures again for each use.
-    scored = quality(docs).withColumn("q_row", F.monotonically_increasing_id())
-    return scored.filter(F.col("q_kept") & (F.col("q_row") >= 0)).select(*docs.columns)
+    scored = quality(renamed).withColumn("q_row", F.monotonically_increasing_id())
+    return scored.filter(F.col("q_kept") & (F.col("q_row") >= 0)).select(*back)

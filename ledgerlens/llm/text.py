@@ -41,3 +41,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def set_aside(docs: DataFrame, **needed: Column) -> tuple[DataFrame, list[Column]]:
+    """``needed`` columns beside all of ``docs`` under other names, and the columns that bring those back.
+
+    So no column of ``docs`` can clash with one that an operator makes.
+    """
+    names = {c: f"own_{i}" for i, c in enumerate(docs.columns)}
+    own = {c: F.col(f"`{c}`") for c in names}
+    renamed = docs.select(*[v.alias(k) for k, v in needed.items()], *[own[c].alias(n) for c, n in names.items()])
+    return renamed, [F.col(n).alias(c) for c, n in names.items()]
