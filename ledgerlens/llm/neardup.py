@@ -35,7 +35,13 @@ _random = np.random.default_rng(20_240_601)
 _A = _random.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _random.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
 
-SETS = "doc_id long, n_shingles long, set_id binary, shingles binary, keys binary"
+# A pair whose sketches, one bit a hash value, agree in fewer bits is no candidate.
+# At similarity 0.8 a bit agrees with a chance of 0.9, and this lies six standard
+# deviations below what is expected: one in 1e9 such pairs goes.
+SKETCH_DEVIATIONS = 6
+_ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
+
+SETS = "doc_id long, n_shingles long, set_id binary, shingles binary, keys binary, sketch binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -67,31 +73,39 @@ def _unpacked(data: bytes) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _keys(values: np.ndarray) -> bytes:
-    """The forest's keys of a set: per tree DEPTH minima, two bytes each, first the leading one."""
+def _keys(values: np.ndarray) -> tuple[bytes, bytes]:
+    """The forest's keys of a set: per tree DEPTH minima, two bytes each, first the
+    leading one. And its sketch: another bit of each."""
     least = np.full(TREES * DEPTH, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(values), 4096):
         part = _mix(values[at : at + 4096, None] * _A + _B)
         least = np.minimum(least, part.min(axis=0))
-    return (least & np.uint64(0xFFFF)).astype(">u2").tobytes()
+    keys = (least & np.uint64(0xFFFF)).astype(">u2").tobytes()
+    return keys, np.packbits((least >> np.uint64(16)).astype(np.uint8) & 1).tobytes()
+
+
+def _least_agreement(similarity: float) -> float:
+    bits, chance = TREES * DEPTH, (1 + similarity) / 2
+    return bits * chance - SKETCH_DEVIATIONS * (bits * chance * (1 - chance)) ** 0.5
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """A row per document: n_shingles, set_id (a digest), shingles and keys; null without words."""
+    """A row per document: n_shingles, set_id (a digest), shingles, keys and sketch; null without words."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                values = shingles(text, size) if text else np.array([], np.uint64)
-                if len(values):
-                    data = _packed(values)
-                    rows.append((len(values), xxhash.xxh3_128_digest(data), data, _keys(values)))
-                else:
-                    rows.append((0, None, None, None))
-            frame = pd.DataFrame(rows, columns=["n_shingles", "set_id", "shingles", "keys"])
-            frame.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy())
-            yield frame.astype({"doc_id": "Int64"})
+            for at in range(0, len(batch), 1000):
+                part, rows = batch.iloc[at : at + 1000], []
+                for text in part["text"]:
+                    values = shingles(text, size) if text else np.array([], np.uint64)
+                    if len(values):
+                        data = _packed(values)
+                        rows.append((len(values), xxhash.xxh3_128_digest(data), data, *_keys(values)))
+                    else:
+                        rows.append((0, None, None, None, None))
+                frame = pd.DataFrame(rows, columns=["n_shingles", "set_id", "shingles", "keys", "sketch"])
+                frame.insert(0, "doc_id", part["doc_id"].astype("Int64").to_numpy())
+                yield frame.astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(describe, SETS)
 
@@ -106,7 +120,7 @@ def _neighbours(batches: Iterator[pd.DataFrame], similarity: float) -> Iterator[
     takes for the region to have REGION members at most, MIN_DEPTH at least. It
     meets its whole region and, if there is no such depth, the NEXT ones.
     """
-    rest = None
+    rest, least = None, _least_agreement(similarity)
     for batch in batches:
         # Rows that may still have neighbours in the next batch go over to it.
         frame = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
@@ -114,6 +128,7 @@ def _neighbours(batches: Iterator[pd.DataFrame], similarity: float) -> Iterator[
         rest = frame.iloc[-REGION:].reset_index(drop=True)
         keys = np.frombuffer(b"".join(frame["tree_key"]), ">u2").reshape(len(frame), DEPTH + 1)
         n, nodes, sets = (frame[c].to_numpy() for c in ("n_shingles", "node", "node_set"))
+        sketches = np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(len(frame), -1)
         depth = np.full(len(frame), DEPTH + 2)
         for d in range(DEPTH, MIN_DEPTH - 1, -1):
             starts = np.r_[True, (keys[1:, : d + 1] != keys[:-1, : d + 1]).any(axis=1)]
@@ -131,6 +146,8 @@ def _neighbours(batches: Iterator[pd.DataFrame], similarity: float) -> Iterator[
             if offset > NEXT and not (same >= MIN_DEPTH).any():
                 break
             i, j = i[ok], j[ok]
+            agreed = TREES * DEPTH - _ONES[sketches[i] ^ sketches[j]].sum(axis=1)
+            i, j = i[agreed >= least], j[agreed >= least]
             near = (keys[i, 0] < FIRST_TREES) & (offset == 1)
             found.append((nodes[i], sets[i], nodes[j], sets[j], near))
         if found:
@@ -145,7 +162,7 @@ def _neighbours(batches: Iterator[pd.DataFrame], similarity: float) -> Iterator[
 def candidates(classes: DataFrame, similarity: float) -> DataFrame:
     """Pairs of classes that are neighbours in some tree of the forest, each once.
 
-    ``classes``: node, node_set, n_shingles and keys. The rows of all trees are
+    ``classes``: node, node_set, n_shingles, keys and sketch. The rows of all trees are
     dealt by ranges of (tree, key, node), so a region of any size is spread. A
     pair that a range's border parts in one tree is left to the other trees.
     """
@@ -157,7 +174,7 @@ def candidates(classes: DataFrame, similarity: float) -> DataFrame:
         )
         for t in range(TREES)
     ]
-    rows = classes.select(F.explode(F.array(*keys)).alias("tree_key"), "node", "node_set", "n_shingles")
+    rows = classes.select(F.explode(F.array(*keys)).alias("tree_key"), "node", "node_set", "n_shingles", "sketch")
     n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["tree_key", "node", "node_set"]
     found = (
@@ -223,7 +240,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     described = stored(shingle_sets(docs, size), "shingles")
     found = described.filter(F.col("doc_id").isNotNull() & F.col("set_id").isNotNull())
     classes = stored(
-        found.groupBy("set_id", "n_shingles", "keys")
+        found.groupBy("set_id", "n_shingles", "keys", "sketch")
         .agg(F.min("doc_id").alias("node"))
         .withColumn("node_set", F.xxhash64("set_id")),
         "classes",

@@ -10,7 +10,7 @@ import xxhash
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 # Lower case of A-Z alone.
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-_REMEMBERED = 500_000
+_REMEMBERED = 300_000
 _HASHES: dict[bytes, int] = {}
 
 
