@@ -7,7 +7,7 @@ import datetime as dt
 
 from ledgerlens.plans.flows import write_analysis
 from ledgerlens.schema import AMOUNT_SCALE, HOME_COUNTRY
-from ledgerlens.session import build_session
+from ledgerlens.session import build_session, partitions_for, shuffle_partitions
 from ledgerlens.sources.sales import read_sales, read_segments
 from ledgerlens.sources.segments import default_segments
 
@@ -24,21 +24,24 @@ def main() -> None:
     parser.add_argument("--amount-scale", type=int, default=AMOUNT_SCALE, help="decimals of an amount")
     parser.add_argument("--on-bad-edges", choices=["collapse", "error"], default="collapse")
     parser.add_argument("--overwrite", action="store_true", help="replace tables of an earlier run in OUT")
+    parser.add_argument("--input-bytes", type=int, help="size of SALES: sets the shuffle partitions; default: as configured")
     args = parser.parse_args()
     spark = build_session()
     lookup = read_segments(spark, args.segments) if args.segments else default_segments(spark)
-    written = write_analysis(
-        spark,
-        read_sales(spark, args.sales, args.format),
-        lookup,
-        args.out,
-        args.as_of or dt.datetime.now(),
-        args.ts_format,
-        args.home,
-        args.on_bad_edges,
-        args.amount_scale,
-        "overwrite" if args.overwrite else "error",
-    )
+    wanted = partitions_for(args.input_bytes) if args.input_bytes else None
+    with shuffle_partitions(spark, wanted):
+        written = write_analysis(
+            spark,
+            read_sales(spark, args.sales, args.format),
+            lookup,
+            args.out,
+            args.as_of or dt.datetime.now(),
+            args.ts_format,
+            args.home,
+            args.on_bad_edges,
+            args.amount_scale,
+            "overwrite" if args.overwrite else "error",
+        )
     print("\n".join(written))
 
 

@@ -43,10 +43,16 @@ def month_label(month: Column | str) -> Column:
 
 
 def parse_timestamp(text: Column | str, fmt: str, on_error: str = "fail") -> Column:
-    """Text to TIMESTAMP_NTZ; bad text fails the query or becomes null."""
+    """Text to TIMESTAMP_NTZ; bad text fails the query or becomes null.
+
+    The only parser that yields null is one of zoned times, so the text is read
+    as UTC and counted from the epoch: the session's zone has no part in it.
+    """
     text = F.col(text) if isinstance(text, str) else text
     if on_error == "null":
-        return F.try_to_timestamp(text, F.lit(fmt)).cast("timestamp_ntz")
+        instant = F.try_to_timestamp(F.concat(text, F.lit(" +0000")), F.lit(f"{fmt} Z"))
+        seconds = (F.unix_micros(instant) / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+        return F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
     parsed = F.to_timestamp_ntz(text, F.lit(fmt))
     bad = text.isNotNull() & parsed.isNull()
     return F.when(bad, F.raise_error(F.concat(F.lit("not a date: "), text))).otherwise(parsed)

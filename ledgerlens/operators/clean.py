@@ -16,15 +16,15 @@ def is_kept() -> Column:
     return F.col("quantity").isNull() | (F.col("quantity") >= 0)
 
 
+def is_present(name: str, kind: str) -> Column:
+    """Neither null nor, in a column of floats, NaN."""
+    column = F.col(f"`{name}`")
+    return column.isNotNull() & ~F.isnan(column) if kind in ("float", "double") else column.isNotNull()
+
+
 def is_complete(df: DataFrame) -> Column:
-    """No column is null or NaN."""
-    present = []
-    for name, kind in df.dtypes:
-        column = F.col(f"`{name}`")
-        present.append(column.isNotNull())
-        if kind in ("float", "double"):
-            present.append(~F.isnan(column))
-    return reduce(lambda a, b: a & b, present)
+    """Every column is present."""
+    return reduce(lambda a, b: a & b, [is_present(name, kind) for name, kind in df.dtypes])
 
 
 def drop_negative(sales: DataFrame) -> DataFrame:

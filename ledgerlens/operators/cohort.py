@@ -43,35 +43,27 @@ def assign_cohort(sales: DataFrame) -> DataFrame:
 def customer_months(sales: DataFrame) -> DataFrame:
     """One row per customer and active month, with cohort and home/away flags.
 
-    The only pass over invoice rows that cohort tables need, and one shuffle: a
-    customer's months are collected map-side as sets, which hold no more than
-    the calendar's months, and the first of them is the cohort.
+    Rows are combined map-side, per customer and month, in a hash aggregate;
+    what is left of a customer is bounded by the calendar, and its first month
+    is found in a window over that. Also reads ``customer_grain``.
     """
     active = (
-        sales.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id")
-        .agg(
-            F.collect_set(F.when(F.col("is_home"), F.col("month"))).alias("home_months"),
-            F.collect_set(F.when(~F.col("is_home"), F.col("month"))).alias("away_months"),
-        )
-        .withColumn("months", F.array_union("home_months", "away_months"))
+        sales.filter(F.col("customer_id").isNotNull() & F.col("month").isNotNull())
+        .groupBy("customer_id", "month")
+        .agg(F.max("is_home").alias("home"), F.max(~F.col("is_home")).alias("away"))
     )
-    return active.select(
-        "customer_id",
-        F.array_min("months").alias("cohort_month"),
-        F.explode("months").alias("month"),
-        "home_months",
-        "away_months",
-    ).select(
-        "customer_id",
-        "month",
-        F.array_contains("home_months", F.col("month")).alias("home"),
-        F.array_contains("away_months", F.col("month")).alias("away"),
-        "cohort_month",
-        cohort_index("month", "cohort_month").alias("cohort_index"),
+    cohort_month = F.min("month").over(W.partitionBy("customer_id"))
+    return active.withColumn("cohort_month", cohort_month).withColumn(
+        "cohort_index", cohort_index("month", "cohort_month")
     )
 
 
+def calendar_span(months: DataFrame) -> int:
+    """Months from the first to the last one, of ``customer_months``; one row comes to the driver."""
+    first = months.agg(F.min("month").alias("a"), F.max("month").alias("b"))
+    return first.select(F.coalesce(cohort_index("b", "a"), F.lit(0)).alias("n")).first().n
+
+
 def cohort_counts(months: DataFrame, scope: str = "all") -> DataFrame:
     """Distinct customers per cohort and index, from ``customer_months``."""
     if scope not in SCOPES:
@@ -129,23 +121,21 @@ def cohort_pivot(
 ) -> DataFrame:
     """Cohorts as rows, one double column per index; gaps are null.
 
-    Without ``indexes`` the columns are those present, found by a first job
-    over ``counts``: materialise them before. With ``indexes``, a count beyond
-    them fails the query rather than vanish.
+    Without ``indexes`` the columns go from 1 to the largest one, which a first
+    job over ``counts`` finds: materialise them before. With ``indexes``, a
+    count beyond them fails the query rather than vanish.
     """
     cell = F.first(value).cast("double")
     if indexes is None:
-        present = counts.select("cohort_index").distinct().orderBy("cohort_index")
-        indexes = [row[0] for row in present.toLocalIterator()]
-    else:
-        indexes = list(indexes)
-        beyond = ~F.col("cohort_index").isin(indexes)
-        counts = counts.withColumn(
-            "cohort_index",
-            F.when(beyond, F.raise_error(F.lit("cohort index outside the pivot's columns"))).otherwise(
-                F.col("cohort_index")
-            ),
-        )
+        indexes = range(1, (counts.agg(F.max("cohort_index").alias("n")).first().n or 0) + 1)
+    indexes = list(indexes)
+    beyond = ~F.col("cohort_index").isin(indexes)
+    counts = counts.withColumn(
+        "cohort_index",
+        F.when(beyond, F.raise_error(F.lit("cohort index outside the pivot's columns"))).otherwise(
+            F.col("cohort_index")
+        ),
+    )
     return counts.groupBy("cohort_month").pivot("cohort_index", indexes).agg(cell)
 
 

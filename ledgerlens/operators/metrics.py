@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 
@@ -12,17 +14,25 @@ def ratio(part: Column | str, whole: Column | str) -> Column:
     return F.try_divide(part.cast("double"), whole.cast("double"))
 
 
-def sums_and_distincts(sales: DataFrame, key: str, sums: list[Column], distincts: list[Column]) -> DataFrame:
-    """Plain and distinct aggregates by ``key``, joined on it.
+def invoices_by(sales: DataFrame, key: str) -> DataFrame:
+    """Distinct invoices per ``key``."""
+    return sales.filter(F.col(key).isNotNull()).groupBy(key).agg(F.countDistinct("invoice_no").alias("invoices"))
+
+
+def sums_and_distincts(
+    sales: DataFrame, keys: list[str], sums: list[Column], distincts: list[Column]
+) -> DataFrame:
+    """Plain and distinct aggregates by ``keys``, joined on them.
 
     In one aggregate Spark would repeat every row for each distinct count and
     carry the sums along. Apart, the sums combine map-side to a row per key,
-    the distinct values travel alone, re-keyed on (key, value) so that a key
+    the distinct values travel alone, re-keyed on (keys, value) so that a key
     with most rows is spread out, and they skip any removal of duplicate rows
     before them. The join sees one row per key.
     """
-    known = sales.filter(F.col(key).isNotNull())
-    return known.groupBy(key).agg(*sums).join(known.groupBy(key).agg(*distincts), key)
+    for key in keys:
+        sales = sales.filter(F.col(key).isNotNull())
+    return sales.groupBy(*keys).agg(*sums).join(sales.groupBy(*keys).agg(*distincts), keys)
 
 
 def country_panorama(sales: DataFrame) -> DataFrame:
@@ -39,21 +49,47 @@ def country_panorama(sales: DataFrame) -> DataFrame:
         F.countDistinct("invoice_no").alias("invoices"),
     ]
     return (
-        sums_and_distincts(sales, "country", sums, distincts)
+        sums_and_distincts(sales, ["country"], sums, distincts)
+        .withColumn("mean_amount", ratio("revenue", "amounts"))
+        .drop("amounts")
+        .orderBy(F.desc("revenue"), "country")
+    )
+
+
+def panorama_of_grain(grain: DataFrame, invoices: DataFrame) -> DataFrame:
+    """``country_panorama`` from ``customer_grain`` and the invoices by country."""
+    sums = [
+        F.min("min_amount").alias("min_amount"),
+        F.max("max_amount").alias("max_amount"),
+        F.sum("monetary").alias("revenue"),
+        F.sum("amounts").alias("amounts"),
+        F.sum("items").alias("items"),
+    ]
+    return (
+        sums_and_distincts(grain, ["country"], sums, [F.countDistinct("customer_id").alias("customers")])
+        .join(invoices, "country")
         .withColumn("mean_amount", ratio("revenue", "amounts"))
         .drop("amounts")
         .orderBy(F.desc("revenue"), "country")
     )
 
 
-def monthly_sales(sales: DataFrame) -> DataFrame:
-    """Per month: invoices, customers, items, revenue."""
+def monthly_of_grain(grain: DataFrame, invoices: DataFrame) -> DataFrame:
+    """``monthly_sales`` from ``customer_grain`` and the invoices by month."""
+    sums = [F.sum("items").alias("items"), F.sum("monetary").alias("revenue")]
+    customers = [F.countDistinct("customer_id").alias("customers")]
+    return sums_and_distincts(grain, ["month"], sums, customers).join(invoices, "month").orderBy("month")
+
+
+def monthly_sales(sales: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Per month (and ``by``): invoices, customers, items, revenue."""
+    keys = [*(by or []), "month"]
     sums = [F.sum("quantity").alias("items"), F.sum("amount").alias("revenue")]
     distincts = [
         F.countDistinct("invoice_no").alias("invoices"),
         F.countDistinct("customer_id").alias("customers"),
     ]
-    return sums_and_distincts(sales, "month", sums, distincts).orderBy("month")
+    return sums_and_distincts(sales, keys, sums, distincts).orderBy(*keys)
 
 
 def peak_month(monthly: DataFrame) -> DataFrame:
@@ -61,17 +97,36 @@ def peak_month(monthly: DataFrame) -> DataFrame:
     return monthly.orderBy(F.desc("invoices"), "month").limit(1)
 
 
+def peak_month_by_home(side_monthly: DataFrame) -> DataFrame:
+    """The peak month of each side."""
+    return _by_side(side_monthly, peak_month)
+
+
+def _by_side(df: DataFrame, report: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``report`` of the home and of the away rows, each by its own top-k."""
+    return report(df.filter("is_home")).unionByName(report(df.filter(~F.col("is_home"))))
+
+
 def partial_periods(sales: DataFrame) -> DataFrame:
-    """Per month: last sale, and whether the data end before the month does."""
-    last = sales.groupBy("month").agg(F.max("invoice_ts").alias("last_ts"))
+    """Per month: last sale, and whether the data end before the month does.
+
+    Also reads ``customer_grain``.
+    """
+    ts = "invoice_ts" if "invoice_ts" in sales.columns else "last_ts"
+    last = _dated(sales).groupBy("month").agg(F.max(ts).alias("last_ts"))
     # One row per calendar month: a single partition holds them.
     data_end = F.max("last_ts").over(W.partitionBy())
     cut = (F.col("last_ts") == data_end) & (F.to_date("last_ts") < F.last_day("month"))
     return last.withColumn("is_partial", cut)
 
 
+def _dated(sales: DataFrame) -> DataFrame:
+    """Rows with a month: one that could not be read is in no month."""
+    return sales.filter(F.col("month").isNotNull())
+
+
 def revenue_by_month(sales: DataFrame, by: list[str] | None = None) -> DataFrame:
-    return sales.groupBy(*(by or []), "month").agg(F.sum("amount").alias("revenue"))
+    return _dated(sales).groupBy(*(by or []), "month").agg(F.sum("amount").alias("revenue"))
 
 
 def avg_month_revenue(monthly: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -83,42 +138,63 @@ def avg_month_revenue(monthly: DataFrame, by: list[str] | None = None) -> DataFr
     )
 
 
-def customer_repeats(sales: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Per customer (and ``by``): spend, smallest and largest invoice number.
+def customer_repeats(sales: DataFrame) -> DataFrame:
+    """Per customer: spend and distinct invoices, in all, at home and away.
 
-    More than one distinct invoice means that the two differ, which needs no
-    shuffle of the invoices as a distinct count does.
+    Rows are first combined per customer and invoice, in hash aggregates of
+    which the first is spread over a customer's invoices, so one with very many
+    is no hot task; invoice numbers are text, whose minimum or distinct set
+    would sort all rows.
     """
-    return (
+    spend = F.sum("amount")
+    home = F.col("is_home")
+    per_invoice = (
         sales.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id", *(by or []))
+        .groupBy("customer_id", "invoice_no")
         .agg(
-            F.sum("amount").alias("spend"),
-            F.min("invoice_no").alias("min_invoice"),
-            F.max("invoice_no").alias("max_invoice"),
+            spend.alias("spend"),
+            F.sum(F.when(home, F.col("amount"))).alias("home_spend"),
+            F.sum(F.when(~home, F.col("amount"))).alias("away_spend"),
+            F.count_if(home).alias("home_rows"),
+            F.count_if(~home).alias("away_rows"),
         )
     )
-
-
-def merge_repeats(repeats: DataFrame) -> DataFrame:
-    """One row per customer from ``customer_repeats`` by side."""
-    return repeats.groupBy("customer_id").agg(
+    numbered = F.col("invoice_no").isNotNull()
+    return per_invoice.groupBy("customer_id").agg(
         F.sum("spend").alias("spend"),
-        F.min("min_invoice").alias("min_invoice"),
-        F.max("max_invoice").alias("max_invoice"),
+        F.count_if(numbered).alias("invoices"),
+        F.sum("home_spend").alias("home_spend"),
+        F.count_if(numbered & (F.col("home_rows") > 0)).alias("home_invoices"),
+        F.sum("home_rows").alias("home_rows"),
+        F.sum("away_spend").alias("away_spend"),
+        F.count_if(numbered & (F.col("away_rows") > 0)).alias("away_invoices"),
+        F.sum("away_rows").alias("away_rows"),
     )
 
 
+def side_repeats(repeats: DataFrame) -> DataFrame:
+    """``customer_repeats`` with a row per customer and side that has sales."""
+    sides = [
+        F.struct(
+            F.lit(side == "home").alias("is_home"),
+            F.col(f"{side}_spend").alias("spend"),
+            F.col(f"{side}_invoices").alias("invoices"),
+            F.col(f"{side}_rows").alias("rows"),
+        )
+        for side in ("home", "away")
+    ]
+    return repeats.select("customer_id", F.inline(F.array(*sides))).filter(F.col("rows") > 0).drop("rows")
+
+
 def customer_kpis(repeats: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Customers, average spend per customer, share who bought more than once,
-    from ``customer_repeats``."""
-    returned = F.col("min_invoice") != F.col("max_invoice")
+    from ``customer_repeats`` or ``side_repeats``."""
     return (
         repeats.groupBy(*(by or []))
         .agg(
             F.count("*").alias("customers"),
             F.sum("spend").alias("revenue"),
-            F.count_if(returned).alias("repeat_customers"),
+            F.count_if(F.col("invoices") > 1).alias("repeat_customers"),
         )
         .withColumn("avg_customer_spend", ratio("revenue", "customers"))
         .withColumn("repeat_rate", ratio("repeat_customers", "customers"))
@@ -134,3 +210,8 @@ def kpis_by_home(side_repeats: DataFrame, side_months: DataFrame) -> DataFrame:
 def top_customers(base: DataFrame, n: int = 10) -> DataFrame:
     """The ``n`` customers with the highest spend."""
     return base.orderBy(F.desc("monetary"), "customer_id").limit(n)
+
+
+def top_customers_by_home(sides: DataFrame, n: int = 10) -> DataFrame:
+    """The ``n`` customers of each side with the highest spend there."""
+    return _by_side(sides, lambda side: top_customers(side, n))

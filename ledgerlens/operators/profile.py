@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ledgerlens.operators.clean import is_complete, is_kept
+from ledgerlens.operators.clean import is_complete, is_kept, is_present
 
 
 def profile_columns(df: DataFrame) -> DataFrame:
-    """Per column: type, non-null count and row count."""
-    counts = df.agg(F.count("*").alias("rows"), *[F.count(_q(c)).alias(c) for c in df.columns])
+    """Per column: type, count of present values and row count. NaN is missing, as in cleaning."""
+    present = [F.count_if(is_present(c, kind)).alias(c) for c, kind in df.dtypes]
+    counts = df.agg(F.count("*").alias("rows"), *present)
     types = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
     return counts.unpivot(["rows"], list(df.columns), "column", "non_null").select(
         "column", types[F.col("column")].alias("type"), "non_null", "rows"
@@ -17,7 +18,7 @@ def profile_columns(df: DataFrame) -> DataFrame:
 
 
 def profile_missing(df: DataFrame) -> DataFrame:
-    """Per column: null count."""
+    """Per column: count of nulls and NaNs."""
     return profile_columns(df).select("column", (F.col("rows") - F.col("non_null")).alias("missing"))
 
 

@@ -21,13 +21,12 @@ def _scale(df: DataFrame, columns: Sequence[str]) -> int:
     return max((k.scale for k in kinds if isinstance(k, T.DecimalType)), default=0)
 
 
-def _compact(column: str, scale: int) -> Column:
-    """As a decimal that fits a machine word, which sorts and hashes fast. A
-    larger number fails the query."""
-    kind = T.DecimalType(18, scale)
-    value = F.col(column).try_cast(kind)
-    too_large = F.raise_error(F.lit(f"{column} does not fit {kind.simpleString()}")).cast(kind)
-    return F.when(F.col(column).isNotNull() & value.isNull(), too_large).otherwise(value)
+def _common(df: DataFrame, columns: Sequence[str]) -> T.DecimalType:
+    """A decimal type that holds all values of whole-number and decimal columns."""
+    kinds = [df.schema[c].dataType for c in columns]
+    kinds = [k if isinstance(k, T.DecimalType) else T.DecimalType(20, 0) for k in kinds]
+    scale = _scale(df, columns)
+    return T.DecimalType(min(38, max(k.precision - k.scale for k in kinds) + scale), scale)
 
 
 def ranged_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -39,13 +38,13 @@ def ranged_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
     it. ``totals`` has one row per group and partition: its size is the
     partition count, not the data's.
     """
-    counted = df.groupBy(group, value).agg(F.count("*").alias("n"))
+    counted = df.groupBy(group, value).agg(F.count("*").alias("n"), F.sum(value).alias("amount"))
     ranged = materialise(counted.repartitionByRange(group, value).withColumn("part", F.spark_partition_id()))
     earlier = W.partitionBy(group).orderBy("part").rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy(group)
     totals = (
         ranged.groupBy(group, "part")
-        .agg(F.sum("n").alias("part_n"), F.sum(_amount(ranged, value)).alias("part_amount"))
+        .agg(F.sum("n").alias("part_n"), F.sum("amount").alias("part_amount"))
         .select(
             group,
             "part",
@@ -59,10 +58,6 @@ def ranged_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
     return ranged.join(F.broadcast(totals), [group, "part"])
 
 
-def _amount(df: DataFrame, value: str) -> Column:
-    return (F.col(value) * F.col("n")).cast(T.DecimalType(38, _scale(df, [value])))
-
-
 def cumulate(ranged: DataFrame, group: str, value: str) -> DataFrame:
     """Add to ``ranged_histogram`` the rows and sum below each value.
 
@@ -79,7 +74,7 @@ def cumulate(ranged: DataFrame, group: str, value: str) -> DataFrame:
         value,
         "n",
         before(F.col("n"), "n_base").alias("n_below"),
-        before(_amount(ranged, value), "amount_base").alias("amount_below"),
+        before(F.col("amount"), "amount_base").alias("amount_below"),
         "n_total",
         "amount_total",
     )
@@ -93,7 +88,7 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], percents: Sequence[
     equals it exactly. Only ranges that hold a wanted rank are sorted.
     """
     scale = _scale(df, columns)
-    values = df.select(*[_compact(c, scale).alias(c) for c in columns])
+    values = df.select(*[F.col(c).cast(_common(df, columns)).alias(c) for c in columns])
     long = values.unpivot([], list(columns), "measure", "value").filter(F.col("value").isNotNull())
     total = F.col("n_total")
     ranks = {"max": total - 1}
@@ -114,7 +109,7 @@ def exact_percentiles(df: DataFrame, columns: Sequence[str], percents: Sequence[
     for p in percents:
         weight = (((total - 1) * p) % 100).cast("decimal(2,0)") * F.lit("0.01").cast("decimal(2,2)")
         edge = F.col(f"low{p}") + (F.col(f"high{p}") - F.col(f"low{p}")) * weight
-        edges.append(edge.cast(T.DecimalType(30, scale + 2)).alias(f"p{p}"))
+        edges.append(edge.cast(T.DecimalType(38, scale + 2)).alias(f"p{p}"))
     return wanted.groupBy("measure").agg(F.max(total).alias("n_total"), *picked).select("measure", *edges, "max")
 
 
@@ -124,7 +119,7 @@ def pareto_curve(base: DataFrame) -> DataFrame:
     Customers of equal spend share a row.
     """
     scale = _scale(base, ["monetary"])
-    spend = base.select(F.lit("spend").alias("measure"), _compact("monetary", scale).alias("monetary"))
+    spend = base.select(F.lit("spend").alias("measure"), "monetary").filter(F.col("monetary").isNotNull())
     total = T.DecimalType(38, scale)
     curve = cumulate(ranged_histogram(spend, "measure", "monetary"), "measure", "monetary")
     return curve.select(

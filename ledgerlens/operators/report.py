@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ledgerlens.functions.dates import month_label
-from ledgerlens.functions.numbers import format_currency, format_percent, heat_intensity
-from ledgerlens.operators.cohort import SCOPES, cohort_counts_by_scope, retention
+from ledgerlens.functions.numbers import format_currency, format_percent, heat_intensity, round_rate
+from ledgerlens.operators.cohort import cohort_counts_by_scope, cohort_pivot, retention
 from ledgerlens.operators.metrics import ratio
 from ledgerlens.operators.rfm import share_of_total
 
@@ -47,6 +49,31 @@ def bar_fraction(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({f"{c}_bar": ratio(c, F.max(c).over(whole)) for c in columns})
 
 
+def month_table(monthly: DataFrame) -> DataFrame:
+    """Monthly sales under their headings, with revenue as text and bars."""
+    return _table(monthly.select("month", "invoices", "customers", "items", "revenue"), MONTH_HEADINGS)
+
+
+def segment_table(summary: DataFrame) -> DataFrame:
+    """Segments under their headings, with revenue as text and bars."""
+    return _table(summary.select("category", "customers", "revenue"), SEGMENT_HEADINGS)
+
+
+def _table(df: DataFrame, headings: list[str]) -> DataFrame:
+    """Under ``headings``, with the last column as text and bars of customers and of it."""
+    table = rename_columns(df, headings)
+    customers, revenue = "Clientes", headings[-1]
+    return with_currency_text(bar_fraction(table, [customers, revenue]), [revenue])
+
+
+def retention_wide(rates: DataFrame, indexes: Sequence[int], places: int | None = None) -> DataFrame:
+    """Cohorts as rows, their rates by index as columns, rounded to ``places`` for display."""
+    wide = cohort_pivot(rates, "rate", indexes)
+    if places is None:
+        return wide
+    return wide.select("cohort_month", *[round_rate(f"`{i}`", places).alias(str(i)) for i in indexes])
+
+
 def heatmap_cells(months: DataFrame) -> DataFrame:
     """Retention cells of the three heat maps, from one pass over customers."""
     rates = retention(cohort_counts_by_scope(months), by=["scope"])

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ledgerlens.functions.dates import elapsed_days
 from ledgerlens.operators.metrics import ratio
@@ -22,18 +23,40 @@ def rfm_base(sales: DataFrame) -> DataFrame:
     return _purchases(sales, ["customer_id"])
 
 
+def customer_grain(sales: DataFrame) -> DataFrame:
+    """Per customer, country and month: what all tables of customers and months are made of.
+
+    One pass over the invoices and one shuffle, of hash aggregates whose keys
+    spread a customer's and a country's rows.
+    """
+    return sales.groupBy("customer_id", "country", "is_home", "month").agg(
+        F.max("invoice_ts").alias("last_ts"),
+        F.min("invoice_ts").alias("first_ts"),
+        F.count("invoice_no").alias("frequency"),
+        F.sum("amount").alias("monetary"),
+        F.min("amount").alias("min_amount"),
+        F.max("amount").alias("max_amount"),
+        F.count("amount").alias("amounts"),
+        F.sum("quantity").alias("items"),
+    )
+
+
 def customer_sides(sales: DataFrame) -> DataFrame:
     """``rfm_base`` apart for home and away: two rows per customer at most."""
     return _purchases(sales, ["customer_id", "is_home"])
 
 
-def merge_sides(sides: DataFrame) -> DataFrame:
-    """``rfm_base`` from ``customer_sides``, without another pass over sales."""
-    return sides.groupBy("customer_id").agg(
-        F.max("last_ts").alias("last_ts"),
-        F.min("first_ts").alias("first_ts"),
-        F.sum("frequency").alias("frequency"),
-        F.sum("monetary").cast(sides.schema["monetary"].dataType).alias("monetary"),
+def merge_grain(grain: DataFrame, by: list[str]) -> DataFrame:
+    """``rfm_base`` or ``customer_sides`` from ``customer_grain``, or the former from the latter."""
+    return (
+        grain.filter(F.col("customer_id").isNotNull())
+        .groupBy(*by)
+        .agg(
+            F.max("last_ts").alias("last_ts"),
+            F.min("first_ts").alias("first_ts"),
+            F.sum("frequency").alias("frequency"),
+            F.sum("monetary").cast(grain.schema["monetary"].dataType).alias("monetary"),
+        )
     )
 
 
@@ -71,16 +94,19 @@ def rfm_scores(rfm: DataFrame, edges: DataFrame, on_bad_edges: str = "collapse")
         raise ValueError("on_bad_edges must be 'collapse' or 'error'")
     fields = [f"p{p}" for p in QUARTILES] + ["max"]
     row = F.struct(*fields)
-    # One row for three measures, read as a scalar: no join.
-    wide = edges.agg(
-        F.struct(*[F.max(F.when(F.col("measure") == m, row)).alias(m) for m in MEASURES]).alias("edges")
-    )
+    # Twelve numbers come to the driver. As literals they cost the plan nothing;
+    # a scalar query would be copied to each of its uses.
+    found = edges.agg(*[F.max(F.when(F.col("measure") == m, row)).alias(m) for m in MEASURES]).first()
     strict = on_bad_edges == "error"
-    scores = {
-        score: _score(F.col(measure), [F.col("edges")[measure][f] for f in fields], strict)
-        for measure, score in MEASURES.items()
-    }
-    return rfm.withColumn("edges", wide.scalar()).withColumns(scores).drop("edges")
+    scores = {}
+    for measure, score in MEASURES.items():
+        own = [None if found[measure] is None else found[measure][f] for f in fields]
+        scores[score] = _score(F.col(measure), [_literal(x, edges.schema[f]) for x, f in zip(own, fields)], strict)
+    return rfm.withColumns(scores)
+
+
+def _literal(value: Decimal | None, field: T.StructField) -> Column:
+    return F.lit(None if value is None else str(value)).cast(field.dataType)
 
 
 def _score(x: Column, edges: list[Column], strict: bool) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerlens.functions import dates, numbers
 from ledgerlens.operators import clean, cohort, metrics, profile, ranking, report, rfm
 from ledgerlens.plans import flows
-from ledgerlens.session import fit_shuffles, materialise, scratch_path
+from ledgerlens.session import materialise, scratch_path
 from ledgerlens.sources import sales as io
 from ledgerlens.sources.segments import default_segments, segment_rule
 from ledgerlens.sources.star import sales_from_orders
@@ -18,8 +18,6 @@ from ledgerlens.sources.star import sales_from_orders
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = dt.datetime(2001, 8, 2)
-# The order tables span 80 calendar months, so no cohort index is larger.
-PIVOT_INDEXES = range(1, 81)
 TEXT_DATE = "dd/MM/yyyy HH:mm"
 
 QUERIES: dict[str, Query] = {}
@@ -36,9 +34,7 @@ def query(build: Query) -> Query:
 
 
 def _raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sales = sales_from_orders(spark, sf_dir)
-    fit_shuffles(sales)
-    return sales
+    return sales_from_orders(spark, sf_dir)
 
 
 def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,6 +88,14 @@ def scan_sales(spark, sf_dir):
     return io.read_sales(spark, path)
 
 
+@query
+def monthly_sales_from_csv(spark, sf_dir):
+    """Text dates and amounts, from file to report; the file is a scratch one."""
+    path = scratch_path(spark, "sales-csv")
+    io.write_sales_csv(_raw(spark, sf_dir).withColumn("invoice_ts", F.date_format("invoice_ts", TEXT_DATE)), path)
+    return metrics.monthly_sales(flows.prepared_sales(io.read_sales(spark, path), TEXT_DATE))
+
+
 @query
 def scan_segments(spark, sf_dir):
     scored = materialise(_scored(spark, sf_dir))
@@ -344,19 +348,61 @@ def segment_summary(spark, sf_dir):
     return _summary(spark, sf_dir)
 
 
+def _pivot(spark: SparkSession, sf_dir: str, scope: str) -> DataFrame:
+    months = materialise(_months(spark, sf_dir))
+    indexes = range(1, cohort.calendar_span(months) + 1)
+    return cohort.cohort_pivot(cohort.cohort_counts(months, scope), indexes=indexes)
+
+
+def _wide(spark: SparkSession, sf_dir: str, scope: str, places: int | None = None) -> DataFrame:
+    months = materialise(_months(spark, sf_dir))
+    rates = cohort.retention(cohort.cohort_counts(months, scope))
+    return report.retention_wide(rates, range(1, cohort.calendar_span(months) + 1), places)
+
+
 @query
 def cohort_pivot(spark, sf_dir):
-    return cohort.cohort_pivot(_counts(spark, sf_dir), indexes=PIVOT_INDEXES)
+    return _pivot(spark, sf_dir, "all")
 
 
 @query
 def cohort_pivot_home(spark, sf_dir):
-    return cohort.cohort_pivot(_counts(spark, sf_dir, "home"), indexes=PIVOT_INDEXES)
+    return _pivot(spark, sf_dir, "home")
 
 
 @query
 def cohort_pivot_away(spark, sf_dir):
-    return cohort.cohort_pivot(_counts(spark, sf_dir, "away"), indexes=PIVOT_INDEXES)
+    return _pivot(spark, sf_dir, "away")
+
+
+@query
+def retention_wide(spark, sf_dir):
+    return _wide(spark, sf_dir, "all")
+
+
+@query
+def retention_wide_home(spark, sf_dir):
+    return _wide(spark, sf_dir, "home")
+
+
+@query
+def retention_wide_away(spark, sf_dir):
+    return _wide(spark, sf_dir, "away")
+
+
+@query
+def retention_wide_rounded(spark, sf_dir):
+    return _wide(spark, sf_dir, "all", 3)
+
+
+@query
+def retention_wide_rounded_home(spark, sf_dir):
+    return _wide(spark, sf_dir, "home", 3)
+
+
+@query
+def retention_wide_rounded_away(spark, sf_dir):
+    return _wide(spark, sf_dir, "away", 3)
 
 
 # Retention and shares
@@ -395,6 +441,25 @@ def top_customers(spark, sf_dir):
     return metrics.top_customers(rfm.rfm_base(_sales(spark, sf_dir)))
 
 
+def _side_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metrics.monthly_sales(_sales(spark, sf_dir), ["is_home"])
+
+
+@query
+def monthly_sales_by_home(spark, sf_dir):
+    return _side_monthly(spark, sf_dir)
+
+
+@query
+def peak_month_by_home(spark, sf_dir):
+    return metrics.peak_month_by_home(materialise(_side_monthly(spark, sf_dir)))
+
+
+@query
+def top_customers_by_home(spark, sf_dir):
+    return metrics.top_customers_by_home(materialise(rfm.customer_sides(_sales(spark, sf_dir))))
+
+
 @query
 def split_home(spark, sf_dir):
     return clean.split_home(_sales(spark, sf_dir))
@@ -427,7 +492,7 @@ def repeat_rate(spark, sf_dir):
 def kpis_by_home(spark, sf_dir):
     sales = _sales(spark, sf_dir)
     return metrics.kpis_by_home(
-        metrics.customer_repeats(sales, ["is_home"]), metrics.revenue_by_month(sales, ["is_home"])
+        metrics.side_repeats(metrics.customer_repeats(sales)), metrics.revenue_by_month(sales, ["is_home"])
     )
 
 
@@ -489,6 +554,16 @@ def heatmap_cells(spark, sf_dir):
     return report.heatmap_cells(_months(spark, sf_dir))
 
 
+@query
+def month_table(spark, sf_dir):
+    return report.month_table(_monthly(spark, sf_dir))
+
+
+@query
+def segment_table(spark, sf_dir):
+    return report.segment_table(_summary(spark, sf_dir))
+
+
 @query
 def treemap_cells(spark, sf_dir):
     return report.treemap_cells(_summary(spark, sf_dir))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.operators import clean, cohort, metrics, ranking, report, rfm
 from ledgerlens.schema import AMOUNT_SCALE, HOME_COUNTRY
-from ledgerlens.session import fit_shuffles, materialise
+from ledgerlens.session import materialise
 from ledgerlens.sources.sales import read_report, write_report
 
 
@@ -44,7 +44,8 @@ def labelled_customers(
 def segment_mix(sales: DataFrame, as_of: dt.datetime, lookup: DataFrame) -> DataFrame:
     """Segments at home and away, from a single pass over the invoices."""
     sides = materialise(rfm.customer_sides(sales))
-    return rfm.segments_by_home(labelled_customers(rfm.merge_sides(sides), as_of, lookup), sides)
+    base = rfm.merge_grain(sides, ["customer_id"])
+    return rfm.segments_by_home(labelled_customers(base, as_of, lookup), sides)
 
 
 def write_analysis(
@@ -61,40 +62,51 @@ def write_analysis(
 ) -> list[str]:
     """Run the whole analysis and write each result table under ``out``.
 
-    The clean rows and the tables with a row per customer are written once, and
-    the later tables read those: the invoices are shuffled for duplicates a
-    single time.
+    The clean rows are written once, by month, so that a later read of one month
+    opens that folder only. Four passes over them make the grain of customers,
+    countries and months, the customers' distinct invoices, and the distinct
+    invoices by country and by month; all other tables read those.
     """
-    fit_shuffles(raw)
     written = []
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        write_report(df, f"{out}/{name}", mode=mode)
+    def store(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        write_report(df, f"{out}/{name}", partition_by, mode=mode)
         written.append(name)
         return read_report(spark, f"{out}/{name}")
 
-    sales = store("sales", prepared_sales(raw, ts_format, home, scale=scale))
-    months = store("customer_months", cohort.customer_months(sales))
-    sides = store("customer_sides", rfm.customer_sides(sales))
-    repeats = store("customer_repeats", metrics.customer_repeats(sales, ["is_home"]))
-    labelled = store("customers", labelled_customers(rfm.merge_sides(sides), as_of, lookup, on_bad_edges))
-    monthly = store("monthly_sales", metrics.monthly_sales(sales))
+    sales = store("sales", prepared_sales(raw, ts_format, home, scale=scale), ["month"])
+    grain = store("customer_grain", rfm.customer_grain(sales))
+    repeats = store("customer_repeats", metrics.customer_repeats(sales))
+    months = store("customer_months", cohort.customer_months(grain))
+    sides = store("customer_sides", rfm.merge_grain(grain, ["customer_id", "is_home"]))
+    base = rfm.merge_grain(sides, ["customer_id"])
+    labelled = store("customers", labelled_customers(base, as_of, lookup, on_bad_edges))
+    monthly = store("monthly_sales", metrics.monthly_of_grain(grain, metrics.invoices_by(sales, "month")))
     summary = store("segment_summary", rfm.segment_summary(labelled))
+    side_months = grain.withColumnRenamed("monetary", "amount")
     tables = {
-        "country_panorama": metrics.country_panorama(sales),
-        "partial_periods": metrics.partial_periods(sales),
-        "kpis": metrics.customer_kpis(metrics.merge_repeats(repeats)),
-        "kpis_by_home": metrics.kpis_by_home(repeats, metrics.revenue_by_month(sales, ["is_home"])),
+        "country_panorama": metrics.panorama_of_grain(grain, metrics.invoices_by(sales, "country")),
+        "partial_periods": metrics.partial_periods(grain),
+        "kpis": metrics.customer_kpis(repeats),
+        "kpis_by_home": metrics.kpis_by_home(
+            metrics.side_repeats(repeats), metrics.revenue_by_month(side_months, ["is_home"])
+        ),
         "avg_month_revenue": metrics.avg_month_revenue(monthly),
+        "top_customers_by_home": metrics.top_customers_by_home(sides),
         "new_vs_returning": cohort.new_vs_returning(months, monthly),
         "heatmap_cells": report.heatmap_cells(months),
         "segments_by_home": rfm.segments_by_home(labelled, sides),
         "segment_cum_share": rfm.segment_cum_share(summary),
         "treemap_cells": report.treemap_cells(summary),
         "pareto_customers": ranking.pareto_customers(ranking.pareto_curve(labelled)),
+        "month_table": report.month_table(monthly),
+        "segment_table": report.segment_table(summary),
     }
+    span = range(1, cohort.calendar_span(months) + 1)
     for scope in cohort.SCOPES:
-        tables[f"retention_{scope}"] = cohort.retention(cohort.cohort_counts(months, scope))
+        rates = cohort.retention(cohort.cohort_counts(months, scope))
+        tables[f"retention_{scope}"] = rates
+        tables[f"retention_wide_{scope}"] = report.retention_wide(rates, span)
     for name, table in tables.items():
         store(name, report.decimals_to_doubles(table))
     return written

@@ -190,6 +190,31 @@ def _pivot(scope: str) -> str:
     return _with(_COHORT, f"SELECT cohort_month, {cells} FROM counts WHERE scope = '{scope}' GROUP BY cohort_month")
 
 
+def _wide(scope: str, places: int | None = None) -> str:
+    rate = "max(rate) FILTER (WHERE cohort_index = {i})"
+    cell = rate if places is None else f"round_even({rate}, {places})"
+    cells = ", ".join(f'{cell.format(i=i)} AS "{i}"' for i in range(1, 81))
+    return _with(_COHORT, f"SELECT cohort_month, {cells} FROM rates WHERE scope = '{scope}' GROUP BY cohort_month")
+
+
+def _bars(revenue: str) -> str:
+    return (
+        f"CAST(customers AS DOUBLE) / max(customers) OVER () AS \"Clientes_bar\", "
+        f"{revenue} / max({revenue}) OVER () AS \"Faturamento_bar\", {_currency(revenue)} AS \"Faturamento_text\""
+    )
+
+
+_SIDE_MONTHLY = (
+    _CLEAN
+    + """
+side_monthly AS (
+  SELECT is_home, month, count(DISTINCT invoice_no) AS invoices, count(DISTINCT customer_id) AS customers,
+    CAST(sum(quantity) AS BIGINT) AS items, CAST(sum(amount) AS DOUBLE) AS revenue
+  FROM clean GROUP BY is_home, month),
+"""
+)
+
+
 def _currency(column: str) -> str:
     return f"format('£{{:,.2f}}', {column})"
 
@@ -388,6 +413,35 @@ ORACLE = {
         "FROM rates WHERE scope = 'all' AND cohort_index >= 2 AND cohort_size IS NOT NULL "
         "GROUP BY cohort_month, cohort_size ORDER BY mean_rate, cohort_month LIMIT 1",
     ),
+    "monthly_sales_from_csv": _with(_MONTHLY, "SELECT * FROM monthly"),
+    "monthly_sales_by_home": _with(_SIDE_MONTHLY, "SELECT * FROM side_monthly"),
+    "peak_month_by_home": _with(
+        _SIDE_MONTHLY,
+        "SELECT * FROM side_monthly QUALIFY row_number() OVER (PARTITION BY is_home ORDER BY invoices DESC, month) = 1",
+    ),
+    "top_customers_by_home": _with(
+        _CLEAN,
+        "SELECT customer_id, is_home, last_ts, first_ts, frequency, CAST(monetary AS DOUBLE) AS monetary FROM ("
+        "SELECT customer_id, is_home, max(invoice_ts) AS last_ts, min(invoice_ts) AS first_ts, "
+        "count(invoice_no) AS frequency, sum(amount) AS monetary FROM clean GROUP BY customer_id, is_home) AS side "
+        "QUALIFY row_number() OVER (PARTITION BY is_home ORDER BY side.monetary DESC, customer_id) <= 10",
+    ),
+    "retention_wide": _wide("all"),
+    "retention_wide_home": _wide("home"),
+    "retention_wide_away": _wide("away"),
+    "retention_wide_rounded": _wide("all", 3),
+    "retention_wide_rounded_home": _wide("home", 3),
+    "retention_wide_rounded_away": _wide("away", 3),
+    "month_table": _with(
+        _MONTHLY,
+        'SELECT month AS "Mes-Ano", invoices AS "Vendas", customers AS "Clientes", items AS "ProdutosVendidos", '
+        f'revenue AS "Faturamento", {_bars("revenue")} FROM monthly',
+    ),
+    "segment_table": _with(
+        _SCORED,
+        'SELECT category AS "Categoria", customers AS "Clientes", CAST(revenue AS DOUBLE) AS "Faturamento", '
+        f'{_bars("CAST(revenue AS DOUBLE)")} FROM summary',
+    ),
     "segments_by_home": _with(
         _SCORED,
         "SELECT is_home, category, customers, CAST(revenue AS DOUBLE) AS revenue, "

@@ -52,4 +52,5 @@ AMOUNT_SCALE = 2
 
 
 def amount_type(scale: int = AMOUNT_SCALE) -> T.DecimalType:
-    return T.DecimalType(18, scale)
+    """Sixteen digits before the point, whatever the scale, as far as decimals go."""
+    return T.DecimalType(min(38, 16 + scale), scale)

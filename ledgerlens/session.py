@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,36 +32,30 @@ def build_session(app: str = "ledgerlens", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
-# A task's share of what a plan reads. Beyond MAX_TASKS shares grow instead:
-# a shuffle has tasks x tasks blocks, and too many tiny ones cost more than
-# partitions of a few GB, which sort and aggregate by spilling.
-TASK_BYTES = 256 << 20
-MAX_TASKS = 40_000
+# A task's share of the input, uncompressed sizes being unknown.
+TASK_BYTES = 128 << 20
 
 
-def fit_shuffles(*inputs: DataFrame) -> int:
-    """Raise the session's shuffle partitions and scan split to the input size.
+def partitions_for(input_bytes: int, task_bytes: int = TASK_BYTES) -> int:
+    """Shuffle partitions for an input of so many bytes on disk: in proportion, at any size."""
+    return max(1, -(-input_bytes // task_bytes))
 
-    Only ever raised: AQE merges partitions that prove small, but it cannot
-    split an aggregate's too large ones. Returns the number of partitions.
+
+@contextlib.contextmanager
+def shuffle_partitions(spark: SparkSession, n: int | None) -> Iterator[None]:
+    """Run a block with at least ``n`` shuffle partitions, and put the setting back.
+
+    Never fewer than set: AQE merges partitions that prove small, but cannot
+    split an aggregate's too large ones.
     """
-    spark = inputs[0].sparkSession
-    size = sum(_scan_bytes(df) for df in inputs)
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(-(-size // TASK_BYTES), MAX_TASKS)
-    if wanted > partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    split = -(-size // MAX_TASKS)
-    if split > TASK_BYTES:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
-    return max(wanted, partitions)
-
-
-def _scan_bytes(df: DataFrame) -> int:
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    unknown = 2**63 - 1  # what Spark reports for data that are in no file
-    return sum(size for size in sizes if size < unknown)
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if n is not None and n > int(before):
+        spark.conf.set(name, str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _ensure_checkpoint_dir(spark: SparkSession) -> str:

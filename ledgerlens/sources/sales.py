@@ -8,11 +8,14 @@ from ledgerlens.functions.numbers import parse_whole
 from ledgerlens.schema import MISSING_TEXTS, RAW_TYPES, SOURCE_NAMES
 
 
+_BAD_LINE, _MARK = "_bad_line", "\x02"
+
+
 def read_sales(spark: SparkSession, path: str, fmt: str = "csv", **options: str) -> DataFrame:
     """Invoice rows from CSV or parquet.
 
-    Columns are taken by name, so their order in the file is free and further
-    columns are kept. Nothing is inferred: CSV fields are text, the known ones
+    Columns are taken by name, so their order is free, if it is the same in all
+    files of a folder, and further columns are kept. Nothing is inferred: CSV fields are text, the known ones
     get their types, and dates stay text until cleaning parses them.
     """
     raw = _read(spark, path, fmt, **options).withColumnsRenamed(SOURCE_NAMES)
@@ -23,15 +26,33 @@ def read_sales(spark: SparkSession, path: str, fmt: str = "csv", **options: str)
 
 
 def _read(spark: SparkSession, path: str, fmt: str, **options: str) -> DataFrame:
+    """All fields as text, missing ones null.
+
+    For CSV, the header of each file must be that of the first, a doubled quote
+    in a quoted field is a quote, a line with too few fields gets nulls, and one
+    with too many fails the query, whichever columns it uses.
+    """
     if fmt != "csv":
         return spark.read.options(**options).format(fmt).load(path)
-    text = spark.read.options(header=True, inferSchema=False, **options).csv(path)
+    options = {"header": True, "escape": '"', **options}
+    header = spark.read.options(inferSchema=False, **options).csv(path).columns
+    fields = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _BAD_LINE]])
+    # Without column pruning, so that a line's fields are counted in each query.
+    text = spark.read.schema(fields).options(
+        enforceSchema=False, columnPruning=False, mode="PERMISSIVE", columnNameOfCorruptRecord=_BAD_LINE, **options
+    ).csv(path)
+    # A line with another number of fields, and a mark behind it: of a short line
+    # the mark is among the first fields, of a long one it is not.
+    wider = ", ".join(f"c{i} string" for i in range(len(header) + 1))
+    line = {k: str(v) for k, v in options.items() if k != "header"}
+    marked = F.concat(F.col(_BAD_LINE), F.lit(options.get("sep", options.get("delimiter", ",")) + _MARK))
+    found = F.from_csv(marked, wider, line)
+    surplus = ~F.array_contains(F.array(*[F.coalesce(found[f"c{i}"], F.lit("")) for i in range(len(header) + 1)]), _MARK)
+    failed = F.raise_error(F.concat(F.lit("too many fields: "), F.col(_BAD_LINE))).cast("boolean")
+    whole = text.filter(F.when(F.col(_BAD_LINE).isNotNull() & surplus, failed).otherwise(True))
     # A byte order mark would stick to the first header name.
-    return text.select(
-        *[
-            F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c.removeprefix("\ufeff"))
-            for c in text.columns
-        ]
+    return whole.select(
+        *[F.when(~F.col(f"`{c}`").isin(MISSING_TEXTS), F.col(f"`{c}`")).alias(c.removeprefix("\ufeff")) for c in header]
     )
 
 
@@ -48,7 +69,7 @@ def _typed(name: str, kind: str) -> Column:
 def write_sales_csv(sales: DataFrame, path: str) -> None:
     """Write invoice rows as CSV under the source's header names."""
     source_name = {ours: name for name, ours in SOURCE_NAMES.items()}
-    sales.toDF(*[source_name.get(c, c) for c in sales.columns]).write.csv(path, header=True)
+    sales.toDF(*[source_name.get(c, c) for c in sales.columns]).write.csv(path, header=True, escape='"')
 
 
 def read_segments(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

@@ -123,3 +123,9 @@ def test_profile(spark):
 def test_zero_amounts(spark):
     sales = clean.clean_sales(table(spark, row("1", amount="0,00"), row("2"), row("3"), row("4")), FORMAT)
     assert tuple(profile.audit_zero_amount(sales).first()) == (1, 4, 0.25)
+
+
+def test_nan_is_missing_in_audit_and_cleaning(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),)], "x double")
+    assert [tuple(r) for r in profile.profile_missing(df).collect()] == [("x", 1)]
+    assert clean.drop_missing(df).count() == 1

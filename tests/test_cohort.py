@@ -1,12 +1,14 @@
 """Cohorts, retention and monthly figures: hand cases and a pandas twin."""
 
 import datetime as dt
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ledgerlens.operators import clean, cohort, metrics, report
 from ledgerlens.operators.cohort import cohort_counts, customer_months, retention
@@ -66,8 +68,8 @@ def test_assign_cohort_keeps_every_row(spark):
 def test_pivot(spark):
     df = spark.createDataFrame([(JAN, 1, 2), (JAN, 3, 1), (FEB, 1, 5)], COUNTS)
     wide = cohort.cohort_pivot(df).orderBy("cohort_month")
-    assert wide.columns == ["cohort_month", "1", "3"]
-    assert [tuple(r) for r in wide.collect()] == [(JAN, 2.0, 1.0), (FEB, 5.0, None)]
+    assert wide.columns == ["cohort_month", "1", "2", "3"]
+    assert [tuple(r) for r in wide.collect()] == [(JAN, 2.0, None, 1.0), (FEB, 5.0, None, None)]
     fixed = cohort.cohort_pivot(df, indexes=[1, 2, 3])
     assert fixed.columns == ["cohort_month", "1", "2", "3"]
     with pytest.raises(PySparkException, match="outside the pivot"):
@@ -162,7 +164,10 @@ def test_pandas_twin(spark, rows):
     kpis = metrics.customer_kpis(metrics.customer_repeats(ours)).first()
     per_customer = twin.groupby("customer_id").agg(n=("invoice_no", "nunique"), spend=("amount", "sum"))
     assert kpis.repeat_rate == pytest.approx((per_customer.n > 1).mean())
-    assert metrics.customer_kpis(metrics.merge_repeats(metrics.customer_repeats(ours, ["is_home"]))).first() == kpis
+    sides = metrics.side_repeats(metrics.customer_repeats(ours))
+    both = {(r.customer_id, r.is_home): r.invoices for r in sides.collect()}
+    home = twin.country == "United Kingdom"
+    assert both == twin.groupby(["customer_id", home])["invoice_no"].nunique().to_dict()
     assert kpis.avg_customer_spend == pytest.approx(per_customer.spend.mean())
 
     first = twin.groupby("customer_id").month.min().to_dict()
@@ -177,3 +182,21 @@ def test_pandas_twin(spark, rows):
             (D.fromisoformat(r.cohort + "-01"), r.cohort_index): r.rate for r in heat if r.scope == scope
         }
         assert in_heat == pytest.approx(wanted)
+
+
+def test_rows_without_a_month_are_in_no_month(spark):
+    df = spark.createDataFrame(
+        [(1, "a", JAN, Decimal(10)), (1, "b", None, Decimal(20))], "customer_id long, invoice_no string, month date, amount decimal(18,2)"
+    ).withColumns({"invoice_ts": F.col("month").cast("timestamp_ntz"), "is_home": F.lit(True)})
+    assert [(r.months, r.avg_month_revenue) for r in metrics.avg_month_revenue(metrics.revenue_by_month(df)).collect()] == [(1, 10.0)]
+    assert [r.month for r in metrics.partial_periods(df).collect()] == [JAN]
+    assert [r.month for r in cohort.customer_months(df).collect()] == [JAN]
+
+
+def test_span_and_pivot_of_a_long_calendar(spark):
+    rows = [(1, dt.date(2000, 1, 1), True), (1, dt.date(2006, 9, 1), False)]
+    months = cohort.customer_months(spark.createDataFrame(rows, "customer_id long, month date, is_home boolean"))
+    assert cohort.calendar_span(months) == 81
+    wide = cohort.cohort_pivot(cohort.cohort_counts(months), indexes=range(1, 82)).first()
+    assert (wide["1"], wide["80"], wide["81"]) == (1.0, None, 1.0)
+    assert cohort.calendar_span(months.filter("false")) == 0

@@ -1,6 +1,7 @@
 """Date and number expressions on hand-made values."""
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from pyspark.errors import PySparkException
@@ -102,3 +103,39 @@ def test_percent_text(spark):
 def test_heat_intensity(spark):
     rates = [-0.1, 0.0, 0.25, 0.5, 0.9, None]
     assert values(spark, rates, "double", numbers.heat_intensity) == [0.0, 0.0, 0.5, 1.0, 1.0, None]
+
+
+@pytest.mark.parametrize(
+    ("text", "scale"), [("1,00000000004", 2), ("0,123456789012", 11), ("1,001", 2), ("1e-3", 2), ("1234567890123456789", 2)]
+)
+def test_no_decimal_is_rounded_away(spark, text, scale):
+    assert values(spark, [text], "string", lambda x: numbers.parse_decimal_comma(x, "null", scale)) == [None]
+    with pytest.raises(PySparkException, match="not decimal"):
+        values(spark, [text], "string", lambda x: numbers.parse_decimal_comma(x, scale=scale))
+
+
+def test_wide_scales_and_zeros(spark):
+    read = lambda text, scale: values(spark, [text], "string", lambda x: numbers.parse_decimal_comma(x, scale=scale))[0]
+    assert read("0,123456789012", 12) == Decimal("0.123456789012")
+    assert read("1000000,000000000001", 12) == Decimal("1000000.000000000001")
+    assert read("1,5000000000000000", 2) == Decimal("1.50")
+    assert read("1e2", 2) == 100
+    assert read(",5", 2) == Decimal("0.50")
+
+
+def test_ids_beyond_ten_decimals(spark):
+    assert values(spark, ["17850.00000000001"], "string", lambda x: numbers.parse_whole(x, "null")) == [None]
+    assert values(spark, ["17850.000000000000"], "string", numbers.parse_whole) == [17850]
+    assert values(spark, ["9223372036854775808"], "string", lambda x: numbers.parse_whole(x, "null")) == [None]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+@pytest.mark.parametrize("mode", ["fail", "null"])
+def test_dates_do_not_depend_on_the_zone(spark, zone, mode):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        got = values(spark, ["14/03/2021 02:30"], "string", lambda x: dates.parse_timestamp(x, "dd/MM/yyyy HH:mm", mode))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got == [dt.datetime(2021, 3, 14, 2, 30)]

@@ -8,11 +8,15 @@ from ledgerlens.plans.catalog import QUERIES
 from ledgerlens.plans.oracle import ORACLE
 
 
-@pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
-def tables(request):
-    con = connect(TESTDATA / request.param)
-    yield request.param, con
-    con.close()
+SMALL = ["monthly_sales", "heatmap_cells", "segment_table", "pareto_customers", "kpis_by_home"]
+
+
+@pytest.fixture(scope="module")
+def connections():
+    opened = {sf: connect(TESTDATA / sf) for sf in ("sf0.001", "sf0.01")}
+    yield opened
+    for con in opened.values():
+        con.close()
 
 
 def test_each_query_has_sql():
@@ -20,9 +24,11 @@ def test_each_query_has_sql():
     assert oracle_sql().keys() <= queries().keys()
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_equals_sql(spark, tables, name):
-    sf, con = tables
+@pytest.mark.parametrize(
+    ("sf", "name"), [("sf0.01", n) for n in sorted(QUERIES)] + [("sf0.001", n) for n in SMALL]
+)
+def test_query_equals_sql(spark, connections, sf, name):
+    con = connections[sf]
     types, rows = spark_rows(queries()[name](spark, str(TESTDATA / sf)))
     wanted_types, wanted = duck_rows(con, oracle_sql()[name])
     assert types == wanted_types

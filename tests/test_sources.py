@@ -69,6 +69,39 @@ def test_ids_are_not_rounded(spark, tmp_path):
         df.collect()
 
 
+@pytest.mark.parametrize(
+    "line", ["1,10,01/01/2021 10:00,France,5,139,12", '1,10,01/01/2021 10:00,France,5,"1,0",', "1,1,d,F,1,1,2,3,4"]
+)
+def test_surplus_fields_fail_whatever_is_read(spark, tmp_path, line):
+    df = io.read_sales(spark, write(tmp_path / "sales.csv", HEADER, '2,2,d,France,6,"1,0"', line))
+    for part in (df, df.select("country")):
+        with pytest.raises(PySparkException, match="too many fields"):
+            part.collect()
+
+
+def test_short_lines_get_nulls(spark, tmp_path):
+    df = io.read_sales(spark, write(tmp_path / "sales.csv", HEADER, "1,2,d,France"))
+    assert tuple(df.first()) == ("1", 2, "d", "France", None, None)
+
+
+def test_files_of_a_folder_share_their_header(spark, tmp_path):
+    write(tmp_path / "a.csv", HEADER, '1,2,d,France,3,"7,0"')
+    write(tmp_path / "b.csv", HEADER, '2,2,d,France,3,"8,0"')
+    assert sorted(r.amount_txt for r in io.read_sales(spark, str(tmp_path)).collect()) == ["7,0", "8,0"]
+    swapped = HEADER.replace('"Quantidade","Valor"', '"Valor","Quantidade"')
+    write(tmp_path / "c.csv", swapped, '3,2,d,France,"7,0",3')
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        io.read_sales(spark, str(tmp_path)).collect()
+
+
+def test_doubled_quotes(spark, tmp_path):
+    path = write(tmp_path / "sales.csv", HEADER, '1,2,d,"Ilha ""Norte"", X",3,"1,0"')
+    assert tuple(io.read_sales(spark, path).first()) == ("1", 2, "d", 'Ilha "Norte", X', 3, "1,0")
+    back = str(tmp_path / "back")
+    io.write_sales_csv(io.read_sales(spark, path), back)
+    assert io.read_sales(spark, back).collect() == io.read_sales(spark, path).collect()
+
+
 def test_missing_column_is_an_error(spark, tmp_path):
     with pytest.raises(ValueError, match="country"):
         io.read_sales(spark, write(tmp_path / "bad.csv", HEADER.replace("País", "Land"), "1,1,1,1,1,1"))
