@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ledgerlens.llm import quality
+
 ORACLE: dict[str, str] = {}
 
 ORACLE["op10_mix_systematic"] = r"""
@@ -50,3 +52,90 @@ WITH vectors AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+def _quality_sql() -> str:
+    languages = " UNION ALL ".join(
+        f"SELECT '{name}' AS language, unnest(string_split('{words}', ' ')) AS word, "
+        f"unnest(range(1, {len(words.split()) + 1})) AS bin"
+        for name, words in quality.COMMON.items()
+    )
+    char_bins = ", ".join(
+        f"length(t) - length(regexp_replace(t, '{pattern}', '', 'g'))" for pattern in quality.CLASSES.values()
+    )
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+), counted AS (
+  SELECT r, doc_id, t, w, len(w) AS n_words,
+    CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines
+  FROM docs
+), windows AS (
+  SELECT r, pos, array_to_string(w[pos:pos + 7], ' ') AS words
+  FROM (SELECT r, w, unnest(range(1, len(w) - 6)) AS pos FROM counted WHERE len(w) >= 8)
+), repeated AS (
+  SELECT r, CAST(sum(n) AS BIGINT) AS n_repeat_words FROM (
+    SELECT r, least(8, coalesce(lead(pos) OVER (PARTITION BY r ORDER BY pos) - pos, 8)) AS n
+    FROM (SELECT r, pos, count(*) OVER (PARTITION BY r, words) AS places FROM windows) WHERE places > 1) GROUP BY r
+), common AS ({languages}
+), hits AS (
+  SELECT r, language, bin, count(*) AS c
+  FROM (SELECT r, unnest(w) AS word FROM counted) JOIN common USING (word) GROUP BY r, language, bin
+), spoken AS (
+  SELECT r, arg_max(language, (n, -place)) AS language FROM (
+    SELECT r, language, sum(c) AS n, row_number() OVER (PARTITION BY r ORDER BY language) AS place
+    FROM hits GROUP BY r, language) GROUP BY r
+), word_bins AS (
+  SELECT r, language, bin, coalesce(c, 0) AS c
+  FROM spoken JOIN (SELECT DISTINCT language, bin FROM common) USING (language) LEFT JOIN hits USING (r, language, bin)
+  UNION ALL
+  SELECT r, language, 0, n_words - coalesce((SELECT sum(c) FROM hits h WHERE h.r = s.r AND h.language = s.language), 0)
+  FROM spoken s JOIN counted USING (r)
+), char_lists AS (
+  SELECT r, [{char_bins}, length(t) - word_chars] AS bins, length(t) AS n FROM counted
+), char_bins AS (
+  SELECT r, unnest(list_append(bins, n - list_sum(bins))) AS c, unnest(range(1, {len(quality.CLASSES) + 3})) AS bin
+  FROM char_lists
+), all_bins AS (
+  SELECT 'word' AS kind, r, language, bin, CAST(c AS DOUBLE) AS c FROM word_bins
+  UNION ALL SELECT 'char', r, language, bin, CAST(c AS DOUBLE) FROM char_bins LEFT JOIN spoken USING (r)
+), refs AS (
+  SELECT kind, language, bin, sum(c) AS c FROM all_bins JOIN counted USING (r)
+  WHERE n_words >= {quality.MIN_WORDS} AND language IS NOT NULL GROUP BY kind, language, bin
+), rates AS (
+  SELECT kind, language, bin, c / sum(c) OVER (PARTITION BY kind, language) AS q FROM refs
+), compared AS (
+  SELECT b.kind, b.r, rates.language, b.c / sum(b.c) OVER (PARTITION BY b.kind, b.r, rates.language) AS p, q
+  FROM all_bins b JOIN rates ON rates.kind = b.kind AND rates.bin = b.bin
+    AND (rates.language = b.language OR b.language IS NULL AND b.kind = 'char')
+  QUALIFY sum(b.c) OVER (PARTITION BY b.kind, b.r, rates.language) > 0
+), distances AS (
+  SELECT kind, r, language, sqrt(greatest(0, sum(
+    (CASE WHEN p > 0 THEN p * log2(p / ((p + q) / 2)) ELSE 0 END
+     + CASE WHEN q > 0 THEN q * log2(q / ((p + q) / 2)) ELSE 0 END) / 2))) AS d
+  FROM compared GROUP BY kind, r, language
+), nearest AS (
+  SELECT kind, r, min(d) AS d FROM distances GROUP BY kind, r
+), measured AS (
+  SELECT counted.*, coalesce(n_repeat_words, 0) AS n_repeat_words, spoken.language, round(cd.d, 6) AS char_distance,
+    round(CASE WHEN spoken.language IS NULL AND n_words > 0 THEN 1 ELSE wd.d END, 6) AS word_distance
+  FROM counted LEFT JOIN repeated USING (r) LEFT JOIN spoken USING (r)
+    LEFT JOIN nearest cd ON cd.r = counted.r AND cd.kind = 'char'
+    LEFT JOIN nearest wd ON wd.r = counted.r AND wd.kind = 'word'
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+  NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words
+    OR n_words >= {quality.MIN_WORDS} AND (coalesce(char_distance, 0) > {quality.MAX_CHAR_DISTANCE}
+      OR coalesce(word_distance, 0) > {quality.MAX_WORD_DISTANCE})) AS kept,
+  language, char_distance, word_distance
+FROM measured
+"""
+
+
+ORACLE["op9_quality_divergence"] = _quality_sql()
