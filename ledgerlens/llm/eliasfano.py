@@ -88,10 +88,10 @@ class EliasFano:
         if not self.n or not len(values):
             return found
         values = values.astype(np.uint64)
-        upper = (values >> _U(self.shift)).astype(np.int64)
-        top = int(self.get(np.array([self.n - 1]))[0]) >> self.shift
-        inside = np.flatnonzero(upper <= top)
-        upper, lower = upper[inside], values[inside] & _U((1 << self.shift) - 1)
+        top = self.get(np.array([self.n - 1]))[0]
+        inside = np.flatnonzero(values <= top)
+        upper = (values[inside] >> _U(self.shift)).astype(np.int64)
+        lower = values[inside] & _U((1 << self.shift) - 1)
         left = np.where(upper > 0, self._select(self.zeros, np.maximum(upper - 1, 0), True) - upper + 1, 0)
         end = self._select(self.zeros, upper, True) - upper
         right = end.copy()

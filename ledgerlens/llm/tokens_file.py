@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -34,14 +35,21 @@ from ledgerlens.llm.text import stored
 from ledgerlens.session import scratch_path
 
 END_ID = 2
-# Words whose ids a worker remembers, in each of two generations.
-REMEMBERED = 300_000
+# Words, and parts of words, whose ids a worker remembers.
+REMEMBERED = 400_000
 
 _WORD = re.compile(r"[^\x20\x09-\x0d]+")
+# Signs up to U+024F, but for the white space among them.
+_PLAIN = re.compile("[^\x00-\x20\x85\xa0\u0250-\U0010ffff]+")
+_PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _LENGTH, _CHECK = np.dtype("<u8"), np.dtype("<u4")
 _ENTRY = np.dtype([("doc_id", "<i8"), ("no_id", "u1"), ("offset", "<u8"), ("n_tokens", "<u8")])
 _MASK = 0xA282EAD8
 
+# How the tokenizer writes bytes: as themselves if they are visible, else as U+0100 and on.
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTES = {b: 0x100 + i for i, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
+
 MANIFEST = "shard int, path string, width int, n_records long, n_tokens long"
 
 
@@ -75,11 +83,36 @@ def read_record(file) -> bytes:
     return payload
 
 
+class _Remembered(dict):
+    """What was found for keys, of the last ``most`` keys at least and twice as many at most."""
+
+    def __init__(self, most: int) -> None:
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """The keys that must be found; afterwards those of before are at hand again."""
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+        unknown = []
+        for key in [k for k in keys if k not in self]:
+            if key in self.old:
+                self[key] = self.old[key]
+            else:
+                unknown.append(key)
+        return unknown
+
+
 class _Encoder:
     """Encodes words with the library, each once as long as it is remembered.
 
     The tokenizer drops white space and lets no token cross it, so the ids of a
-    text are those of its words in a row.
+    text are those of its words in a row. It cuts a word into runs of letters,
+    single digits and runs of other signs, in lower case, and lets no token
+    cross those either: of a plain word, the library encodes the parts. A word
+    is plain if it is of letters whose lower case does not depend on others,
+    and holds no special token.
     """
 
     def __init__(self, model: str) -> None:
@@ -88,28 +121,38 @@ class _Encoder:
 
         self.tokenizer = Tokenizer.from_str(model)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.words, self.parts = _Remembered(REMEMBERED), _Remembered(REMEMBERED)
         self.end = END_ID.to_bytes(self.width, "little")
 
+    def _encode(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
+
+    def _learn(self, words: list[str]) -> None:
+        plain, other = {}, []
+        for word in words:
+            if _PLAIN.fullmatch(word) and "<|" not in word:
+                plain[word] = _PART.findall(word.lower())
+            else:
+                other.append(word)
+        parts = self.parts.missing({p for own in plain.values() for p in own})
+        for part in parts:
+            # A part is one step of the tokenizer, its model's: bytes to ids.
+            ids = [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_BYTES))]
+            self.parts[part] = np.array(ids, f"<u{self.width}").tobytes()
+        for word, own in plain.items():
+            self.words[word] = b"".join(map(self.parts.__getitem__, own))
+        self.words.update(zip(other, self._encode(other)))
+
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            words = _WORD.findall(text)
-            if len(self.new) > REMEMBERED:
-                self.new, self.old = {}, self.new
-            unknown = []
-            for word in set(words):
-                if word not in self.new:
-                    ids = self.old.get(word)
-                    if ids is None:
-                        unknown.append(word)
-                    else:
-                        self.new[word] = ids
+        for at in range(0, len(texts), 100):
+            split = [_WORD.findall(text) for text in texts[at : at + 100]]
+            unknown = self.words.missing(set().union(*split))
             if unknown:
-                found = self.tokenizer.encode_batch_fast(unknown, add_special_tokens=False)
-                for word, encoding in zip(unknown, found):
-                    self.new[word] = np.array(encoding.ids, f"<u{self.width}").tobytes()
-            yield b"".join(map(self.new.__getitem__, words)) + self.end
+                self._learn(unknown)
+            for words in split:
+                yield b"".join(map(self.words.__getitem__, words)) + self.end
 
 
 _ENCODERS: dict[int, _Encoder] = {}
@@ -147,7 +190,7 @@ def write_tokens(docs: DataFrame, model: str, path: str) -> DataFrame:
         ) as index:
             n = 0
             for batch in batches:
-                for doc_id, ids in zip(batch["doc_id"], encoder(batch["text"])):
+                for doc_id, ids in zip(batch["doc_id"], encoder(batch["text"].tolist())):
                     record = framed(ids)
                     data.write(record)
                     count = len(ids) // encoder.width
