@@ -15,8 +15,8 @@ from ledgerlens.llm.text import set_aside, stored
 MIN_WORDS = 50
 # A line ends a chunk with a chance of its words / CHUNK_WORDS, told by its hash.
 CHUNK_WORDS = 10
-# Up to so many documents' ids, 16 bytes each, are broadcast.
-BROADCAST_DOCS = 1_000_000
+# Up to so many repeated runs, 32 bytes each with their document, are broadcast.
+BROADCAST_RUNS = 2_000_000
 
 _MASK = (1 << 64) - 1
 
@@ -109,7 +109,7 @@ def _spelled(docs: DataFrame, keepers: DataFrame) -> DataFrame:
         F.collect_list(F.struct("run_hash", "first", "last")).alias("runs")
     )
     wanted = stored(wanted, "keepers")
-    if wanted.count() <= BROADCAST_DOCS:
+    if keepers.count() <= BROADCAST_RUNS:
         wanted = F.broadcast(wanted)
 
     def spell(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
