@@ -23,8 +23,8 @@ SPACE = "▁"
 LONGEST = 60
 # Up to so many units, some 40 bytes each, are loaded by each Python worker.
 LOADED_UNITS = 8_000_000
-# Words whose ids a worker remembers.
-REMEMBERED = 300_000
+# Words that a worker remembers, and texts that it holds at once.
+REMEMBERED, SLICE = 300_000, 500
 
 # Fixed value: line feed, tab, vertical tab, form feed. A carriage return is part of some pieces.
 BREAKS = "\t\n\x0b\x0c"
@@ -69,36 +69,39 @@ class Model:
     def longest(self) -> int:
         return max(len(p) for p, _, _ in self.pieces)
 
+    def bytes_of(self) -> dict[int, bytes]:
+        """The bytes of each id."""
+        return {i: p.encode() for p, i, _ in self.pieces} | {self.first_byte + b: bytes([b]) for b in range(256)}
+
+    def table(self) -> dict[str, tuple[int, int]]:
+        """Rank and id of each piece."""
+        ranks = self.ranks()
+        return {p: (ranks[s], i) for p, i, s in self.pieces}
+
     def ranks(self) -> dict[float, int]:
         """Place of each score, the best first; equal scores share one."""
         return {s: i for i, s in enumerate(sorted({s for _, _, s in self.pieces}, reverse=True))}
 
 
-def words_of(text: str) -> Iterator[tuple[str, bool]]:
-    """The words of a text in order, and whether a space stands before each.
+def words_of(text: str) -> list[str]:
+    """The words of a text in order, each with the spaces before it.
 
-    A word is what no piece goes beyond: letters up to the next space. A line
-    break or tab is a word. The text itself gets a space before it.
+    A word is what no piece goes beyond: spaces and what follows up to the next
+    one. A line break or tab is a word. The text itself gets a space before it.
     """
-    spaced = True
+    words: list[str] = []
+    before = SPACE
     for part in _BREAK.split(text):
         if not part:
             continue
         if part in BREAKS:
-            if spaced:
-                yield "", True
-            yield part, False
-            spaced = False
-            continue
-        if "  " in part or SPACE in part or part[-1] == " " or part[0] == " ":
-            for word in _WORDS.findall((SPACE if spaced else "") + part.replace(" ", SPACE)):
-                yield word, False
+            words += [before, part] if before else [part]
+        elif "  " in part or SPACE in part or part[-1] == " " or part[0] == " ":
+            words += _WORDS.findall(before + part.replace(" ", SPACE))
         else:
-            first, *rest = part.split(" ")
-            yield first, spaced
-            for word in rest:
-                yield word, True
-        spaced = False
+            words += (before + part).replace(" ", f" {SPACE}").split(" ")
+        before = ""
+    return words
 
 
 def units_of(word: str, pairs: frozenset[str]) -> list[str]:
@@ -108,35 +111,49 @@ def units_of(word: str, pairs: frozenset[str]) -> list[str]:
 
 
 def distinct_units(docs: DataFrame, model: Model) -> DataFrame:
-    """unit: all distinct units of the texts."""
-    pairs = docs.sparkSession.sparkContext.broadcast(model.pairs)
+    """All distinct units of the texts; ``spelled`` has the ids of those that are too long to fold.
+
+    Dealt by unit into four times the usual partitions, as each unit will be
+    exploded into its substrings there.
+    """
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((model.pairs, model.table(), model.first_byte))
+    n = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[str, bool]] = set()
+        pairs, table, first_byte = shared.value
+        seen: set[str] = set()
         for batch in batches:
-            new: set[tuple[str, bool]] = set()
-            for text in batch.column("text").to_pylist():
-                if text:
-                    new.update(words_of(text))
-            new -= seen
-            if len(seen) > REMEMBERED * 4:
-                seen.clear()
-            seen |= new
-            units = {u for word, spaced in new for u in units_of(SPACE + word if spaced else word, pairs.value)}
-            yield pa.RecordBatch.from_pydict({"unit": pa.array(list(units), pa.string())})
+            for at in range(0, len(batch), SLICE):
+                new: set[str] = set()
+                for text in batch.slice(at, SLICE).column("text").to_pylist():
+                    if text:
+                        new.update(words_of(text))
+                new -= seen
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                seen |= new
+                units = list({u for word in new for u in units_of(word, pairs)})
+                spelled = [
+                    ",".join(map(str, merge_unit(u, table, first_byte))) if len(u) > LONGEST else None for u in units
+                ]
+                yield pa.RecordBatch.from_pydict(
+                    {"unit": pa.array(units, pa.string()), "spelled": pa.array(spelled, pa.string())}
+                )
 
-    return docs.select("text").mapInArrow(find, "unit string").distinct()
+    found = docs.select("text").mapInArrow(find, "unit string, spelled string")
+    return found.repartition(n, "unit", "spelled").distinct()
 
 
 def lattice(units: DataFrame, model: Model) -> DataFrame:
-    """unit and edges: the pieces in each unit, each packed in a long.
+    """unit, spelled and edges: the pieces in each unit, each packed in a long.
 
     All substrings up to the longest piece are joined to the pieces. An edge
     holds, from the highest bits, the piece's rank, first character, end and id;
     so edges in order are in order of rank, then from the left. A character that
     is no piece has an edge with the id _UNKNOWN. The piece table is the model's
     and is broadcast; the units are dealt by unit already, so the edges of one
-    come together without a shuffle.
+    come together without a shuffle. Spelled units have no edges.
     """
     spark = units.sparkSession
     ranks = model.ranks()
@@ -144,7 +161,7 @@ def lattice(units: DataFrame, model: Model) -> DataFrame:
         [(p, ranks[s], i) for p, i, s in model.pieces], "piece string, rank long, id long"
     )
     size = F.length("unit")
-    parts = F.flatten(
+    parts = F.when(size <= LONGEST, F.flatten(
         F.transform(
             F.sequence(F.lit(0), size - 1),
             lambda at: F.transform(
@@ -152,7 +169,7 @@ def lattice(units: DataFrame, model: Model) -> DataFrame:
                 lambda n: F.struct(at.alias("at"), (at + n).alias("end"), F.substring(F.col("unit"), at + 1, n).alias("piece")),
             ),
         )
-    )
+    ))
     packed = (
         F.shiftleft(F.coalesce("rank", F.lit(_UNKNOWN)).cast("long"), 32)
         + F.shiftleft(F.col("at").cast("long"), 26)
@@ -161,14 +178,14 @@ def lattice(units: DataFrame, model: Model) -> DataFrame:
     )
     return (
         units.withColumn("number", F.monotonically_increasing_id())
-        .withColumn("part", F.explode(parts))
-        .select("number", "unit", "part.*")
+        .withColumn("part", F.explode_outer(parts))
+        .select("number", "unit", "spelled", "part.*")
         .join(F.broadcast(pieces), "piece", "left")
-        .filter(F.col("id").isNotNull() | (F.col("end") == F.col("at") + 1))
-        .select("number", "unit", packed.alias("edge"))
-        .groupBy("number", "unit")
+        .filter(F.col("id").isNotNull() | (F.col("end") == F.col("at") + 1) | F.col("piece").isNull())
+        .select("number", "unit", "spelled", packed.alias("edge"))
+        .groupBy("number", "unit", "spelled")
         .agg(F.sort_array(F.collect_list("edge")).alias("edges"))
-        .select("unit", "edges")
+        .select("unit", "spelled", "edges")
     )
 
 
@@ -298,20 +315,12 @@ def merge_unit(unit: str, model_ranks: dict[str, tuple[int, int]], first_byte: i
 
 def encoded_units(docs: DataFrame, model: Model, borders=merged_borders) -> str:
     """Where the table of unit and ids lies, with all units of the texts."""
-    ranks = model.ranks()
-    table = docs.sparkSession.sparkContext.broadcast({p: (ranks[s], i) for p, i, s in model.pieces})
-
-    @F.udf("array<int>")
-    def merged(unit: str) -> list[int]:
-        return merge_unit(unit, table.value, model.first_byte)
-
-    units = distinct_units(docs, model)
     path = scratch_path(docs.sparkSession, "units")
-    short = lattice(units.filter(F.length("unit") <= LONGEST), model)
-    bits = short.withColumn("borders", borders(F.col("edges"), F.length("unit")))
-    bits.select("unit", let(F.col("borders"), lambda b: _ids(b, model)).alias("ids")).write.parquet(path)
-    long_units = units.filter(F.length("unit") > LONGEST)
-    long_units.select("unit", merged("unit").alias("ids")).write.mode("append").parquet(path)
+    found = lattice(distinct_units(docs, model), model)
+    folded = let(borders(F.col("edges"), F.length("unit")), lambda b: _ids(b, model))
+    spelled = F.split("spelled", ",").cast("array<int>")
+    ids = F.when(F.col("spelled").isNotNull(), spelled).otherwise(folded)
+    found.select("unit", ids.alias("ids")).write.parquet(path)
     return path
 
 
@@ -337,23 +346,27 @@ class _Units:
         if len(np.unique(self.keys)) < len(self.keys):
             raise ValueError("two units share a hash")
         self.pairs = pairs
-        self.known: dict[tuple[str, bool], bytes] = {}
-
-    def __call__(self, words: list[tuple[str, bool]]) -> bytes:
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            units = [units_of(SPACE + word if spaced else word, self.pairs) for word, spaced in new]
-            flat = np.array([_unit_hash(u) for own in units for u in own], "u8")
-            at = np.searchsorted(self.keys, flat)
-            if (self.keys[np.minimum(at, len(self.keys) - 1)] != flat).any():
-                raise ValueError("a unit of the text is not in the table")
-            found = iter([self.ids[s : s + n] for s, n in zip(self.starts[at], self.sizes[at])])
-            for word, own in zip(new, units):
-                self.known[word] = b"".join(next(found) for _ in own)
-        out = b"".join(map(self.known.__getitem__, words))
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        units = [units_of(word, self.pairs) for word in words]
+        flat = np.array([_unit_hash(u) for own in units for u in own], "u8")
+        at = np.searchsorted(self.keys, flat)
+        if (self.keys[np.minimum(at, len(self.keys) - 1)] != flat).any():
+            raise ValueError("a unit of the text is not in the table")
+        found = iter([self.ids[s : s + n] for s, n in zip(self.starts[at], self.sizes[at])])
+        for word, own in zip(words, units):
+            self.known[word] = b"".join(next(found) for _ in own)
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text, as bytes."""
+        split = [words_of(text) if text else [] for text in texts]
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        return out
+        unknown = [word for word in set().union(*split) if word not in self.known]
+        if unknown:
+            self._learn(unknown)
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 def _unit_hash(unit: str) -> int:
@@ -361,10 +374,13 @@ def _unit_hash(unit: str) -> int:
 
 
 _LOADED: dict[str, _Units] = {}
+DIGESTS = ", n_tokens long, ids_crc32 long, decoded_crc32 long"
 
 
-def encode(docs: DataFrame, model: Model, borders=merged_borders, loaded: int = LOADED_UNITS) -> DataFrame:
-    """doc_id and ids of each text, one row per row of ``docs``.
+def encode(
+    docs: DataFrame, model: Model, borders=merged_borders, loaded: int = LOADED_UNITS, digests: bool = False
+) -> DataFrame:
+    """doc_id and ids of each text, one row per row of ``docs``; with ``digests``, also those of `report`.
 
     Ids are those that the model's library gives, without begin and end. Null
     and empty texts have no ids. Repeated rows are encoded each. Only doc_id and
@@ -381,31 +397,53 @@ def encode(docs: DataFrame, model: Model, borders=merged_borders, loaded: int =
     units = spark.read.schema("unit string, ids array<int>").parquet(path)
     keyed = docs.select(F.col("doc_id").cast("long"), "text")
     pairs = spark.sparkContext.broadcast(model.pairs)
-    if units.count() > loaded:
-        return _encode_by_join(keyed, units, pairs)
     width = 2 if max(i for _, i, _ in model.pieces) < 1 << 16 else 4
+    schema = "doc_id long, ids array<int>" + (DIGESTS if digests else "")
+    bytes_of = spark.sparkContext.broadcast(model.bytes_of())
+
+    def result(doc_ids: pa.Array, data: list[bytes]) -> pa.RecordBatch:
+        arrays = [np.frombuffer(d, f"<u{width}") for d in data]
+        ends = np.cumsum([0, *map(len, arrays)]).astype("i4")
+        flat = np.concatenate(arrays).astype("i4") if arrays else np.array([], "i4")
+        columns = [doc_ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+        names = ["doc_id", "ids"]
+        if digests:
+            texts = [text_of(a.tolist(), bytes_of.value) for a in arrays]
+            columns += [
+                pa.array([len(a) for a in arrays], pa.int64()),
+                pa.array([zlib.crc32(a.astype("<u4").tobytes()) for a in arrays], pa.int64()),
+                pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()),
+            ]
+            names += ["n_tokens", "ids_crc32", "decoded_crc32"]
+        return pa.RecordBatch.from_arrays(columns, names)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _LOADED:
             _LOADED.clear()
             _LOADED[path] = _Units(path, pairs.value, width)
-        table = _LOADED[path]
         for batch in batches:
-            data = [table(list(words_of(t))) if t else b"" for t in batch.column("text").to_pylist()]
-            ends = np.cumsum([0, *(len(d) // width for d in data)]).astype("i4")
-            ids = np.frombuffer(b"".join(data), f"<u{width}").astype("i4")
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))], ["doc_id", "ids"]
-            )
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                yield result(part.column("doc_id"), _LOADED[path](part.column("text").to_pylist()))
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                data = [np.array(ids or [], f"<u{width}").tobytes() for ids in part.column("ids").to_pylist()]
+                yield result(part.column("doc_id"), data)
 
-    return keyed.mapInArrow(look_up, "doc_id long, ids array<int>")
+    if units.count() <= loaded:
+        return keyed.mapInArrow(look_up, schema)
+    joined = _encode_by_join(keyed, units, pairs)
+    return joined.mapInArrow(gathered, schema) if digests else joined
 
 
 def _encode_by_join(keyed: DataFrame, units: DataFrame, pairs) -> DataFrame:
     def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("row", "doc_id", "text"))):
-                own = [u for w, spaced in words_of(text or "") for u in units_of(SPACE + w if spaced else w, pairs.value)]
+                own = [u for w in (words_of(text) if text else []) for u in units_of(w, pairs.value)]
                 n = max(1, len(own))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -429,37 +467,26 @@ def _encode_by_join(keyed: DataFrame, units: DataFrame, pairs) -> DataFrame:
     )
 
 
-def decode(encoded: DataFrame, model: Model) -> DataFrame:
-    """``encoded`` with the text of its ids; bytes that are no UTF-8 become U+FFFD."""
-    names = encoded.sparkSession.sparkContext.broadcast({i: p for p, i, _ in model.pieces})
-    first = model.first_byte
+def text_of(ids: list[int], bytes_of: dict[int, bytes]) -> str:
+    """The text of ids; bytes that are no UTF-8 become U+FFFD."""
+    text = b"".join(map(bytes_of.__getitem__, ids)).decode(errors="replace")
+    return text.replace(SPACE, " ").removeprefix(" ")
 
-    def text_of(ids: list[int]) -> str:
-        parts = []
-        for i in ids:
-            piece = names.value.get(i)
-            parts.append(bytes([i - first]) if piece is None else piece.encode())
-        return b"".join(parts).decode(errors="replace").replace(SPACE, " ").removeprefix(" ")
+
+def decode(encoded: DataFrame, model: Model) -> DataFrame:
+    """``encoded`` (doc_id, ids) with the text of its ids; null ids have an empty one."""
+    bytes_of = encoded.sparkSession.sparkContext.broadcast(model.bytes_of())
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [text_of(ids or []) for ids in batch.column("ids").to_pylist()]
-            yield batch.append_column("text", pa.array(texts, pa.string()))
+            for at in range(0, len(batch), SLICE):
+                part = batch.slice(at, SLICE)
+                texts = [text_of(ids or [], bytes_of.value) for ids in part.column("ids").to_pylist()]
+                yield part.append_column("text", pa.array(texts, pa.string()))
 
-    return encoded.mapInArrow(read, "doc_id long, ids array<int>, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(read, "doc_id long, ids array<int>, text string")
 
 
 def report(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: its ids, their number and checksum, and the decoded text's checksum."""
-
-    @F.pandas_udf("long")
-    def ids_crc32(ids):
-        return ids.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes()))
-
-    return decode(encode(docs, model), model).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        ids_crc32("ids").alias("ids_crc32"),
-        F.crc32("text").alias("decoded_crc32"),
-        "ids",
-    )
+    return encode(docs, model, digests=True)
