@@ -244,7 +244,7 @@ def test_viterbi_fold_finds_the_best_path(spark):
 
     units = ["abc", "abcabc", "cabbab", "ccc", "abab", "bcabcab"]
     df = spark.createDataFrame(list(enumerate(units)), "doc_id long, text string")
-    lattice = sentencepiece.lattice(df.select(F.col("text").alias("unit")), toy)
+    lattice = sentencepiece.lattice(df.select(F.col("text").alias("unit"), F.lit(None).cast("string").alias("spelled")), toy)
     borders = sentencepiece.best_borders(F.col("edges"), F.length("unit"))
     names = {i: p for p, i, _ in toy.pieces}
     for row in lattice.select("unit", sentencepiece._ids(borders, toy).alias("ids")).collect():
