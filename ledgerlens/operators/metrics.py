@@ -113,20 +113,24 @@ def partial_periods(sales: DataFrame) -> DataFrame:
     Also reads ``customer_grain``.
     """
     ts = "invoice_ts" if "invoice_ts" in sales.columns else "last_ts"
-    last = _dated(sales).groupBy("month").agg(F.max(ts).alias("last_ts"))
+    last = _dated(sales.groupBy("month").agg(F.max(ts).alias("last_ts"), F.count("month").alias("months_known")))
     # One row per calendar month: a single partition holds them.
     data_end = F.max("last_ts").over(W.partitionBy())
     cut = (F.col("last_ts") == data_end) & (F.to_date("last_ts") < F.last_day("month"))
     return last.withColumn("is_partial", cut)
 
 
-def _dated(sales: DataFrame) -> DataFrame:
-    """Rows with a month: one that could not be read is in no month."""
-    return sales.filter(F.col("month").isNotNull())
+def _dated(by_month: DataFrame) -> DataFrame:
+    """Without the row of no month: a date that could not be read is in none.
+
+    Told by a count beside the sums; a test of the month itself would be pushed
+    below the removal of duplicates, which then no two queries could share.
+    """
+    return by_month.filter(F.col("months_known") > 0).drop("months_known")
 
 
 def revenue_by_month(sales: DataFrame, by: list[str] | None = None) -> DataFrame:
-    return _dated(sales).groupBy(*(by or []), "month").agg(F.sum("amount").alias("revenue"))
+    return _dated(sales.groupBy(*(by or []), "month").agg(F.sum("amount").alias("revenue"), F.count("month").alias("months_known")))
 
 
 def avg_month_revenue(monthly: DataFrame, by: list[str] | None = None) -> DataFrame:
