@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import xxhash
 
-_WORD = re.compile(rb"[^\x20\x09-\x0d]+")
 # Lower case of A-Z alone.
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _REMEMBERED = 300_000
-_HASHES: dict[bytes, int] = {}
+
+
+class _Hashes(dict):
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+_HASHES = _Hashes()
 
 
 def word_hashes(text: str) -> np.ndarray:
-    """Hashes of the words of a text, in order."""
-    words = _WORD.findall(text.encode().translate(_LOWER))
-    try:
-        return np.array([_HASHES[w] for w in words], np.uint64)
-    except KeyError:
-        if len(_HASHES) > _REMEMBERED:
-            _HASHES.clear()
-        for w in words:
-            if w not in _HASHES:
-                _HASHES[w] = xxhash.xxh3_64_intdigest(w)
-        return np.array([_HASHES[w] for w in words], np.uint64)
+    """Hashes of the words of a text, in order; words end at ASCII white space."""
+    if len(_HASHES) > _REMEMBERED:
+        _HASHES.clear()
+    words = text.encode().translate(_LOWER).split()
+    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
