@@ -139,3 +139,31 @@ FROM measured
 
 
 ORACLE["op9_quality_divergence"] = _quality_sql()
+
+ORACLE["op2_minhash_forest"] = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda w: w <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM texts
+), members AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets
+), pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both_have, any_value(a.n + b.n) AS n
+  FROM members a JOIN members b USING (shingle) WHERE a.doc_id < b.doc_id GROUP BY x, y
+), links AS (
+  SELECT x, y FROM pairs WHERE 100 * both_have >= 80 * (n - both_have)
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT reached.x, hop.y FROM reached JOIN (SELECT x, y FROM links UNION ALL SELECT y, x FROM links) hop ON hop.x = reached.y
+), least AS (
+  SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN least USING (doc_id)
+"""
