@@ -60,5 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-# Near-duplicates and pieces have no SQL form; tests compare the stages with brute force.
+# Cut lines and pieces have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
