@@ -14,18 +14,16 @@ begins and ends with the end token.
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import zstandard
-from pyarrow import fs
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlens.llm.eliasfano import EliasFano
+from ledgerlens.llm.mapped import map_arrays, write_arrays
 from ledgerlens.llm.text import stored
 from ledgerlens.llm.wordhash import word_hashes
 from ledgerlens.session import scratch_path
@@ -78,38 +76,6 @@ def _merged(blocks: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return keys[starts], np.add.reduceat(counts[order], starts)
 
 
-def _write(folder: str, arrays: list[np.ndarray]) -> str:
-    """Arrays in one file, each behind its type and length; a name of its own for each attempt."""
-    store, path = fs.FileSystem.from_uri(folder)
-    store.create_dir(path, recursive=True)
-    name = f"part-{uuid.uuid4().hex}.trie"
-    with store.open_output_stream(f"{path}/{name}") as out:
-        out.write(np.array([len(arrays)], "<i8").tobytes())
-        for a in arrays:
-            data = a.tobytes()
-            out.write(a.dtype.str.encode().ljust(8) + np.array([a.size, len(data)], "<i8").tobytes())
-            out.write(data.ljust(-(-len(data) // 8) * 8, b"\0"))
-    return f"{folder}/{name}"
-
-
-def _map(uri: str) -> list[np.ndarray]:
-    """The arrays of a file, mapped into memory; a remote file is copied to the worker's disk first."""
-    store, path = fs.FileSystem.from_uri(uri)
-    if not isinstance(store, fs.LocalFileSystem):
-        with tempfile.NamedTemporaryFile(delete=False) as copy, store.open_input_stream(path) as source:
-            while part := source.read(1 << 20):
-                copy.write(part)
-        path = copy.name
-    data = np.memmap(path, np.uint8, "r")
-    at, arrays = 8, []
-    for _ in range(int(data[:8].view("<i8")[0])):
-        kind = data[at : at + 8].tobytes().strip().decode()
-        size, length = data[at + 8 : at + 24].view("<i8").tolist()
-        arrays.append(data[at + 24 : at + 24 + length].view(kind)[:size])
-        at += 24 + -(-length // 8) * 8
-    return arrays
-
-
 class Words:
     """The first level: ids and counts of words, by hash. Ids go by hash, over the shards."""
 
@@ -118,7 +84,7 @@ class Words:
         self.first = np.concatenate(([0], np.cumsum(sizes)))
         self.lists = []
         for path in paths:
-            *hashes, counts = _map(path) if path else (*EliasFano.build(np.array([], "u8")).arrays, np.array([0], "<u4"))
+            *hashes, counts = map_arrays(path) if path else (*EliasFano.build(np.array([], "u8")).arrays, np.array([0], "<u4"))
             self.lists.append((EliasFano(*hashes), counts))
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
@@ -218,7 +184,7 @@ def train(docs: DataFrame) -> Trie:
         shard = int(blocks["shard"].iloc[0])
         keys, counts = _merged(blocks)
         hashes = EliasFano.build(keys - shard_start(shard, n_word_shards))
-        path = _write(folder, [*hashes.arrays, counts.astype("<u4")])
+        path = write_arrays(folder, [*hashes.arrays, counts.astype("<u4")])
         return pd.DataFrame({"shard": [shard], "path": [path], "n": [len(keys)], "tokens": [int(counts.sum())]})
 
     def by_shard(counter, writer, schema: str, name: str) -> list:
@@ -261,7 +227,7 @@ def train(docs: DataFrame) -> Trie:
             EliasFano.build(np.append(first, len(keys)).astype(np.uint64)),
             EliasFano.build(place.astype(np.uint64) * _U(width) + followers.astype(np.uint64)),
         ]
-        path = _write(folder, [a for x in lists for a in x.arrays] + [steps])
+        path = write_arrays(folder, [a for x in lists for a in x.arrays] + [steps])
         return pd.DataFrame({"shard": [int(blocks["shard"].iloc[0])], "path": [path]})
 
     rows = by_shard(count_pairs, write_pairs, "shard int, path string", "pair-files")
@@ -280,7 +246,7 @@ def _log_pairs(model: Trie, words: Words, contexts: np.ndarray, followers: np.nd
         if path is None:
             continue
         if path not in _OPEN_PAIRS:
-            arrays = _map(path)
+            arrays = map_arrays(path)
             _OPEN_PAIRS[path] = (*(EliasFano(*arrays[i : i + 4]) for i in (0, 4, 8)), arrays[12])
         known, pointers, successors, steps = _OPEN_PAIRS[path]
         own, back = np.unique(contexts[at], return_inverse=True)

@@ -9,22 +9,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.dataset
 import xxhash
-from pyarrow import fs
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlens.llm.text import let
+from ledgerlens.llm.mapped import map_arrays, write_arrays
+from ledgerlens.llm.text import let, stored
 from ledgerlens.session import scratch_path
 
 # Fixed value: the character that stands for a space.
 SPACE = "▁"
 # Units of more characters are merged in Python: a fold's state is one long.
 LONGEST = 60
-# Up to so many units, some 40 bytes each, are loaded by each Python worker.
-LOADED_UNITS = 8_000_000
+# Up to so many units, some 40 bytes each, are mapped by each worker.
+LOADED_UNITS = 100_000_000
 # Words that a worker remembers, and texts that it holds at once.
-REMEMBERED, SLICE = 300_000, 500
+REMEMBERED, SLICE = 100_000, 500
 
 # Fixed value: line feed, tab, vertical tab, form feed. A carriage return is part of some pieces.
 BREAKS = "\t\n\x0b\x0c"
@@ -324,37 +323,62 @@ def encoded_units(docs: DataFrame, model: Model, borders=merged_borders) -> str:
     return path
 
 
-class _Units:
-    """All units and their ids, in sorted arrays that take a few bytes a unit."""
-
-    def __init__(self, path: str, pairs: frozenset[str], width: int) -> None:
-        store, folder = fs.FileSystem.from_uri(path)
-        files = [f.path for f in store.get_file_info(fs.FileSelector(folder)) if f.path.endswith(".parquet")]
-        hashes, lengths, ids = [], [], []
-        for batch in pa.dataset.dataset(files, filesystem=store, format="parquet").to_batches():
-            hashes.append(np.array([_unit_hash(u) for u in batch.column("unit").to_pylist()], "u8"))
-            column = batch.column("ids")
-            lengths.append(column.value_lengths().to_numpy(zero_copy_only=False))
-            ids.append(column.flatten().to_numpy(zero_copy_only=False).astype(f"<u{width}"))
-        key = np.concatenate(hashes) if hashes else np.array([], "u8")
-        size = np.concatenate(lengths).astype("i8") if lengths else np.array([], "i8")
-        order = np.argsort(key, kind="stable")
-        self.keys = key[order]
-        starts = np.cumsum(size) - size
-        self.starts, self.sizes = starts[order] * width, size[order].astype("i4") * width
-        self.ids = np.concatenate(ids).tobytes() if ids else b""
-        if len(np.unique(self.keys)) < len(self.keys):
+def mapped_units(units: DataFrame) -> tuple[str | None, ...]:
+    """Files of the units' hashes, ascending, and their ids, a file per range of hashes.
+
+    The driver gets a path per range.
+    """
+    spark = units.sparkSession
+    folder, shards = scratch_path(spark, "unit-files"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def write(table: pa.Table) -> pa.Table:
+        keys = table.column("key").to_numpy().view("u8")
+        lists = table.column("ids").combine_chunks()
+        order = np.argsort(keys)
+        keys = keys[order]
+        if (keys[1:] == keys[:-1]).any():
             raise ValueError("two units share a hash")
-        self.pairs = pairs
+        ordered = lists.take(pa.array(order))
+        ids = ordered.flatten().to_numpy(zero_copy_only=False).astype("<i4")
+        ends = np.cumsum(np.asarray(ordered.value_lengths())).astype("<i8")
+        path = write_arrays(folder, [keys, ends, ids])
+        return pa.table({"shard": table.column("shard").slice(0, 1), "path": [path]})
+
+    key = F.xxhash64("unit")
+    shard = F.shiftrightunsigned(F.shiftrightunsigned(key, 32) * shards, 32).cast("int")
+    rows = units.select(key.alias("key"), "ids", shard.alias("shard"))
+    found = stored(rows.groupBy("shard").applyInArrow(write, "shard int, path string"), "unit-shards").collect()
+    paths = {r["shard"]: r["path"] for r in found}
+    return tuple(paths.get(s) for s in range(shards))
+
+
+class _Units:
+    """All units and their ids, in mapped files."""
+
+    def __init__(self, paths: tuple[str | None, ...], pairs: frozenset[str], width: int) -> None:
+        self.files = [map_arrays(path) if path else None for path in paths]
+        self.pairs, self.width = pairs, width
         self.known: dict[str, bytes] = {}
 
+    def _found(self, units: list[str]) -> list[bytes]:
+        keys = np.array([xxhash.xxh64_intdigest(u, seed=42) for u in units], "u8")  # Spark's xxhash64
+        shard = ((keys >> np.uint64(32)) * np.uint64(len(self.files)) >> np.uint64(32)).astype("i8")
+        out: list[bytes] = [b""] * len(units)
+        for s in np.unique(shard):
+            if self.files[s] is None:
+                raise ValueError("a unit of the text is not in the table")
+            all_keys, ends, ids = self.files[s]
+            mine = np.flatnonzero(shard == s)
+            at = np.searchsorted(all_keys, keys[mine])
+            if (all_keys[np.minimum(at, len(all_keys) - 1)] != keys[mine]).any():
+                raise ValueError("a unit of the text is not in the table")
+            for i, a in zip(mine.tolist(), at.tolist()):
+                out[i] = ids[ends[a - 1] if a else 0 : ends[a]].astype(f"<u{self.width}").tobytes()
+        return out
+
     def _learn(self, words: list[str]) -> None:
         units = [units_of(word, self.pairs) for word in words]
-        flat = np.array([_unit_hash(u) for own in units for u in own], "u8")
-        at = np.searchsorted(self.keys, flat)
-        if (self.keys[np.minimum(at, len(self.keys) - 1)] != flat).any():
-            raise ValueError("a unit of the text is not in the table")
-        found = iter([self.ids[s : s + n] for s, n in zip(self.starts[at], self.sizes[at])])
+        found = iter(self._found([u for own in units for u in own]))
         for word, own in zip(words, units):
             self.known[word] = b"".join(next(found) for _ in own)
 
@@ -369,11 +393,7 @@ class _Units:
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
-def _unit_hash(unit: str) -> int:
-    return xxhash.xxh3_64_intdigest(unit)
-
-
-_LOADED: dict[str, _Units] = {}
+_LOADED: dict[tuple[str | None, ...], _Units] = {}
 DIGESTS = ", n_tokens long, ids_crc32 long, decoded_crc32 long"
 
 
@@ -388,8 +408,8 @@ def encode(
     result. A text is cut into units that no piece goes beyond; each distinct
     unit is encoded once, by the lattice.
 
-    Up to ``loaded`` units, the workers load the table of units from the shared
-    folder. Beyond that, the units of all texts are joined to it and put
+    Up to ``loaded`` units, the workers map the table of units from the shared
+    folder into memory. Beyond that, the units of all texts are joined to it and put
     together again by text.
     """
     spark = docs.sparkSession
@@ -418,13 +438,13 @@ def encode(
         return pa.RecordBatch.from_arrays(columns, names)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _LOADED:
+        if files not in _LOADED:
             _LOADED.clear()
-            _LOADED[path] = _Units(path, pairs.value, width)
+            _LOADED[files] = _Units(files, pairs.value, width)
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
-                yield result(part.column("doc_id"), _LOADED[path](part.column("text").to_pylist()))
+                yield result(part.column("doc_id"), _LOADED[files](part.column("text").to_pylist()))
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -434,6 +454,7 @@ def encode(
                 yield result(part.column("doc_id"), data)
 
     if units.count() <= loaded:
+        files = mapped_units(units)
         return keyed.mapInArrow(look_up, schema)
     joined = _encode_by_join(keyed, units, pairs)
     return joined.mapInArrow(gathered, schema) if digests else joined
