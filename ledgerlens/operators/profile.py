@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from ledgerlens.operators.clean import is_complete, is_kept, is_present
 
 
+# Fixed value: wording of the sentence.
+SHAPE_SENTENCE = "A base de dados apresenta %d registros de compras (linhas) e %d variáveis (colunas)"
+
+
 def profile_columns(df: DataFrame) -> DataFrame:
     """Per column: type, count of present values and row count. NaN is missing, as in cleaning."""
     present = [F.count_if(is_present(c, kind)).alias(c) for c, kind in df.dtypes]
@@ -24,11 +28,9 @@ def profile_missing(df: DataFrame) -> DataFrame:
 
 def profile_shape(df: DataFrame) -> DataFrame:
     """Row and column counts, also as a sentence."""
-    # Fixed value: wording of the sentence.
-    sentence = "A base de dados apresenta %d registros de compras (linhas) e %d variáveis (colunas)"
     width = F.lit(len(df.columns))
     return df.agg(F.count("*").alias("rows")).select(
-        "rows", width.alias("columns"), F.format_string(sentence, "rows", width).alias("sentence")
+        "rows", width.alias("columns"), F.format_string(SHAPE_SENTENCE, "rows", width).alias("sentence")
     )
 
 

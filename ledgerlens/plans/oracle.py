@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-_SALES = """
+from ledgerlens.operators.profile import SHAPE_SENTENCE
+from ledgerlens.schema import HOME_COUNTRY
+from ledgerlens.sources import segments as names
+
+_SALES = f"""
 items AS (SELECT l_orderkey, sum(l_quantity) AS items FROM lineitem GROUP BY l_orderkey),
 one_copy AS (
   SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS invoice_no,
     CASE WHEN o_orderkey % 7 <> 0 THEN o_custkey END AS customer_id,
     CAST(o_orderdate AS TIMESTAMP) AS invoice_ts,
-    CASE WHEN o_custkey % 4 <> 0 OR o_orderkey % 9 = 0 THEN 'United Kingdom' ELSE n_name END AS country,
+    CASE WHEN o_custkey % 4 <> 0 OR o_orderkey % 9 = 0 THEN '{HOME_COUNTRY}' ELSE n_name END AS country,
     CAST(coalesce(items, 0) AS BIGINT) * CASE WHEN o_orderkey % 11 = 0 THEN -1 ELSE 1 END AS quantity,
     replace(CAST(CASE WHEN o_orderkey % 11 = 0 THEN -CAST(o_totalprice AS DECIMAL(18,2))
                       ELSE CAST(o_totalprice AS DECIMAL(18,2)) END AS VARCHAR), '.', ',') AS amount_txt
@@ -21,13 +25,13 @@ sales AS (
 
 _CLEAN = (
     _SALES
-    + """
+    + f"""
 kept AS (
   SELECT DISTINCT * FROM sales WHERE quantity IS NULL OR quantity >= 0),
 clean AS (
   SELECT invoice_no, customer_id, invoice_ts, country, quantity,
     CAST(replace(amount_txt, ',', '.') AS DECIMAL(18,2)) AS amount,
-    CAST(date_trunc('month', invoice_ts) AS DATE) AS month, country = 'United Kingdom' AS is_home
+    CAST(date_trunc('month', invoice_ts) AS DATE) AS month, country = '{HOME_COUNTRY}' AS is_home
   FROM kept
   WHERE invoice_no IS NOT NULL AND customer_id IS NOT NULL AND invoice_ts IS NOT NULL
     AND country IS NOT NULL AND quantity IS NOT NULL AND amount_txt IS NOT NULL),
@@ -115,18 +119,18 @@ _SCORED = (
     + "),\nscored AS (SELECT *, "
     + ", ".join(_score_of(m, s) for m, s in (("recency", "r"), ("frequency", "f"), ("monetary", "m")))
     + " FROM rfm),\n"
-    + """
+    + f"""
 labelled AS (
   SELECT *, CAST(r AS VARCHAR) || CAST(f AS VARCHAR) || CAST(m AS VARCHAR) AS rfm_code,
-    CASE WHEN r <= 2 AND f = 1 THEN 'Novos'
-         WHEN r <= 2 AND m <= 2 THEN 'Promissores'
-         WHEN r <= 2 AND f = 2 THEN 'Potenciais leais'
-         WHEN r = 1 AND f = 4 AND m = 4 THEN 'Melhores clientes'
-         WHEN r <= 2 THEN 'Leais'
-         WHEN f >= 3 AND m >= 3 THEN 'Precisa de atenção!'
-         WHEN r = 3 THEN 'Prestes a hibernar'
-         WHEN f + m <= 3 THEN 'Perdidos'
-         ELSE 'Hibernando' END AS category
+    CASE WHEN r <= 2 AND f = 1 THEN '{names.NEW}'
+         WHEN r <= 2 AND m <= 2 THEN '{names.PROMISING}'
+         WHEN r <= 2 AND f = 2 THEN '{names.POTENTIAL_LOYAL}'
+         WHEN r = 1 AND f = 4 AND m = 4 THEN '{names.BEST}'
+         WHEN r <= 2 THEN '{names.LOYAL}'
+         WHEN f >= 3 AND m >= 3 THEN '{names.NEEDS_ATTENTION}'
+         WHEN r = 3 THEN '{names.ABOUT_TO_HIBERNATE}'
+         WHEN f + m <= 3 THEN '{names.LOST}'
+         ELSE '{names.HIBERNATING}' END AS category
   FROM scored),
 summary AS (
   SELECT category, count(DISTINCT customer_id) AS customers, sum(monetary) AS revenue
@@ -241,8 +245,7 @@ ORACLE = {
     ),
     "profile_shape": _with(
         _CLEAN,
-        "SELECT count(*) AS rows, 6 AS columns, printf('A base de dados apresenta %d registros de compras (linhas) "
-        "e %d variáveis (colunas)', count(*), 6) AS sentence FROM clean",
+        f"SELECT count(*) AS rows, 6 AS columns, printf('{SHAPE_SENTENCE}', count(*), 6) AS sentence FROM clean",
     ),
     "profile_missing": _with(
         _SALES, _per_column("SELECT '{column}' AS \"column\", count(*) - count({column}) AS missing FROM sales")
