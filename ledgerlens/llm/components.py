@@ -7,18 +7,16 @@ from pyspark.sql import DataFrame, functions as F
 from ledgerlens.llm.text import stored
 
 
-def _by_source(links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    least = links.groupBy("u").agg(F.min("v").alias("low"))
-    return links, least
+def _lowest(links: DataFrame) -> DataFrame:
+    return links.groupBy("u").agg(F.min("v").alias("low"))
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     """Each node's larger neighbours are tied to its least neighbour instead."""
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    both, least = _by_source(both)
     low = F.least("u", "low")
     return (
-        both.join(least, "u")
+        both.join(_lowest(both), "u")
         .filter(F.col("v") > F.col("u"))
         .select(F.col("v").alias("u"), low.alias("v"))
         .distinct()
@@ -28,10 +26,10 @@ def _large_star(links: DataFrame) -> DataFrame:
 def _small_star(links: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are tied to the least of them."""
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    down, least = _by_source(down)
-    tied = down.join(least, "u")
+    least = _lowest(down)
     return (
-        tied.select(F.col("v").alias("u"), F.col("low").alias("v"))
+        down.join(least, "u")
+        .select(F.col("v").alias("u"), F.col("low").alias("v"))
         .union(least.select("u", F.col("low").alias("v")))
         .filter(F.col("u") != F.col("v"))
         .distinct()

@@ -53,12 +53,11 @@ def runs_of(text: str) -> Iterator[tuple[int, int, int]]:
         if border[k]:
             start, rolled = k, hashes[k]
     # Backwards: from each line that is no border, and so began no run above.
-    end, rolled, pending = None, 0, []
+    end, rolled = None, 0
     for k in range(len(filled) - 1, -1, -1):
         if border[k]:
-            end, rolled, pending = k, hashes[k], [hashes[k]]
+            end, rolled = k, hashes[k]
         elif end is not None:
-            pending.append(hashes[k])
             rolled = _rolled(rolled, hashes[k])
             # Another seed: a run told backwards is never one told forwards.
             yield filled[k], filled[end], rolled ^ _MASK
