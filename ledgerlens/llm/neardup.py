@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlens.llm.components import components
 from ledgerlens.llm.text import set_aside, stored
-from ledgerlens.llm.wordhash import word_hashes
+from ledgerlens.llm.wordhash import forget, word_hashes
 
 # Trees of the forest, and hash values of a tree's key.
 TREES, DEPTH = 16, 6
@@ -106,6 +106,7 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
                 frame = pd.DataFrame(rows, columns=["n_shingles", "set_id", "shingles", "keys", "sketch"])
                 frame.insert(0, "doc_id", part["doc_id"].astype("Int64").to_numpy())
                 yield frame.astype({"doc_id": "Int64"})
+        forget()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(describe, SETS)
 

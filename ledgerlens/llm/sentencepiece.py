@@ -445,6 +445,7 @@ def encode(
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
                 yield result(part.column("doc_id"), _LOADED[files](part.column("text").to_pylist()))
+        _LOADED.clear()  # an idle worker would keep its words
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

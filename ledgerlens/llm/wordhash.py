@@ -19,6 +19,11 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
+def forget() -> None:
+    """Free what is remembered: idle workers keep their memory, next to others at work."""
+    _HASHES.clear()
+
+
 def word_hashes(text: str) -> np.ndarray:
     """Hashes of the words of a text, in order; words end at ASCII white space."""
     if len(_HASHES) > _REMEMBERED:
