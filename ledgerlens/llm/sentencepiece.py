@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.llm.mapped import map_arrays, write_arrays
 from ledgerlens.llm.text import let, stored
+from ledgerlens.llm.tokens_file import Remembered
 from ledgerlens.session import scratch_path
 
 # Fixed value: the character that stands for a space.
@@ -23,7 +24,7 @@ LONGEST = 60
 # Up to so many units, some 40 bytes each, are mapped by each worker.
 LOADED_UNITS = 100_000_000
 # Words that a worker remembers, and texts that it holds at once.
-REMEMBERED, SLICE = 100_000, 500
+REMEMBERED, SLICE = 200_000, 500
 
 # Fixed value: line feed, tab, vertical tab, form feed. A carriage return is part of some pieces.
 BREAKS = "\t\n\x0b\x0c"
@@ -323,7 +324,7 @@ def encoded_units(docs: DataFrame, model: Model, borders=merged_borders) -> str:
     return path
 
 
-def mapped_units(units: DataFrame) -> tuple[str | None, ...]:
+def mapped_units(units: DataFrame, width: int) -> tuple[str | None, ...]:
     """Files of the units' hashes, ascending, and their ids, a file per range of hashes.
 
     The driver gets a path per range.
@@ -339,7 +340,7 @@ def mapped_units(units: DataFrame) -> tuple[str | None, ...]:
         if (keys[1:] == keys[:-1]).any():
             raise ValueError("two units share a hash")
         ordered = lists.take(pa.array(order))
-        ids = ordered.flatten().to_numpy(zero_copy_only=False).astype("<i4")
+        ids = ordered.flatten().to_numpy(zero_copy_only=False).astype(f"<u{width}")
         ends = np.cumsum(np.asarray(ordered.value_lengths())).astype("<i8")
         path = write_arrays(folder, [keys, ends, ids])
         return pa.table({"shard": table.column("shard").slice(0, 1), "path": [path]})
@@ -358,7 +359,7 @@ class _Units:
     def __init__(self, paths: tuple[str | None, ...], pairs: frozenset[str], width: int) -> None:
         self.files = [map_arrays(path) if path else None for path in paths]
         self.pairs, self.width = pairs, width
-        self.known: dict[str, bytes] = {}
+        self.known = Remembered(REMEMBERED)
 
     def _found(self, units: list[str]) -> list[bytes]:
         keys = np.array([xxhash.xxh64_intdigest(u, seed=42) for u in units], "u8")  # Spark's xxhash64
@@ -372,8 +373,10 @@ class _Units:
             at = np.searchsorted(all_keys, keys[mine])
             if (all_keys[np.minimum(at, len(all_keys) - 1)] != keys[mine]).any():
                 raise ValueError("a unit of the text is not in the table")
-            for i, a in zip(mine.tolist(), at.tolist()):
-                out[i] = ids[ends[a - 1] if a else 0 : ends[a]].astype(f"<u{self.width}").tobytes()
+            raw, stops = memoryview(ids.view("u1")), ends[at] * self.width
+            starts = np.where(at > 0, ends[np.maximum(at - 1, 0)], 0) * self.width
+            for i, start, stop in zip(mine.tolist(), starts.tolist(), stops.tolist()):
+                out[i] = bytes(raw[start:stop])
         return out
 
     def _learn(self, words: list[str]) -> None:
@@ -385,9 +388,7 @@ class _Units:
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text, as bytes."""
         split = [words_of(text) if text else [] for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        unknown = [word for word in set().union(*split) if word not in self.known]
+        unknown = self.known.missing(set().union(*split))
         if unknown:
             self._learn(unknown)
         return [b"".join(map(self.known.__getitem__, words)) for words in split]
@@ -455,7 +456,7 @@ def encode(
                 yield result(part.column("doc_id"), data)
 
     if units.count() <= loaded:
-        files = mapped_units(units)
+        files = mapped_units(units, width)
         return keyed.mapInArrow(look_up, schema)
     joined = _encode_by_join(keyed, units, pairs)
     return joined.mapInArrow(gathered, schema) if digests else joined

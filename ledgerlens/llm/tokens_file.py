@@ -83,7 +83,7 @@ def read_record(file) -> bytes:
     return payload
 
 
-class _Remembered(dict):
+class Remembered(dict):
     """What was found for keys, of the last ``most`` keys at least and twice as many at most."""
 
     def __init__(self, most: int) -> None:
@@ -122,7 +122,7 @@ class _Encoder:
         self.tokenizer = Tokenizer.from_str(model)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.model = self.tokenizer.model
-        self.words, self.parts = _Remembered(REMEMBERED), _Remembered(REMEMBERED)
+        self.words, self.parts = Remembered(REMEMBERED), Remembered(REMEMBERED)
         self.end = END_ID.to_bytes(self.width, "little")
 
     def _encode(self, texts: list[str]) -> list[bytes]:
