@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerlens.llm.components import components
 from ledgerlens.llm.text import set_aside, stored
@@ -24,6 +24,10 @@ REGION = 32
 NEXT = 2
 # Trees whose nearest neighbours are compared first.
 FIRST_TREES = 4
+# Classes of a block: pairs of blocks are a task's work where a region is crowded.
+BLOCK, SET_BLOCK = 2048, 512
+# Shingles whose common ones are counted together.
+COLUMNS = 8192
 # Up to so many ids, 16 bytes each, are broadcast to thin the table of sets.
 BROADCAST_IDS = 4_000_000
 
@@ -220,6 +224,161 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     )
 
 
+def _prefixes() -> Column:
+    """A tree's number and its MIN_DEPTH leading values, a row per tree."""
+    return F.explode(
+        F.array(
+            *[
+                F.concat(F.lit(t.to_bytes(2, "big")), F.substring("keys", 2 * DEPTH * t + 1, 2 * MIN_DEPTH))
+                for t in range(TREES)
+            ]
+        )
+    ).alias("region")
+
+
+def _small(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def crowded_regions(classes: DataFrame) -> DataFrame:
+    """What more than REGION classes share as a tree's MIN_DEPTH leading values."""
+    return classes.select(_prefixes()).groupBy("region").count().filter(F.col("count") > REGION).select("region")
+
+
+def crowded(classes: DataFrame, regions: DataFrame, roots: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """Classes of those ``regions`` that are not yet one component.
+
+    With ``only``, a table of region, node and node_set, just those rows take part.
+    """
+    rows = (
+        classes.select("node", "node_set", "n_shingles", "keys", "sketch")
+        .join(roots, "node", "left")
+        .select(_prefixes(), "node", "node_set", "n_shingles", "sketch", F.coalesce("component", "node").alias("root"))
+        .join(_small(regions), "region", "left_semi")
+    )
+    if only is not None:
+        rows = rows.join(_small(only), ["region", "node", "node_set"], "left_semi")
+    apart = (
+        rows.groupBy("region")
+        .agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter("low < high")
+        .select("region", "members")
+    )
+    return rows.join(_small(stored(apart, "apart")), "region")
+
+
+def _blocks(rows: DataFrame, size: int) -> DataFrame:
+    """Each row once for every pair of blocks that its own block takes part in."""
+    n = F.ceil(F.col("members") / size).cast("int")
+    own = F.pmod(F.xxhash64("node", "node_set"), n).cast("int")
+    return (
+        rows.withColumn("block", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
+        .withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")})
+        .drop("other", "members")
+    )
+
+
+def _likely(frame: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs of a pair of blocks may be similar and lie in two components, and all agreements."""
+    bits = np.unpackbits(np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(len(frame), -1), axis=1)
+    signs = bits[:, : TREES * DEPTH].astype("f4") * 2 - 1
+    agreed = (signs @ signs.T + TREES * DEPTH) / 2
+    n, root, block = (frame[c].to_numpy() for c in ("n_shingles", "root", "block"))
+    ok = (agreed >= _least_agreement(similarity)) & (root[:, None] != root)
+    ok &= np.minimum(n[:, None], n) >= similarity * np.maximum(n[:, None], n) - 1e-9
+    if frame["first"].iloc[0] != frame["second"].iloc[0]:
+        ok &= block[:, None] != block
+    return ok, agreed
+
+
+HUBS = "a long, a_set long, b long, b_set long"
+
+
+def hub_pairs(rows: DataFrame, similarity: float) -> DataFrame:
+    """In each pair of blocks, the class that agrees most with all others, with each that may be similar."""
+
+    def of(frame: pd.DataFrame) -> pd.DataFrame:
+        ok, agreed = _likely(frame, similarity)
+        hub = int((agreed * ok).sum(axis=1).argmax())
+        with_hub = frame[ok[hub]]
+        pairs = pd.DataFrame({"a": with_hub["node"], "a_set": with_hub["node_set"]})
+        return pairs.assign(b=frame["node"].iloc[hub], b_set=frame["node_set"].iloc[hub])
+
+    return _blocks(rows, BLOCK).groupBy("region", "first", "second").applyInPandas(of, HUBS).distinct()
+
+
+def unsettled(rows: DataFrame, similarity: float) -> DataFrame:
+    """region, node and node_set of the classes that may be similar to one of another component."""
+
+    def of(frame: pd.DataFrame) -> pd.DataFrame:
+        return frame.loc[_likely(frame, similarity)[0].any(axis=1), ["region", "node", "node_set"]]
+
+    schema = "region binary, node long, node_set long"
+    return _blocks(rows, BLOCK).groupBy("region", "first", "second").applyInPandas(of, schema).distinct()
+
+
+def _grouped(linked: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix of links, the least row that links lead to."""
+    label = np.arange(len(linked))
+    while True:
+        least = np.minimum(label, np.where(linked, label, len(label)).min(axis=1, initial=len(label)))
+        least = np.minimum(least, least[least])
+        if (least == label).all():
+            return label
+        label = least
+
+
+def _common(sets: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each two of the sets share."""
+    values, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    shared = times[column] > 1
+    row, column = row[shared], (np.cumsum(times > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)), "f4")
+    for at in range(0, int((times > 1).sum()), COLUMNS):
+        part = slice(*np.searchsorted(column, (at, at + COLUMNS)))
+        held = np.zeros((len(sets), COLUMNS), "f4")
+        held[row[part], column[part] - at] = 1
+        out += held @ held.T
+    return out
+
+
+def settled(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Links u, v that join what is similar in ``rows``, all pairs compared on full sets.
+
+    A pair of blocks gives a link a class at most: to the least class that its
+    similar ones lead to.
+    """
+    percent = round(100 * similarity)
+
+    def of(frame: pd.DataFrame) -> pd.DataFrame:
+        ok = _likely(frame, similarity)[0]
+        label, node, n = _grouped(ok), frame["node"].to_numpy(), frame["n_shingles"].to_numpy()
+        u, v = [], []
+        # Likely pairs lie within a label, so only its sets are compared.
+        for group in np.unique(label[ok.any(axis=1)]):
+            at = np.flatnonzero(label == group)
+            both = _common([_unpacked(x) for x in frame["shingles"].iloc[at]])
+            union = n[at][:, None] + n[at] - both
+            lead = _grouped(ok[np.ix_(at, at)] & (100 * both >= percent * union))
+            u.append(node[at])
+            v.append(node[at[lead]])
+        links = pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)} if u else {"u": [], "v": []}, dtype="int64")
+        return links[links["u"] != links["v"]]
+
+    ids = _small(rows.select("node", "node_set").distinct())
+    once = sets.join(ids, ["node", "node_set"], "left_semi").dropDuplicates(["node", "node_set"])
+    return (
+        _blocks(rows.join(once, ["node", "node_set"]), SET_BLOCK)
+        .groupBy("region", "first", "second")
+        .applyInPandas(of, "u long, v long")
+        .distinct()
+    )
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id, n_shingles, component_id and kept, one row per row of ``docs``.
 
@@ -233,6 +392,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     are by then in one component are left out, as no further link can change
     that. So a large group of near copies costs a few pairs a member.
 
+    Where more than REGION classes share MIN_DEPTH leading values of a tree and
+    are not one component by then, all of them are compared: with hubs first,
+    and then, on full sets and in blocks, every pair that lies in two components
+    and passes the tests of size and sketch.
+
     Null and empty texts, and texts without words, have no shingles and no link.
     A row without an id is linked with nothing, and kept. Rows that share an id
     are one document. Only doc_id and text are read, so other columns cannot
@@ -258,8 +422,18 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
         )
     apart = F.coalesce("a_root", "a") != F.coalesce("b_root", "b")
     rest = stored(rest.filter(apart).select("a", "a_set", "b", "b_set"), "rest")
-    more = confirmed(rest, sets, similarity)
-    roots = components(links.union(more))
+    links = stored(links.union(confirmed(rest, sets, similarity)).distinct(), "links")
+    roots = components(links)
+    regions = stored(crowded_regions(classes), "regions")
+    rows = stored(crowded(classes, regions, roots), "crowded")
+    if not rows.isEmpty():
+        links = links.union(confirmed(stored(hub_pairs(rows, similarity), "hubs"), sets, similarity))
+        links = stored(links.distinct(), "links")
+        roots = components(links)
+        open_ = stored(unsettled(crowded(classes, regions, roots), similarity), "unsettled")
+        if not open_.isEmpty():
+            rows = stored(crowded(classes, regions, roots, open_), "crowded")
+            roots = components(links.union(settled(rows, sets, similarity)))
     named = classes.select("set_id", "node").join(roots, "node", "left").select(
         "set_id", F.coalesce("component", "node").alias("component_id")
     )

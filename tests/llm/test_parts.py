@@ -161,6 +161,37 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert [tuple(g) for g in got] == [(0, 1500)]
 
 
+def star(copies, changed, seed=5):
+    """An original of 400 words, and copies with ``changed`` words of their own."""
+    r = np.random.default_rng(seed)
+    text = [f"w{i}" for i in r.integers(0, 4000, 400)]
+    rows = [(copies // 2, " ".join(text))]
+    for i in [i for i in range(copies + 1) if i != copies // 2]:
+        own = list(text)
+        for at in r.choice(400, changed, replace=False):
+            own[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("copies", [100, 1000, 5000])
+def test_copies_of_one_original_are_found_however_many(spark, copies):
+    rows = star(copies, 20)
+    own = brute.shingle_set(rows[0][1], 2)
+    near = [i for i, t in rows if 100 * len(own & (x := brute.shingle_set(t, 2))) >= 80 * len(own | x)]
+    got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2).collect()
+    least = min(near)
+    assert len(near) > 0.9 * copies
+    assert {r.doc_id for r in got if r.component_id == least} >= set(near)
+
+
+def test_template_texts_around_the_limit_equal_all_pairs(spark):
+    rows = star(300, 24) + [(i + 1000, t) for i, t in star(300, 11, seed=6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in neardup.near_duplicates(df, 2).collect()}
+    assert got == brute.near_duplicates(rows, 2)
+
+
 def test_components_of_paths_stars_and_loops(spark):
     links = [(i, i + 1) for i in range(100, 160)] + [(500, i) for i in range(501, 560)] + [(7, 7), (9, 8), (8, 9)]
     got = components.components(spark.createDataFrame(links, "u long, v long")).collect()
