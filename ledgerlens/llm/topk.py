@@ -154,16 +154,19 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 5) -> DataFrame:
     row_tiles = max(parallel, -(-vectors.count() // TILE_ROWS))
     query_tiles = max(1, -(-queries.count() // TILE_QUERIES))
 
-    # Any even deal will do; that of a row depends on its values and part only.
+    # A row's deal depends on its values and its part of the scan; repeated rows are spread.
+    # A query stands once and after a shuffle, where parts and places may change
+    # when a task runs again, so its deal depends on its values only.
+    value = F.xxhash64("vec_id", "embedding")
     salt = F.xxhash64("vec_id", "embedding", F.spark_partition_id(), F.monotonically_increasing_id())
 
-    def dealt(df: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
-        return df.withColumn(own, F.pmod(salt, F.lit(n)).cast("int")).withColumn(
+    def dealt(df: DataFrame, by: Column, own: str, n: int, other: str, m: int) -> DataFrame:
+        return df.withColumn(own, F.pmod(by, F.lit(n)).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
         )
 
-    left = dealt(asked, "query_tile", query_tiles, "row_tile", row_tiles)
-    right = dealt(rows, "row_tile", row_tiles, "query_tile", query_tiles)
+    left = dealt(asked, value, "query_tile", query_tiles, "row_tile", row_tiles)
+    right = dealt(rows, salt, "row_tile", row_tiles, "query_tile", query_tiles)
 
     def search(asked_tile: pa.Table, row_tile: pa.Table) -> pa.Table:
         if not len(asked_tile) or not len(row_tile):

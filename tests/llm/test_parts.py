@@ -128,6 +128,17 @@ def test_top_k_prunes_nothing_wanted(seed, spread):
         assert list(zip(-found["score"][mine], found["vec_id"][mine])) == order
 
 
+def test_queries_are_dealt_by_their_values(spark, monkeypatch):
+    monkeypatch.setattr(topk, "TILE_QUERIES", 4)
+    vectors = [(i, [float(x) for x in np.random.default_rng(i).normal(size=8).astype("f4")]) for i in range(60)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    found = topk.report(df, 2, 3)
+    assert sorted(map(tuple, found.collect())) == brute_search(vectors, 2, 3)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    dealt = [line for line in plan.split("\n") if "query_tile" in line and "pmod" in line]
+    assert dealt and not any("monotonically" in line or "SPARK_PARTITION" in line for line in dealt if "AS query_tile" in line.split("pmod")[1])
+
+
 # Near-duplicates
 
 
