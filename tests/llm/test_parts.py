@@ -415,3 +415,28 @@ def test_junk_goes_and_prose_stays(spark):
     junk = [(100, " ".join(f"{w}###$$$%%%" for w in WORDS * 5)), (101, " | ".join(f"{w}{i}" for i, w in enumerate(WORDS * 5)))]
     got = {r.doc_id: r for r in quality.report(spark.createDataFrame(prose_rows + junk, "doc_id long, text string")).collect()}
     assert all(got[i].kept for i in range(30)) and not got[100].kept and not got[101].kept
+
+
+def test_junk_with_few_frequent_words_or_some_symbols_goes(spark):
+    r = np.random.default_rng(11)
+    frequent = quality.COMMON["en"].split()
+
+    def text(n, common):
+        own = [f"{WORDS[i]}{WORDS[j]}".lower() for i, j in r.integers(0, 17, (n - common, 2))]
+        return r.permutation(own + list(r.choice(frequent, common))).tolist()
+
+    rows = [(i, " ".join(text(300, 63))) for i in range(200)]
+    rows += [(1000 + n, " ".join(text(300, n))) for n in range(1, 6)]
+    for i, share in enumerate((6, 5, 4)):
+        own = text(300, 63)
+        symbols = r.choice(["#", "$", "%", "&"], len(" ".join(own)) // (share - 1))
+        parts = np.array_split(symbols, len(own))
+        rows.append((2000 + i, " ".join(w + "".join(x) for w, x in zip(own, parts))))
+    # Symbols apart from the words, so that the frequent words stay what they are.
+    for i, share in enumerate((6, 5, 4)):
+        own = text(300, 63)
+        rows.append((3000 + i, " ".join(own) + " " + "#" * (len(" ".join(own)) // (share - 1))))
+    got = {x.doc_id: x for x in quality.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i].kept for i in range(200))
+    assert [i for i, x in got.items() if i >= 1000 and x.kept] == []
+    assert all(got[3000 + i].word_distance < quality.MAX_WORD_DISTANCE for i in range(3))
