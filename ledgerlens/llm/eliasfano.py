@@ -39,7 +39,8 @@ class EliasFano:
         values = values.astype(np.uint64)
         n = len(values)
         top = int(values[-1]) if n else 0
-        shift = max(0, (top // max(n, 1)).bit_length() - 1)
+        # A word read at any bit of a byte holds 57 lower bits for sure.
+        shift = min(57, max(0, (top // max(n, 1)).bit_length() - 1))
         upper = (values >> _U(shift)).astype(np.int64)
         bits = np.zeros(n + (top >> shift) + 2, np.uint8)
         bits[upper + np.arange(n)] = 1

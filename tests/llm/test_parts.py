@@ -21,9 +21,17 @@ CLASH = ["size", "taken", "copies", "target", "source_size", "q_kept", "q_text",
 MODEL = public_tokenizers.path("word_bpe_49k.json")
 
 
+def prose(seed):
+    """400 words, half of them frequent ones, that no rule rejects."""
+    r = np.random.default_rng(seed)
+    rare = [f"{WORDS[i]}{WORDS[j]}".lower() for i, j in r.integers(0, 17, (200, 2))]
+    return " ".join(r.permutation(rare + list(r.choice(quality.COMMON["en"].split(), 200))))
+
+
 def edge_rows():
     long_text = "\n".join(" ".join(f"{w}{i}" for w in WORDS) for i in range(3000))
     texts = [None, "", "   \n\t ", "one", "one two", PASSAGE, PASSAGE, f"a\n{PASSAGE}\nb", long_text, "x" * 5000, "a\n" * 50]
+    texts += [prose(i) for i in range(3)]
     rows = [(i, t, f"s{i % 3}", "en", len(t or "")) for i, t in enumerate(texts)]
     return [*rows, rows[5], (None, PASSAGE, None, None, None), (None, None, None, None, None)]
 
@@ -388,6 +396,25 @@ def test_elias_fano(values, shift):
     assert packed.find(asked).tolist() == [place.get(int(v), -1) for v in asked]
 
 
+@pytest.mark.parametrize(("n_words", "shards"), [(1, 1), (2, 64), (12, 4), (30, 2), (30, 8), (60, 16), (200, 64)])
+def test_small_vocabularies(spark, n_words, shards):
+    r = np.random.default_rng(n_words)
+    texts = [" ".join(f"w{i}" for i in r.integers(0, n_words, 20)) for _ in range(7)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(shards))
+    try:
+        got = ngram_lm.score(df, ngram_lm.train(df)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    plain, _ = brute.language_model(texts, ngram_lm.MU)
+    for row in got:
+        tokens, known, base, model = plain(texts[row.doc_id])
+        assert (row.n_tokens, row.n_known) == (tokens, known)
+        assert row.base_score == pytest.approx(base)
+        assert abs(row.score - model) <= tokens / ngram_lm.STEPS
+
+
 def test_a_hot_context_is_spread():
     shards = ngram_lm._pair_shards(np.zeros(1000, "i8"), np.arange(1000), np.full(1000, 10**8), 40)
     assert len(set(shards.tolist())) > 20
