@@ -167,3 +167,79 @@ WITH RECURSIVE texts AS (
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN least USING (doc_id)
 """
+
+ORACLE["op11_phrase_summaries"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents
+), pieces AS (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM texts)
+), grams AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, (SELECT unnest([1, 2, 3, 4]) AS size) WHERE len(w) >= size)
+), f AS (
+  SELECT lang, size, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 30
+), totals AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang
+), candidates AS (
+  SELECT *, string_split(phrase, ' ') AS w FROM f WHERE size > 1
+), inner_phrases AS (
+  SELECT lang, a, array_to_string(w[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, size - k + 2)) AS i FROM (SELECT *, unnest(range(2, size)) AS k FROM candidates))
+), covered AS (
+  SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY lang, phrase
+), kept AS (
+  SELECT c.* FROM candidates c LEFT JOIN covered v ON v.lang = c.lang AND v.phrase = c.phrase
+  WHERE v.longer IS NULL OR 100 * v.longer < 80 * c.a
+), cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM kept)
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, CAST(2000000 * CAST(c.a AS HUGEINT) // (x.a + y.a) AS BIGINT) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.lp JOIN f y ON y.lang = c.lang AND y.phrase = c.rp
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM best JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+ORACLE["op13_splitter_skeleton"] = r"""
+WITH RECURSIVE turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS i
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base,
+    xor(list_reduce(string_split(CAST(conv_id AS VARCHAR), ''), lambda acc, c: list_reduce(range(8),
+      lambda b, k: xor(b >> 1, 3988292384 * (b & 1)), xor(acc, CAST(ascii(c) AS BIGINT))), CAST(4294967295 AS BIGINT)), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), rebuilt AS (
+  SELECT c.conv_id, t.i, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.i <= c.h
+  UNION ALL SELECT c.conv_id, t.i, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.i > c.h
+), placed AS (
+  SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY i) AS d FROM rebuilt
+), reached AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS d, '' AS node, CAST(NULL AS VARCHAR) AS parent, CAST(0 AS BIGINT) AS words FROM convs
+  UNION ALL
+  SELECT r.conv_id, p.d, sha256(r.node || length(p.role) || ':' || p.role || p.text), r.node,
+    CAST(len(list_filter(string_split_regex(p.text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT)
+  FROM reached r JOIN placed p ON p.conv_id = r.conv_id AND p.d = r.d + 1
+), sizes AS (
+  SELECT conv_id, max(d) AS n FROM reached GROUP BY conv_id
+), nodes AS (
+  SELECT node, any_value(parent) AS parent, any_value(r.d) AS depth, any_value(words) AS words, min(r.conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(r.conv_id AS VARCHAR), ',' ORDER BY r.conv_id) FILTER (s.n = r.d), '')) AS ends_sha256
+  FROM reached r JOIN sizes s USING (conv_id) GROUP BY node
+), children AS (
+  SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), up AS (
+  SELECT node, node AS above FROM nodes UNION ALL SELECT up.node, n.parent FROM up JOIN nodes n ON n.node = up.above WHERE n.parent IS NOT NULL
+), sums AS (
+  SELECT above AS node, CAST(count(*) FILTER (c.n IS NULL) AS BIGINT) AS n_leaves, CAST(sum((n.n_convs - 1) * n.words) AS BIGINT) AS saved_tokens
+  FROM up JOIN nodes n USING (node) LEFT JOIN children c USING (node) GROUP BY above
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums s USING (node) LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node
+"""

@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.llm import html, licenses, lines, mixing, neardup, ngram_lm, quality, sentencepiece, tokens_file, topk
+from ledgerlens.llm import (
+    conversations, html, licenses, lines, mixing, neardup, ngram_lm, packing, phrases, quality, sentencepiece, tokens_file, topk,
+)
 from ledgerlens.llm.text import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +70,19 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_mix_systematic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_phrase_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_differencing_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = tokens_file.model_text(public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.report(table(spark, sf_dir, "documents"), model)
+
+
+@query
+def op13_splitter_skeleton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.prefix_trie(table(spark, sf_dir, "conversations"))

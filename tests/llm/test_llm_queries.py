@@ -38,7 +38,7 @@ def rows(spark, name):
 def test_all_are_registered():
     assert QUERIES.keys() | {"pipeline"} <= queries().keys()
     assert ORACLE.keys() <= oracle_sql().keys()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
@@ -155,3 +155,28 @@ def test_mix_comes_near_its_targets(spark):
     assert queries()["op10_mix_systematic"](spark, str(TESTDATA / "sf0.01")).exceptAll(
         spark.createDataFrame(got, queries()["op10_mix_systematic"](spark, str(TESTDATA / "sf0.01")).schema)
     ).isEmpty()
+
+
+def test_pieces_of_sequences_equal_the_library(spark, documents):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    pieces, filled = defaultdict(list), defaultdict(list)
+    for r in rows(spark, "op12_differencing_windows"):
+        pieces[r.doc_id].append(r)
+        filled[r.sequence_id].append((r.offset, r.length))
+    for doc_id, text in documents:
+        ids = [*library.encode(text or "", add_special_tokens=False).ids, 0]
+        at = 0
+        for r in sorted(pieces[doc_id], key=lambda r: r.start):
+            assert r.length > 0 and (r.start, r.doc_tokens) == (at, len(ids))
+            at += r.length
+            assert r.ids_crc32 == zlib.crc32(np.array(ids[r.start : at], "<u4").tobytes())
+        assert at == len(ids)
+    sizes = []
+    for own in filled.values():
+        own.sort()
+        assert [o for o, _ in own] == [sum(n for _, n in own[:i]) for i in range(len(own))]
+        sizes.append(sum(n for _, n in own))
+    assert max(sizes) <= 1024
+    assert sum(1024 - n for n in sizes if n & (n - 1)) < 0.01 * sum(sizes)
