@@ -14,6 +14,9 @@ from ledgerlens.functions.dates import cohort_index
 from ledgerlens.operators.metrics import ratio
 
 SCOPES = ("all", "home", "away")
+# Months in a word of a customer's calendar, and its words: 42 years from the
+# first to the last purchase of one customer.
+WORD_MONTHS, WORDS = 63, 8
 
 
 def first_months(sales: DataFrame) -> DataFrame:
@@ -40,30 +43,103 @@ def assign_cohort(sales: DataFrame) -> DataFrame:
     )
 
 
-def customer_months(sales: DataFrame) -> DataFrame:
-    """One row per customer and active month, with cohort and home/away flags.
+def _month_number(month: Column | str) -> Column:
+    return F.year(month) * 12 + F.month(month) - 1
+
+
+def customer_calendar(sales: DataFrame, words: int = WORDS) -> DataFrame:
+    """One row per customer: the first and the last month, and all active ones as bits.
 
-    Rows are combined map-side, per customer and month, in a hash aggregate;
-    what is left of a customer is bounded by the calendar, and its first month
-    is found in a window over that. Also reads ``customer_grain``.
+    Month number n is bit n % WORD_MONTHS of word n div WORD_MONTHS % words, in
+    ``home_0`` and so on for home sales and ``away_0`` and so on for others. One
+    hash aggregate of fixed width: rows are combined map-side, whatever a
+    customer's share of them, and shuffled once, by customer. Calendars of two
+    parts of the sales merge by the same aggregate (`merge_calendars`). Also
+    reads ``customer_grain``.
     """
-    active = (
+    number = _month_number("month")
+    word = F.floor(number / WORD_MONTHS) % words
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), number % WORD_MONTHS)
+    home = F.coalesce("is_home", F.lit(False))
+    # Word, bit and side are no columns of their own: the optimizer drops a removal
+    # of duplicates below an aggregate that lies right on it and ignores them.
+    return (
         sales.filter(F.col("customer_id").isNotNull() & F.col("month").isNotNull())
-        .groupBy("customer_id", "month")
-        .agg(F.max("is_home").alias("home"), F.max(~F.col("is_home")).alias("away"))
+        .groupBy("customer_id")
+        .agg(
+            F.min("month").alias("first_month"),
+            F.max("month").alias("last_month"),
+            *[
+                F.bit_or(F.when((word == w) & on_side, bit).otherwise(0)).alias(f"{side}_{w}")
+                for side, on_side in (("home", home), ("away", ~home))
+                for w in range(words)
+            ],
+        )
     )
-    cohort_month = F.min("month").over(W.partitionBy("customer_id"))
-    return active.withColumn("cohort_month", cohort_month).withColumn(
-        "cohort_index", cohort_index("month", "cohort_month")
+
+
+def merge_calendars(calendars: DataFrame) -> DataFrame:
+    """One calendar per customer from the union of some of the same width."""
+    bits = [c for c in calendars.columns if c.startswith(("home_", "away_"))]
+    return calendars.groupBy("customer_id").agg(
+        F.min("first_month").alias("first_month"),
+        F.max("last_month").alias("last_month"),
+        *[F.bit_or(c).alias(c) for c in bits],
+    )
+
+
+def calendar_months(calendars: DataFrame) -> DataFrame:
+    """``customer_months`` from ``customer_calendar``: its bits as rows, without a shuffle.
+
+    A customer whose months span more than the words hold fails the query: give
+    ``customer_calendar`` more of them.
+    """
+    words = sum(c.startswith("home_") for c in calendars.columns)
+    span = _month_number("last_month") - _month_number("first_month")
+    too_long = F.raise_error(F.lit(f"a customer's months span more than {words} words")).cast("int")
+    offset = F.sequence(F.lit(0), F.when(span < words * WORD_MONTHS, span).otherwise(too_long))
+    number = _month_number("first_month") + F.col("offset")
+
+    def active(side: str) -> Column:
+        word = F.get(F.array(*[F.col(f"{side}_{w}") for w in range(words)]), (F.floor(number / WORD_MONTHS) % words).cast("int"))
+        return F.getbit(word, number % WORD_MONTHS) == 1
+
+    return (
+        calendars.withColumn("offset", F.explode(offset))
+        .select(
+            "customer_id",
+            F.add_months("first_month", F.col("offset")).alias("month"),
+            active("home").alias("home"),
+            active("away").alias("away"),
+            F.col("first_month").alias("cohort_month"),
+            (F.col("offset") + 1).alias("cohort_index"),
+        )
+        .filter(F.col("home") | F.col("away"))
     )
 
 
+def customer_months(sales: DataFrame) -> DataFrame:
+    """One row per customer and active month, with cohort and home/away flags.
+
+    Read off the customers' calendars: one shuffle, no sort. Also reads
+    ``customer_grain``.
+    """
+    return calendar_months(customer_calendar(sales))
+
+
 def calendar_span(months: DataFrame) -> int:
     """Months from the first to the last one, of ``customer_months``; one row comes to the driver."""
     first = months.agg(F.min("month").alias("a"), F.max("month").alias("b"))
     return first.select(F.coalesce(cohort_index("b", "a"), F.lit(0)).alias("n")).first().n
 
 
+def counts_span(counts: DataFrame) -> int:
+    """``calendar_span`` from the counts of all sales, of which there are months x months at most."""
+    last = F.add_months("cohort_month", F.col("cohort_index") - 1)
+    first = counts.agg(F.min("cohort_month").alias("a"), F.max(last).alias("b"))
+    return first.select(F.coalesce(cohort_index("b", "a"), F.lit(0)).alias("n")).first().n
+
+
 def cohort_counts(months: DataFrame, scope: str = "all") -> DataFrame:
     """Distinct customers per cohort and index, from ``customer_months``."""
     if scope not in SCOPES:

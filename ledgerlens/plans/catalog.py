@@ -348,16 +348,21 @@ def segment_summary(spark, sf_dir):
     return _summary(spark, sf_dir)
 
 
+def _stored_counts(spark: SparkSession, sf_dir: str, scope: str) -> tuple[DataFrame, range]:
+    """The scope's counts and the pivot's columns, both from one stored aggregate."""
+    counts = materialise(cohort.cohort_counts_by_scope(_months(spark, sf_dir)))
+    indexes = range(1, cohort.counts_span(counts.filter("scope = 'all'")) + 1)
+    return counts.filter(F.col("scope") == scope).drop("scope"), indexes
+
+
 def _pivot(spark: SparkSession, sf_dir: str, scope: str) -> DataFrame:
-    months = materialise(_months(spark, sf_dir))
-    indexes = range(1, cohort.calendar_span(months) + 1)
-    return cohort.cohort_pivot(cohort.cohort_counts(months, scope), indexes=indexes)
+    counts, indexes = _stored_counts(spark, sf_dir, scope)
+    return cohort.cohort_pivot(counts, indexes=indexes)
 
 
 def _wide(spark: SparkSession, sf_dir: str, scope: str, places: int | None = None) -> DataFrame:
-    months = materialise(_months(spark, sf_dir))
-    rates = cohort.retention(cohort.cohort_counts(months, scope))
-    return report.retention_wide(rates, range(1, cohort.calendar_span(months) + 1), places)
+    counts, indexes = _stored_counts(spark, sf_dir, scope)
+    return report.retention_wide(cohort.retention(counts), indexes, places)
 
 
 @query

@@ -37,6 +37,58 @@ def test_cohort_is_the_first_month_over_both_sides(spark):
     assert cells(cohort_counts(months, "away")) == {(JAN, 2): 1, (FEB, 1): 1}
 
 
+def month_of(n):
+    return D(n // 12, n % 12 + 1, 1)
+
+
+def plain_months(rows):
+    first = {}
+    for customer, month, _ in rows:
+        if customer is not None and month is not None:
+            first[customer] = min(month, first.get(customer, month))
+    sides = {}
+    for customer, month, is_home in rows:
+        if customer in first and month is not None:
+            sides.setdefault((customer, month), set()).add(bool(is_home))
+    index = {(c, m): (m.year - first[c].year) * 12 + m.month - first[c].month + 1 for c, m in sides}
+    return sorted((c, m, True in s, False in s, first[c], index[c, m]) for (c, m), s in sides.items())
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(st.integers(0, 4) | st.none(), st.integers(1990 * 12, 2031 * 12) | st.none(), st.booleans() | st.none()),
+        max_size=60,
+    )
+)
+def test_calendar_months_equal_a_plain_count(spark, drawn):
+    rows = [(c, None if n is None else month_of(n), home) for c, n, home in drawn]
+    got = sorted(map(tuple, customer_months(sales(spark, *rows)).collect()))
+    assert got == plain_months(rows)
+
+
+def test_calendars_of_two_parts_merge(spark):
+    r = np.random.default_rng(8)
+    rows = [(int(c), month_of(2000 * 12 + int(n)), bool(h)) for c, n, h in zip(r.integers(0, 9, 300), r.integers(0, 200, 300), r.integers(0, 2, 300))]
+    early, late = (cohort.customer_calendar(sales(spark, *part)) for part in (rows[:150], rows[150:]))
+    merged = cohort.merge_calendars(early.unionByName(late))
+    assert sorted(map(tuple, cohort.calendar_months(merged).collect())) == plain_months(rows)
+
+
+def test_a_calendar_that_is_too_narrow_fails(spark):
+    df = sales(spark, (1, D(2000, 1, 1), True), (1, D(2006, 1, 1), True))
+    with pytest.raises(PySparkException, match="span more than 1 words"):
+        cohort.calendar_months(cohort.customer_calendar(df, words=1)).collect()
+    wide = cohort.calendar_months(cohort.customer_calendar(df, words=2)).collect()
+    assert [r.cohort_index for r in wide] == [1, 73]
+
+
+def test_span_of_counts_is_that_of_the_months(spark):
+    months = customer_months(sales(spark, (1, JAN, True), (1, D(2021, 9, 1), True), (2, D(2021, 4, 1), False)))
+    assert cohort.counts_span(cohort_counts(months)) == cohort.calendar_span(months) == 9
+    assert cohort.counts_span(cohort_counts(months.filter("false"))) == 0
+
+
 def test_away_cohort_without_first_month_has_null_rates(spark):
     df = sales(spark, (1, JAN, True), (1, FEB, False), (1, MAR, False), (2, FEB, False))
     rates = retention(cohort_counts(customer_months(df), "away"))
