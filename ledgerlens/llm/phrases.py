@@ -35,7 +35,9 @@ TOP = 2000
 # A bit map has so many bits per n-gram that may be frequent, and at most so many.
 BITS_EACH, MAP_BITS = 32, 1 << 28
 # Words that a worker gathers before it counts and sends them on.
-GATHERED = 1_500_000
+GATHERED = 1_000_000
+# Rows of counts that a worker sums up before it sends them on.
+HELD_ROWS = 1_000_000
 # Bytes of a text that are cut into words at once.
 SLICE = 1 << 22
 # Mass behind a hash partition.
@@ -184,6 +186,33 @@ def bit_map(hashes: DataFrame, n: int) -> Broadcast:
     return hashes.sparkSession.sparkContext.broadcast(BitMap(bits, log_bits))
 
 
+def summed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches with a count ``n``, summed over equal values of their other columns.
+
+    What a worker's blocks have in common is sent once; it holds some HELD_ROWS
+    rows, or twice as many.
+    """
+    held, n = [], 0
+
+    def summed() -> pa.Table:
+        table = pa.Table.from_batches(held)
+        keys = [c for c in table.column_names if c != "n"]
+        return table.group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"]).combine_chunks()
+
+    for batch in batches:
+        held.append(batch)
+        n += len(batch)
+        if n >= 2 * HELD_ROWS:
+            table = summed()
+            if len(table) >= HELD_ROWS:
+                yield from table.to_batches()
+                held, n = [], 0
+            else:
+                held, n = table.to_batches(), len(table)
+    if held:
+        yield from summed().to_batches()
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
     """lang, word, hash and n of all words."""
 
@@ -199,7 +228,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 }
             )
 
-    found = docs.mapInArrow(count, "lang string, word string, hash long, n long")
+    found = docs.mapInArrow(lambda batches: summed_counts(count(batches)), "lang string, word string, hash long, n long")
     return stored(found.groupBy("lang", "word", "hash").agg(F.sum("n").alias("n")), "words")
 
 
@@ -273,7 +302,7 @@ def summaries(docs: DataFrame, words: Broadcast, n_partitions: int) -> DataFrame
     return docs.mapInArrow(summarise, "partition long, mass long, hashes binary, counts binary")
 
 
-def possible_n_grams(parts: DataFrame, threshold: int) -> DataFrame:
+def possible_n_grams(parts: DataFrame, n_partitions: int, threshold: int) -> DataFrame:
     """Column ``hash``: of `summaries`, the n-grams that may occur ``threshold`` times, less their lower bits.
 
     A task reads its partitions' rows one after the other, and holds the
@@ -308,7 +337,9 @@ def possible_n_grams(parts: DataFrame, threshold: int) -> DataFrame:
             yield result()
 
     mass = F.sum("mass").over(Window.partitionBy("partition"))
-    return parts.withColumn("all_mass", mass).mapInArrow(merge, "hash long")
+    # As many tasks as partitions, which grow with the mass.
+    dealt = parts.repartition(n_partitions, "partition")
+    return dealt.withColumn("all_mass", mass).mapInArrow(merge, "hash long")
 
 
 def counted(docs: DataFrame, words: Broadcast, possible: Broadcast) -> DataFrame:
@@ -346,7 +377,7 @@ def counted(docs: DataFrame, words: Broadcast, possible: Broadcast) -> DataFrame
                     }
                 )
 
-    found = docs.mapInArrow(count, "lang string, phrase string, size int, n long")
+    found = docs.mapInArrow(lambda batches: summed_counts(count(batches)), "lang string, phrase string, size int, n long")
     return found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
 
 
@@ -361,7 +392,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> tuple[DataF
     words = bit_map(frequent, n_words)
     n_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-mass // PARTITION_MASS))
     parts = summaries(texts, words, n_partitions)
-    possible = bit_map(possible_n_grams(parts, threshold), mass // threshold)
+    possible = bit_map(possible_n_grams(parts, n_partitions, threshold), mass // threshold)
     longer = counted(texts, words, possible).filter(F.col("n") >= threshold)
     single = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "n")
     return stored(single.unionByName(longer), "phrases"), counts.groupBy("lang").agg(F.sum("n").alias("n"))

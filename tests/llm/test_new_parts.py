@@ -68,6 +68,7 @@ def test_collocations_equal_a_plain_count(spark, monkeypatch, seed):
     # Small blocks, slices, partitions and maps, so that all of them are crossed, and bits shared.
     monkeypatch.setattr(phrases, "GATHERED", 50)
     monkeypatch.setattr(phrases, "SLICE", 7)
+    monkeypatch.setattr(phrases, "HELD_ROWS", 20)
     monkeypatch.setattr(phrases, "PARTITION_MASS", 64)
     monkeypatch.setattr(phrases, "TAKEN_IN", 16)
     monkeypatch.setattr(phrases, "MAP_BITS", 1 << 15)
