@@ -17,8 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
+from pyarrow import ipc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -186,31 +188,41 @@ def bit_map(hashes: DataFrame, n: int) -> Broadcast:
     return hashes.sparkSession.sparkContext.broadcast(BitMap(bits, log_bits))
 
 
-def summed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches with a count ``n``, summed over equal values of their other columns.
+class Sums:
+    """Sums of a count ``n`` over equal values of the other columns, in batches; holds some HELD_ROWS rows, or twice as many."""
 
-    What a worker's blocks have in common is sent once; it holds some HELD_ROWS
-    rows, or twice as many.
-    """
-    held, n = [], 0
+    def __init__(self) -> None:
+        self.held: list[pa.RecordBatch] = []
+        self.n = 0
 
-    def summed() -> pa.Table:
-        table = pa.Table.from_batches(held)
+    def add(self, batch: pa.RecordBatch) -> bool:
+        """Whether so much has come together that it should be taken."""
+        self.held.append(batch)
+        self.n += len(batch)
+        if self.n >= 2 * HELD_ROWS:
+            self.held = self._table().to_batches()
+            self.n = sum(map(len, self.held))
+        return self.n >= HELD_ROWS and len(self.held) == 1
+
+    def _table(self) -> pa.Table:
+        table = pa.Table.from_batches(self.held)
         keys = [c for c in table.column_names if c != "n"]
-        return table.group_by(keys).aggregate([("n", "sum")]).rename_columns([*keys, "n"]).combine_chunks()
+        return table.group_by(keys).aggregate([("n", "sum")]).select([*keys, "n_sum"]).rename_columns([*keys, "n"]).combine_chunks()
+
+    def take(self) -> pa.Table:
+        table = self._table()
+        self.held, self.n = [], 0
+        return table
+
 
+def summed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """What a worker's blocks have in common, once."""
+    sums = Sums()
     for batch in batches:
-        held.append(batch)
-        n += len(batch)
-        if n >= 2 * HELD_ROWS:
-            table = summed()
-            if len(table) >= HELD_ROWS:
-                yield from table.to_batches()
-                held, n = [], 0
-            else:
-                held, n = table.to_batches(), len(table)
-    if held:
-        yield from summed().to_batches()
+        if sums.add(batch):
+            yield sums.take()
+    if sums.held:
+        yield sums.take()
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -228,7 +240,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
                 }
             )
 
-    found = docs.mapInArrow(lambda batches: summed_counts(count(batches)), "lang string, word string, hash long, n long")
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in summed_counts(count(batches)):
+            yield from table.to_batches()
+
+    found = docs.mapInArrow(summed, "lang string, word string, hash long, n long")
     return stored(found.groupBy("lang", "word", "hash").agg(F.sum("n").alias("n")), "words")
 
 
@@ -342,11 +358,13 @@ def possible_n_grams(parts: DataFrame, n_partitions: int, threshold: int) -> Dat
     return dealt.withColumn("all_mass", mass).mapInArrow(merge, "hash long")
 
 
-def counted(docs: DataFrame, words: Broadcast, possible: Broadcast) -> DataFrame:
-    """lang, phrase, size and n: exact counts of all n-grams of two words or more in both maps.
+def counted(docs: DataFrame, words: Broadcast, possible: Broadcast, n_partitions: int, threshold: int) -> DataFrame:
+    """lang, phrase, size and n: exact counts of all frequent n-grams of two words or more.
 
-    A worker numbers the n-grams of a block, the longer by the shorter one that
-    they begin with, so that equal numbers mean equal words.
+    Those that are in both maps are counted. A worker numbers the n-grams of a
+    block, the longer by the shorter one that they begin with, so that equal
+    numbers mean equal words, and sends its sums as compressed tables, one to a
+    hash partition, where they are added up by their words.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -354,13 +372,12 @@ def counted(docs: DataFrame, words: Broadcast, possible: Broadcast) -> DataFrame
             own = block.hashes()
             own[~words.value(own)] = 0
             ids = block.ids
-            # names: number of the shorter n-gram, number of the last word.
             words_ = [w.decode(errors="replace") for w in block.words]
             # names: of the n-grams that the longer ones are numbered by.
             names, known = words_, ids.astype(np.int64)
             for size, places, hashes in n_grams(own[ids]):
-                places = places[possible.value(hashes & _KEPT)]
-                places = places[known[places] >= 0]
+                there = possible.value(hashes & _KEPT) & (known[places] >= 0)
+                places, hashes = places[there], hashes[there]
                 keys, first, number, n = np.unique(
                     known[places] << 32 | ids[places + size - 1], return_index=True, return_inverse=True, return_counts=True
                 )
@@ -368,8 +385,10 @@ def counted(docs: DataFrame, words: Broadcast, possible: Broadcast) -> DataFrame
                 known = np.full(len(ids), -1, np.int64)
                 known[places] = number
                 langs = [block.langs[i] for i in ids[places[first]].tolist()]
+                partition = (hashes[first] >> _U(32)) * _U(n_partitions) >> _U(32)
                 yield pa.RecordBatch.from_pydict(
                     {
+                        "partition": partition.astype("i8"),
                         "lang": pa.array(langs, pa.string()),
                         "phrase": pa.array(names, pa.string()),
                         "size": np.full(len(n), size, "i4"),
@@ -377,8 +396,40 @@ def counted(docs: DataFrame, words: Broadcast, possible: Broadcast) -> DataFrame
                     }
                 )
 
-    found = docs.mapInArrow(lambda batches: summed_counts(count(batches)), "lang string, phrase string, size int, n long")
-    return found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = ipc.IpcWriteOptions(compression="zstd")
+        for table in summed_counts(count(batches)):
+            table = table.sort_by([("partition", "ascending"), ("phrase", "ascending")])
+            own = table.column("partition").to_numpy()
+            names, starts = np.unique(own, return_index=True)
+            packed = []
+            for start, end in zip(starts.tolist(), [*starts[1:].tolist(), len(own)]):
+                out = pa.BufferOutputStream()
+                with ipc.new_stream(out, table.schema, options=options) as writer:
+                    writer.write_table(table.slice(start, end - start))
+                packed.append(out.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_pydict({"partition": names, "sums": pa.array(packed, pa.binary())})
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partition, sums = None, Sums()
+
+        def result() -> Iterator[pa.RecordBatch]:
+            table = sums.take()
+            yield from table.filter(pc.field("n") >= threshold).drop_columns("partition").to_batches()
+
+        for batch in batches:
+            for own, packed in zip(batch.column("partition").to_pylist(), batch.column("sums")):
+                if own != partition and sums.held:
+                    yield from result()
+                partition = own
+                for part in ipc.open_stream(packed.as_buffer()):
+                    sums.add(part)
+        if sums.held:
+            yield from result()
+
+    sent = docs.mapInArrow(send, "partition long, sums binary")
+    dealt = sent.repartition(n_partitions, "partition").sortWithinPartitions("partition")
+    return dealt.mapInArrow(add_up, "lang string, phrase string, size int, n long")
 
 
 def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame]:
@@ -393,7 +444,7 @@ def frequent_phrases(docs: DataFrame, threshold: int = THRESHOLD) -> tuple[DataF
     n_partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-mass // PARTITION_MASS))
     parts = summaries(texts, words, n_partitions)
     possible = bit_map(possible_n_grams(parts, n_partitions, threshold), mass // threshold)
-    longer = counted(texts, words, possible).filter(F.col("n") >= threshold)
+    longer = counted(texts, words, possible, n_partitions, threshold)
     single = frequent.select("lang", F.col("word").alias("phrase"), F.lit(1).alias("size"), "n")
     return stored(single.unionByName(longer), "phrases"), counts.groupBy("lang").agg(F.sum("n").alias("n"))
 
