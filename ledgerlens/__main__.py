@@ -23,6 +23,9 @@ def main() -> None:
     parser.add_argument("--home", default=HOME_COUNTRY)
     parser.add_argument("--amount-scale", type=int, default=AMOUNT_SCALE, help="decimals of an amount")
     parser.add_argument("--on-bad-edges", choices=["collapse", "error"], default="collapse")
+    parser.add_argument(
+        "--quarantine", action="store_true", help="write rows with unreadable dates or amounts to OUT/rejects; default: fail"
+    )
     parser.add_argument("--overwrite", action="store_true", help="replace tables of an earlier run in OUT")
     parser.add_argument("--input-bytes", type=int, help="size of SALES: sets the shuffle partitions; default: as configured")
     args = parser.parse_args()
@@ -41,6 +44,7 @@ def main() -> None:
             args.on_bad_edges,
             args.amount_scale,
             "overwrite" if args.overwrite else "error",
+            args.quarantine,
         )
     print("\n".join(written))
 

@@ -81,6 +81,32 @@ def monthly_of_grain(grain: DataFrame, invoices: DataFrame) -> DataFrame:
     return sums_and_distincts(grain, ["month"], sums, customers).join(invoices, "month").orderBy("month")
 
 
+def customer_bitmaps(sales: DataFrame, by: list[str]) -> DataFrame:
+    """The customers of each group as bits: a row per group and run of 32,768 customer ids.
+
+    Exact, and mergeable: the bitmaps of two parts of the sales, stored at
+    different times, give the distinct customers of both (`merge_bitmaps`). A
+    row is 4 KB, so ids should be numbered closely, as a sequence gives them.
+    The rows of a group are combined map-side to at most a row per run of ids.
+    """
+    return (
+        sales.filter(F.col("customer_id").isNotNull())
+        .groupBy(*by, F.bitmap_bucket_number("customer_id").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("customer_id")).alias("bits"))
+    )
+
+
+def merge_bitmaps(bitmaps: DataFrame, by: list[str]) -> DataFrame:
+    """Bitmaps of coarser groups, or of the union of some tables of bitmaps."""
+    return bitmaps.groupBy(*by, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+
+
+def count_bitmaps(bitmaps: DataFrame, by: list[str]) -> DataFrame:
+    """Distinct customers per group, from its bitmaps of any number of parts."""
+    merged = merge_bitmaps(bitmaps, by)
+    return merged.groupBy(*by).agg(F.sum(F.bitmap_count("bits")).alias("customers"))
+
+
 def monthly_sales(sales: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Per month (and ``by``): invoices, customers, items, revenue."""
     keys = [*(by or []), "month"]

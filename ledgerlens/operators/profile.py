@@ -1,8 +1,12 @@
-"""Data-quality profiles. Each is one aggregate pass over the table."""
+"""Data-quality profiles: one aggregate pass over the table, or less."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F
+import contextlib
+from collections.abc import Iterator
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession, Window as W, functions as F
 
 from ledgerlens.operators.clean import is_complete, is_kept, is_present
 
@@ -47,6 +51,73 @@ def preview(df: DataFrame, order_by: list[str], n: int = 10) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
+# The steps of cleaning, in order.
+AUDIT_STEPS = ["raw", "drop_negative", "drop_duplicates", "drop_missing"]
+
+
+def observed_audit(spark: SparkSession, seen: Observation, left: Observation) -> DataFrame:
+    """``clean_audit`` from what a job over `clean.observed_whole_rows` counted; no scan of its own.
+
+    Where an executor is lost in that job, the rows that its tasks read again
+    may be counted twice.
+    """
+    counts = dict.fromkeys(AUDIT_STEPS, 0)
+    for observation in (seen, left):
+        # Spark leaves out a branch that proves empty, and its counts with it.
+        with contextlib.suppress(Py4JJavaError):
+            counts |= observation.get
+    rows = [counts[step] for step in AUDIT_STEPS]
+    removed = [0, *(a - b for a, b in zip(rows, rows[1:]))]
+    table = list(zip(range(1, len(rows) + 1), AUDIT_STEPS, rows, removed))
+    return spark.createDataFrame(table, "position int, step string, rows long, removed long")
+
+
+def profile_stored(spark: SparkSession, path: str) -> DataFrame:
+    """``profile_columns`` of parquet files, from their footers.
+
+    Counts are pushed down to the second version of Spark's parquet source,
+    which finds them in the footers and opens no data page. Columns of floats
+    are read, as footers do not tell NaNs, and so are nested ones, of which they
+    count the leaves. A row of counts comes to the driver.
+    """
+    with footer_counts(spark):
+        df = spark.read.parquet(path)
+        own = _footer_columns(df)
+        counts = dict(zip(["*", *own], footer_aggregate(df).first()))
+    rest = [F.count_if(is_present(c, kind)).alias(c) for c, kind in df.dtypes if c not in own]
+    if rest:
+        counts |= df.agg(*rest).first().asDict()
+    rows = [(c, kind, counts[c], counts["*"]) for c, kind in df.dtypes]
+    return spark.createDataFrame(rows, "column string, type string, non_null long, rows long")
+
+
+def _footer_columns(df: DataFrame) -> list[str]:
+    return [c for c, kind in df.dtypes if not kind.startswith(("float", "double", "array", "map", "struct", "variant"))]
+
+
+def footer_aggregate(df: DataFrame) -> DataFrame:
+    """The counts that can be pushed down: of all rows, and of the values of plain columns."""
+    return df.agg(F.count("*").alias("*"), *[F.count(F.col(_q(c))).alias(c) for c in _footer_columns(df)])
+
+
+@contextlib.contextmanager
+def footer_counts(spark: SparkSession) -> Iterator[None]:
+    """Read parquet by the source that answers counts from footers, and put the settings back."""
+    first = "spark.sql.sources.useV1SourceList"
+    settings = {
+        first: ",".join(s for s in spark.conf.get(first).split(",") if s != "parquet"),
+        "spark.sql.parquet.aggregatePushdown": "true",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def clean_audit(sales: DataFrame) -> DataFrame:
     """Rows left after each cleaning step, from one shuffle.
 
@@ -55,8 +126,7 @@ def clean_audit(sales: DataFrame) -> DataFrame:
     """
     kept, complete = is_kept(), is_complete(sales)
     distinct = sales.groupBy(*[F.col(_q(c)) for c in sales.columns]).agg(F.count("*").alias("copies"))
-    # The steps, in order.
-    steps = ["raw", "drop_negative", "drop_duplicates", "drop_missing"]
+    steps = AUDIT_STEPS
     counts = distinct.agg(
         F.sum("copies").alias(steps[0]),
         F.sum(F.when(kept, F.col("copies"))).alias(steps[1]),

@@ -1,19 +1,24 @@
 """Exact order statistics without a global sort in one task.
 
-Values are first counted, so ties collapse map-side. The distinct values are
-range-partitioned, and each range gets the totals of the ranges below it.
+Percentiles are found by radix selection. For curves, values are first counted,
+so ties collapse map-side; the distinct values are range-partitioned, and each
+range gets the totals of the ranges below it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from dataclasses import dataclass
+from decimal import Context, Decimal
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ledgerlens.operators.metrics import ratio
 from ledgerlens.session import materialise
 
+# Values that a digit of the radix selection has.
+_DIGITS = 1024
+
 
 def _scale(df: DataFrame, columns: Sequence[str]) -> int:
     """The most decimals among whole-number and decimal columns."""
@@ -59,11 +64,7 @@ def ranged_histogram(df: DataFrame, group: str, value: str) -> DataFrame:
 
 
 def cumulate(ranged: DataFrame, group: str, value: str) -> DataFrame:
-    """Add to ``ranged_histogram`` the rows and sum below each value.
-
-    A range without other ranges gives the same result, so ranges of no
-    interest can be filtered out before.
-    """
+    """Add to ``ranged_histogram`` the rows and sum below each value."""
     inside = W.partitionBy(group, "part").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
 
     def before(column: Column, base: str) -> Column:
@@ -80,37 +81,111 @@ def cumulate(ranged: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class _Interval:
+    """Values from ``low`` on, ``step`` * _DIGITS of them, with ``below`` rows before; in the values' last place."""
+
+    column: str
+    low: int
+    step: int
+    below: int
+
+
+def _unscaled(value: Decimal, scale: int) -> int:
+    return int(value.scaleb(scale, Context(prec=60)))
+
+
+def _digits(df: DataFrame, kind: T.DecimalType, intervals: list[_Interval]) -> dict[int, dict[int, int]]:
+    """Rows per leading digit of each interval: one pass, at most _DIGITS counts an interval.
+
+    The intervals of a column do not overlap, so a value has one digit a column.
+    """
+
+    def decimal(unscaled: int) -> Column:
+        return F.lit(str(Decimal(unscaled).scaleb(-kind.scale, Context(prec=60)))).cast(kind)
+
+    found = []
+    for name in dict.fromkeys(i.column for i in intervals):
+        value, place = F.col(name), F.lit(None).cast("struct<interval:int,digit:bigint>")
+        for number, i in enumerate(intervals):
+            if i.column == name:
+                last = min(i.low + i.step * _DIGITS, 10**kind.precision) - 1
+                inside = value.between(decimal(i.low), decimal(last))
+                digit = F.call_function("div", value - decimal(i.low), decimal(i.step))
+                place = F.when(inside, F.struct(F.lit(number).alias("interval"), digit.alias("digit"))).otherwise(place)
+        found.append(place)
+    counts = (
+        df.select(F.explode(F.array(*found)).alias("place"))
+        .filter(F.col("place").isNotNull())
+        .groupBy("place")
+        .agg(F.count("*").alias("n"))
+    )
+    out: dict[int, dict[int, int]] = {number: {} for number in range(len(intervals))}
+    for row in counts.agg(F.collect_list(F.struct("place", "n")).alias("all")).first()["all"]:
+        out[row["place"]["interval"]][row["place"]["digit"]] = row["n"]
+    return out
+
+
+def _selected(df: DataFrame, kind: T.DecimalType, wanted: dict[str, set[int]], bounds: dict[str, tuple[int, int]]) -> dict:
+    """The values (in the last place) at the wanted ranks of each column, by radix selection.
+
+    Each pass counts a digit of the values, _DIGITS of them to the range, and
+    goes on inside those digits alone that hold a wanted rank. After as many
+    passes as the range has digits, an interval is one value.
+    """
+    open_: dict[_Interval, set[int]] = {}
+    for name, ranks in wanted.items():
+        low, high = bounds[name]
+        step = 1
+        while step * _DIGITS < high - low + 1:
+            step *= _DIGITS
+        open_[_Interval(name, low, step, 0)] = ranks
+    values = {}
+    while open_:
+        intervals, later = list(open_), {}
+        for number, digits in _digits(df, kind, intervals).items():
+            own = intervals[number]
+            below = own.below
+            for digit in sorted(digits):
+                inside = {r for r in open_[own] if below <= r < below + digits[digit]}
+                low = own.low + digit * own.step
+                if inside and own.step == 1:
+                    values.update({(own.column, r): low for r in inside})
+                elif inside:
+                    later[_Interval(own.column, low, own.step // _DIGITS, below)] = inside
+                below += digits[digit]
+        open_ = later
+    return values
+
+
 def exact_percentiles(df: DataFrame, columns: Sequence[str], percents: Sequence[int]) -> DataFrame:
     """Per column: linearly interpolated percentiles and the maximum.
 
-    One row per column, with fields ``p25`` and so on. Ranks and weights are
-    computed in whole numbers and decimals, so an edge that falls on a value
-    equals it exactly. Only ranges that hold a wanted rank are sorted.
+    One row per column that has values, with fields ``p25`` and so on. By radix
+    selection: nothing is sorted, and no range is sampled or stored. ``df`` is
+    read once for the bounds and once a digit, so pass it materialised; all
+    columns share the passes. What comes to the driver is _DIGITS counts for
+    each wanted rank at most. Ranks, weights and values are whole numbers and
+    decimals, so an edge that falls on a value equals it exactly.
     """
-    scale = _scale(df, columns)
-    values = df.select(*[F.col(c).cast(_common(df, columns)).alias(c) for c in columns])
-    long = values.unpivot([], list(columns), "measure", "value").filter(F.col("value").isNotNull())
-    total = F.col("n_total")
-    ranks = {"max": total - 1}
-    for p in percents:
-        ranks[f"low{p}"] = F.floor((total - 1) * p / 100)
-        ranks[f"high{p}"] = F.least(ranks[f"low{p}"] + 1, total - 1)
-
-    def holds(rank: Column, first: str, count: str) -> Column:
-        return (F.col(first) <= rank) & (rank < F.col(first) + F.col(count))
-
-    def holds_any(first: str, count: str) -> Column:
-        return reduce(lambda a, b: a | b, [holds(r, first, count) for r in ranks.values()])
-
-    ranged = ranged_histogram(long, "measure", "value").filter(holds_any("n_base", "part_n"))
-    wanted = cumulate(ranged, "measure", "value").filter(holds_any("n_below", "n"))
-    picked = [F.max(F.when(holds(r, "n_below", "n"), F.col("value"))).alias(name) for name, r in ranks.items()]
-    edges = []
-    for p in percents:
-        weight = (((total - 1) * p) % 100).cast("decimal(2,0)") * F.lit("0.01").cast("decimal(2,2)")
-        edge = F.col(f"low{p}") + (F.col(f"high{p}") - F.col(f"low{p}")) * weight
-        edges.append(edge.cast(T.DecimalType(38, scale + 2)).alias(f"p{p}"))
-    return wanted.groupBy("measure").agg(F.max(total).alias("n_total"), *picked).select("measure", *edges, "max")
+    spark, scale, kind = df.sparkSession, _scale(df, columns), _common(df, columns)
+    values = df.select(*[F.col(c).cast(kind).alias(c) for c in columns])
+    bounds = values.agg(*[F.struct(F.count(c).alias("n"), F.min(c).alias("low"), F.max(c).alias("high")).alias(c) for c in columns]).first()
+    there = [c for c in columns if bounds[c]["n"]]
+    ranks = {c: {p: divmod((bounds[c]["n"] - 1) * p, 100) for p in percents} for c in there}
+    wanted = {c: {r for low, rest in own.values() for r in ((low, low + 1) if rest else (low,))} for c, own in ranks.items()}
+    ends = {c: (_unscaled(bounds[c]["low"], scale), _unscaled(bounds[c]["high"], scale)) for c in there}
+    found = _selected(values, kind, wanted, ends)
+
+    def edge(c: str, p: int) -> Decimal:
+        low, rest = ranks[c][p]
+        value = found[c, low] * 100 + ((found[c, low + 1] - found[c, low]) * rest if rest else 0)
+        return Decimal(value).scaleb(-scale - 2, Context(prec=60))
+
+    rows = [(c, *[edge(c, p) for p in percents], bounds[c]["high"]) for c in there]
+    edge_type = T.DecimalType(38, scale + 2).simpleString()
+    schema = ", ".join(["measure string", *[f"p{p} {edge_type}" for p in percents], f"max {kind.simpleString()}"])
+    return spark.createDataFrame(rows, schema)
 
 
 def pareto_curve(base: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ledgerlens.functions import dates, numbers
 from ledgerlens.operators import clean, cohort, metrics, profile, ranking, report, rfm
@@ -113,9 +113,26 @@ def sink_report(spark, sf_dir):
     return io.read_report(spark, path)
 
 
+@query
+def sink_month_restated(spark, sf_dir):
+    """A month is first stored without its home sales, then restated whole; the other folders stay."""
+    path, sales = scratch_path(spark, "by-month"), materialise(_sales(spark, sf_dir))
+    month = F.col("month") == F.lit("1995-07-01").cast("date")
+    io.write_report(sales.filter(~month | ~F.col("is_home")), path, ["month"], "replace")
+    io.write_report(sales.filter(month), path, ["month"], "replace")
+    return io.read_report(spark, path)
+
+
 # Profiles
 
 
+@query
+def profile_stored(spark, sf_dir):
+    path = scratch_path(spark, "raw")
+    io.write_report(_raw(spark, sf_dir), path)
+    return profile.profile_stored(spark, path)
+
+
 @query
 def profile_columns(spark, sf_dir):
     return profile.profile_columns(_raw(spark, sf_dir))
@@ -154,6 +171,11 @@ def drop_duplicates(spark, sf_dir):
     return clean.drop_duplicates(_raw(spark, sf_dir))
 
 
+@query
+def drop_duplicates_by_digest(spark, sf_dir):
+    return clean.drop_duplicates_by_digest(_raw(spark, sf_dir))
+
+
 @query
 def drop_missing(spark, sf_dir):
     return clean.drop_missing(_raw(spark, sf_dir))
@@ -182,6 +204,38 @@ def clean_audit(spark, sf_dir):
     return profile.clean_audit(_raw(spark, sf_dir))
 
 
+@query
+def clean_audit_observed(spark, sf_dir):
+    """The same figures, counted by the job that writes the rows."""
+    seen, left = Observation("seen"), Observation("left")
+    rows = clean.observed_whole_rows(_raw(spark, sf_dir), seen, left)
+    io.write_report(clean.type_columns(rows), scratch_path(spark, "clean"))
+    return profile.observed_audit(spark, seen, left)
+
+
+def _dirty_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows with text dates, of which some, like some amounts, cannot be read; by the invoice's number."""
+    number = F.col("invoice_no").cast("long")
+    return _raw(spark, sf_dir).withColumns(
+        {
+            "invoice_ts": F.when(number % 13 == 0, F.date_format("invoice_ts", "yyyy-MM-dd")).otherwise(
+                F.date_format("invoice_ts", TEXT_DATE)
+            ),
+            "amount_txt": F.when(number % 17 == 0, F.concat(F.lit("1."), "amount_txt")).otherwise(F.col("amount_txt")),
+        }
+    )
+
+
+@query
+def quarantine_rejects(spark, sf_dir):
+    return flows.routed_sales(clean.whole_rows(_dirty_text(spark, sf_dir)), TEXT_DATE)[1]
+
+
+@query
+def quarantine_accepted(spark, sf_dir):
+    return flows.routed_sales(clean.whole_rows(_dirty_text(spark, sf_dir)), TEXT_DATE)[0]
+
+
 # Expressions
 
 
@@ -313,6 +367,25 @@ def monthly_sales(spark, sf_dir):
     return _monthly(spark, sf_dir)
 
 
+def _stored_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by country and month as bits: first all months but the last, which is then added."""
+    path, sales = scratch_path(spark, "bitmaps"), materialise(_sales(spark, sf_dir).select("customer_id", "country", "month"))
+    last = F.lit(sales.agg(F.max("month")).first()[0]).cast("date")
+    flows.store_customer_bitmaps(sales.filter(F.col("month") < last), path)
+    flows.store_customer_bitmaps(sales.filter(F.col("month") == last), path)
+    return io.read_report(spark, path)
+
+
+@query
+def country_customers_merged(spark, sf_dir):
+    return metrics.count_bitmaps(_stored_bitmaps(spark, sf_dir), ["country"])
+
+
+@query
+def monthly_customers_merged(spark, sf_dir):
+    return metrics.count_bitmaps(_stored_bitmaps(spark, sf_dir), ["month"])
+
+
 @query
 def cohort_counts(spark, sf_dir):
     return _counts(spark, sf_dir)

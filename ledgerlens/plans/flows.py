@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from ledgerlens.operators import clean, cohort, metrics, ranking, report, rfm
+from ledgerlens.operators import clean, cohort, metrics, profile, ranking, report, rfm
 from ledgerlens.schema import AMOUNT_SCALE, HOME_COUNTRY
-from ledgerlens.session import materialise
+from ledgerlens.session import materialise, scratch_path
 from ledgerlens.sources.sales import read_report, write_report
 
 
@@ -23,6 +23,31 @@ def prepared_sales(
     return raw.transform(clean.clean_sales, ts_format, on_error, scale).transform(clean.add_features, home)
 
 
+def routed_sales(
+    rows: DataFrame, ts_format: str | None = None, home: str = HOME_COUNTRY, scale: int = AMOUNT_SCALE
+) -> tuple[DataFrame, DataFrame]:
+    """Prepared rows of ``clean.whole_rows``, and the rows that cannot be read with the reason.
+
+    The source is read once: its rows are stored by reason, a folder each, and
+    both sides read theirs.
+    """
+    spark = rows.sparkSession
+    routes = clean.routed(rows, ts_format, scale)
+    path = scratch_path(spark, "routed")
+    routes.write.partitionBy("reason").parquet(path)
+    stored = spark.read.schema(routes.schema).parquet(path)
+    return clean.add_features(clean.accepted(stored, ts_format, scale), home), clean.rejected(stored)
+
+
+def store_customer_bitmaps(sales: DataFrame, path: str) -> None:
+    """The customers of each country and month as bits, a folder per month.
+
+    Months that ``sales`` has are stored anew, others stay: a new month is added,
+    or an old one restated, without a look at the rest.
+    """
+    write_report(metrics.customer_bitmaps(sales, ["country", "month"]), path, ["month"], "replace")
+
+
 def scored_customers(base: DataFrame, as_of: dt.datetime, on_bad_edges: str = "collapse") -> DataFrame:
     """Customers of ``rfm_base`` with recency, scores and RFM code.
 
@@ -59,22 +84,34 @@ def write_analysis(
     on_bad_edges: str = "collapse",
     scale: int = AMOUNT_SCALE,
     mode: str = "error",
+    quarantine: bool = False,
 ) -> list[str]:
     """Run the whole analysis and write each result table under ``out``.
 
     The clean rows are written once, by month, so that a later read of one month
     opens that folder only. Four passes over them make the grain of customers,
     countries and months, the customers' distinct invoices, and the distinct
-    invoices by country and by month; all other tables read those.
+    invoices by country and by month; all other tables read those. The audit of
+    the cleaning is counted by the job that writes the rows. With ``quarantine``,
+    rows whose date or amount cannot be read are written to ``rejects`` with the
+    reason, rather than fail the run.
     """
     written = []
+    seen, left = Observation("seen"), Observation("left")
+    whole = clean.observed_whole_rows(raw, seen, left)
 
     def store(name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
         write_report(df, f"{out}/{name}", partition_by, mode=mode)
         written.append(name)
         return read_report(spark, f"{out}/{name}")
 
-    sales = store("sales", prepared_sales(raw, ts_format, home, scale=scale), ["month"])
+    if quarantine:
+        typed, rejects = routed_sales(whole, ts_format, home, scale)
+        store("rejects", rejects)
+    else:
+        typed = clean.add_features(clean.type_columns(whole, ts_format, scale=scale), home)
+    sales = store("sales", typed, ["month"])
+    store("clean_audit", profile.observed_audit(spark, seen, left))
     grain = store("customer_grain", rfm.customer_grain(sales))
     repeats = store("customer_repeats", metrics.customer_repeats(sales))
     months = store("customer_months", cohort.customer_months(grain))

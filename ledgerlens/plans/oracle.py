@@ -226,7 +226,46 @@ def _currency(column: str) -> str:
 _PERCENT = "printf('%.0f', rate * 100) || '%'"
 _INTENSITY = "CASE WHEN rate > 0.5 THEN 0.5 WHEN rate < 0 THEN 0.0 ELSE rate END / 0.5"
 
+_DIRTY = _SALES + """
+dirty AS (
+  SELECT invoice_no, customer_id, country, quantity, invoice_ts AS ts, amount_txt AS amount_of,
+    CASE WHEN CAST(invoice_no AS BIGINT) % 13 = 0 THEN strftime(invoice_ts, '%Y-%m-%d')
+         ELSE strftime(invoice_ts, '%d/%m/%Y %H:%M') END AS invoice_ts,
+    CASE WHEN CAST(invoice_no AS BIGINT) % 17 = 0 THEN '1.' || amount_txt ELSE amount_txt END AS amount_txt,
+    concat_ws(',', CASE WHEN CAST(invoice_no AS BIGINT) % 13 = 0 THEN 'bad_date' END,
+      CASE WHEN CAST(invoice_no AS BIGINT) % 17 = 0 THEN 'bad_amount' END) AS reason
+  FROM sales),
+whole AS (
+  SELECT DISTINCT * FROM dirty
+  WHERE quantity >= 0 AND invoice_no IS NOT NULL AND customer_id IS NOT NULL AND ts IS NOT NULL AND country IS NOT NULL),
+"""
+
 ORACLE = {
+    "sink_month_restated": _with(_CLEAN, f"SELECT {_CLEAN_ROW}, month, is_home FROM clean"),
+    "profile_stored": _with(
+        _SALES,
+        _per_column(
+            "SELECT '{column}' AS \"column\", '{type}' AS type, count({column}) AS non_null, count(*) AS rows "
+            "FROM sales"
+        ),
+    ),
+    "drop_duplicates_by_digest": _with(_SALES, "SELECT DISTINCT * FROM sales"),
+    "quarantine_rejects": _with(
+        _DIRTY,
+        "SELECT invoice_no, customer_id, invoice_ts, country, quantity, amount_txt, reason FROM whole WHERE reason <> ''",
+    ),
+    "quarantine_accepted": _with(
+        _DIRTY,
+        "SELECT invoice_no, customer_id, date_trunc('minute', ts) AS invoice_ts, country, quantity, "
+        "CAST(replace(amount_of, ',', '.') AS DOUBLE) AS amount, CAST(date_trunc('month', ts) AS DATE) AS month, "
+        f"country = '{HOME_COUNTRY}' AS is_home FROM whole WHERE reason = ''",
+    ),
+    "country_customers_merged": _with(
+        _CLEAN, "SELECT country, count(DISTINCT customer_id) AS customers FROM clean GROUP BY country"
+    ),
+    "monthly_customers_merged": _with(
+        _CLEAN, "SELECT month, count(DISTINCT customer_id) AS customers FROM clean GROUP BY month"
+    ),
     "scan_sales": _with(
         _SALES,
         "SELECT invoice_no, customer_id, strftime(invoice_ts, '%d/%m/%Y %H:%M') AS invoice_ts, country, quantity, "
@@ -282,6 +321,15 @@ ORACLE = {
         "UNION ALL SELECT 3, 'drop_duplicates', count(*) FROM kept "
         "UNION ALL SELECT 4, 'drop_missing', count(*) FROM clean)",
     ),
+    "clean_audit_observed": _with(
+        _CLEAN,
+        "SELECT CAST(position AS INTEGER) AS position, step, rows, "
+        "coalesce(lag(rows) OVER (ORDER BY position) - rows, 0) AS removed FROM ("
+        "SELECT 1 AS position, 'raw' AS step, count(*) AS rows FROM sales "
+        "UNION ALL SELECT 2, 'drop_negative', count(*) FROM sales WHERE quantity IS NULL OR quantity >= 0 "
+        "UNION ALL SELECT 3, 'drop_duplicates', count(*) FROM kept "
+        "UNION ALL SELECT 4, 'drop_missing', count(*) FROM clean)",
+    ),
     "month_floor": _with(_CLEAN, "SELECT invoice_no, invoice_ts, month FROM clean"),
     "date_parts": _with(
         _CLEAN,

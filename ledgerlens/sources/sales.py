@@ -84,9 +84,16 @@ def write_report(
     """Persist a result table as parquet for dashboards.
 
     With ``partition_by`` rows are rebalanced on those columns first: each
-    folder gets few files, and AQE splits a folder that holds most rows.
+    folder gets few files, and AQE splits a folder that holds most rows. With
+    the mode ``replace``, folders that ``df`` has rows for are replaced and all
+    others stay: a month can be restated, and a failed run repeated.
     """
-    if partition_by:
+    if mode == "replace":
+        if not partition_by:
+            raise ValueError("only folders can be replaced: give partition_by")
+        rows = df.hint("rebalance", *partition_by)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    elif partition_by:
         df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
     else:
         df.write.mode(mode).parquet(path)

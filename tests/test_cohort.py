@@ -11,6 +11,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import clean, cohort, metrics, report
+from ledgerlens.plans import flows
 from ledgerlens.operators.cohort import cohort_counts, customer_months, retention
 
 D = dt.date
@@ -252,3 +253,35 @@ def test_span_and_pivot_of_a_long_calendar(spark):
     wide = cohort.cohort_pivot(cohort.cohort_counts(months), indexes=range(1, 82)).first()
     assert (wide["1"], wide["80"], wide["81"]) == (1.0, None, 1.0)
     assert cohort.calendar_span(months.filter("false")) == 0
+
+
+# Distinct customers
+
+
+def test_bitmaps_of_parts_merge_to_the_full_count(spark, tmp_path):
+    r = np.random.default_rng(4)
+    rows = [(int(c), month_of(24_000 + int(m)), str(k)) for c, m, k in zip(r.integers(-5, 100_000, 3000), r.integers(0, 5, 3000), r.integers(0, 3, 3000))]
+    rows += [(None, JAN, "0"), (7, None, "1"), (8, JAN, None)] + rows[:50]
+    df = spark.createDataFrame(rows, "customer_id long, month date, country string")
+    wanted = {(c, n) for c, n in df.groupBy("country").agg(F.countDistinct("customer_id")).collect()}
+    parts = [metrics.customer_bitmaps(df.filter(f"coalesce(month(month), 0) {test} 2"), ["country", "month"]) for test in ("<", ">=")]
+    path = str(tmp_path / "parts")
+    parts[0].write.parquet(path)
+    parts[1].write.mode("append").parquet(path)
+    merged = metrics.count_bitmaps(spark.read.parquet(path), ["country"])
+    assert set(map(tuple, merged.collect())) == wanted
+    assert metrics.count_bitmaps(spark.read.parquet(path), []).first().customers == df.agg(F.countDistinct("customer_id")).first()[0]
+    # The same part a second time changes nothing.
+    again = metrics.count_bitmaps(spark.read.parquet(path).union(parts[1]), ["country"])
+    assert set(map(tuple, again.collect())) == wanted
+
+
+def test_a_month_of_bitmaps_is_restated_alone(spark, tmp_path):
+    df = spark.createDataFrame([(c, m, "F") for c in range(5) for m in (JAN, FEB)], "customer_id long, month date, country string")
+    path = str(tmp_path / "bits")
+    flows.store_customer_bitmaps(df, path)
+    files = sorted((tmp_path / "bits" / f"month={JAN}").glob("*.parquet"))
+    flows.store_customer_bitmaps(df.filter(F.col("month") == F.lit(FEB)).filter("customer_id < 2"), path)
+    assert sorted((tmp_path / "bits" / f"month={JAN}").glob("*.parquet")) == files
+    counts = {r.month: r.customers for r in metrics.count_bitmaps(spark.read.parquet(path), ["month"]).collect()}
+    assert counts == {JAN: 5, FEB: 2}

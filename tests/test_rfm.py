@@ -91,6 +91,23 @@ def test_spend_beyond_a_machine_word(spark, kind):
     assert [r.top_revenue for r in best] == [amounts[1], amounts[1] + amounts[0], sum(amounts)]
 
 
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    values=st.lists(st.integers(-(10**27), 10**27) | st.integers(-3, 3), min_size=1, max_size=40),
+    digits=st.sampled_from([2, 3, 1024]),
+)
+def test_radix_selection_of_any_digit(spark, values, digits):
+    before, ranking._DIGITS = ranking._DIGITS, digits
+    try:
+        wanted = {"x": set(range(len(values)))}
+        kind = ranking.T.DecimalType(30, 2)
+        df = spark.createDataFrame([(Decimal(v).scaleb(-2),) for v in values], "x decimal(30,2)")
+        found = ranking._selected(df, kind, wanted, {"x": (min(values), max(values))})
+    finally:
+        ranking._DIGITS = before
+    assert [found["x", r] for r in range(len(values))] == sorted(values)
+
+
 def test_percentiles_over_many_ranges(spark):
     values = [(i * 7919) % 5003 for i in range(5003)] + [100] * 2500
     df = spark.createDataFrame([(Decimal(v) / 100,) for v in values], "x decimal(28,2)")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerlens.plans.catalog import QUERIES
 from ledgerlens.plans.oracle import ORACLE
 from ledgerlens import session
-from ledgerlens.operators import clean, cohort, metrics, rfm
+from ledgerlens.operators import clean, cohort, metrics, profile, ranking, rfm
 from ledgerlens.plans import flows
 from ledgerlens.sources.segments import default_segments
 from ledgerlens.sources.star import sales_from_orders
@@ -235,6 +235,49 @@ def test_shuffles_fit_the_input(spark):
             assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+def test_only_digests_and_copies_are_shuffled(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    sales_from_orders(spark, SF).write.parquet(path)
+    df = clean.drop_duplicates_by_digest(spark.read.parquet(path))
+    text = plan(df, run=False)
+    assert text.count("BroadcastHashJoin") == 2 and text.count("SortMergeJoin") == 0
+    assert text.count("Exchange hashpartitioning") == 1 and "LeftSemi" in text.split("Exchange hashpartitioning")[1]
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="1"):
+        assert "BroadcastHashJoin" not in plan(clean.drop_duplicates_by_digest(spark.read.parquet(path)), run=False)
+
+
+def test_footer_counts_open_no_data_page(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    sales_from_orders(spark, SF).write.parquet(path)
+    with profile.footer_counts(spark):
+        text = plan(profile.footer_aggregate(spark.read.parquet(path)), run=False)
+    assert re.search(r"PushedAggregation: \[COUNT\(\*\), COUNT\(invoice_no\)", text)
+
+
+def test_audit_of_the_written_rows_costs_no_scan(spark, tmp_path, monkeypatch):
+    counted = []
+    observed = profile.observed_audit
+    monkeypatch.setattr(flows.profile, "observed_audit", lambda *args: counted.append(observed(*args)) or counted[-1])
+    raw = sales_from_orders(spark, str(TESTDATA / "sf0.001"))
+    flows.write_analysis(spark, raw, default_segments(spark), str(tmp_path / "out"), dt.datetime(2001, 8, 2))
+    (audit,) = counted
+    assert "Scan parquet" not in plan(audit, run=False)
+    assert sorted(audit.collect()) == sorted(profile.clean_audit(raw).collect())
+    assert spark.read.parquet(f"{tmp_path}/out/clean_audit").count() == 4
+
+
+def test_percentiles_sort_and_store_nothing(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "materialise", None)
+    plans = []
+    digits = ranking._digits
+    monkeypatch.setattr(ranking, "_digits", lambda df, *args: plans.append(plan(df, run=False)) or digits(df, *args))
+    df = spark.range(100_000).select((F.col("id") * 7919 % 100_003).alias("x"), (F.col("id") % 7).alias("y"))
+    got = {r.measure: (float(r.p25), float(r.p50), float(r.max)) for r in ranking.exact_percentiles(df, ["x", "y"], [25, 50]).collect()}
+    row = df.selectExpr("percentile(x, array(0.25, 0.5)) AS x", "percentile(y, array(0.25, 0.5)) AS y", "max(x) AS mx", "max(y) AS my").first()
+    assert got == {"x": (*row.x, row.mx), "y": (*row.y, row.my)}
+    assert len(plans) == 2 and not any("Exchange" in p or "Sort" in p for p in plans)
+
+
 def test_library_avoids_local_state():
     package = Path(__file__).parent.parent / "ledgerlens"
     files = [p for p in package.rglob("*.py") if "llm" not in p.relative_to(package).parts]

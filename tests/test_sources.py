@@ -1,10 +1,12 @@
 """Reading and writing, and the whole analysis from a CSV file."""
 
 import datetime as dt
+import sys
 
 import pytest
 from pyspark.errors import PySparkException
 
+from ledgerlens import __main__ as command
 from ledgerlens.operators import clean
 from ledgerlens.plans.flows import write_analysis
 from ledgerlens.session import materialise, scratch_path
@@ -133,6 +135,56 @@ def test_partitioned_report(spark, tmp_path):
     assert io.read_report(spark, path).count() == 100
 
 
+def test_replacing_a_folder_leaves_the_others(spark, tmp_path):
+    path, rows = str(tmp_path / "report"), spark.range(100).selectExpr("id", "id % 3 AS part")
+    io.write_report(rows, path, ["part"], "replace")
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "report").rglob("part=*/*.parquet")}
+    for _ in range(2):  # safe to repeat
+        io.write_report(rows.filter("part = 1 AND id < 10"), path, ["part"], "replace")
+        after = {p: p.stat().st_mtime_ns for p in (tmp_path / "report").rglob("part=*/*.parquet")}
+        assert {p: t for p, t in before.items() if p.parent.name != "part=1"}.items() <= after.items()
+        assert not any(p in after for p in before if p.parent.name == "part=1")
+        assert io.read_report(spark, path).groupBy("part").count().orderBy("part").collect() == [(0, 34), (1, 3), (2, 33)]
+    io.write_report(rows.filter("false"), path, ["part"], "replace")
+    assert io.read_report(spark, path).count() == 70
+    with pytest.raises(ValueError, match="partition_by"):
+        io.write_report(rows, path, mode="replace")
+
+
+def run_command(monkeypatch, *args):
+    monkeypatch.setattr(sys, "argv", ["ledgerlens", *args])
+    command.main()
+
+
+def test_command_line_writes_both_sides(spark, tmp_path, monkeypatch, capsys):
+    lines = [HEADER, '1,1,"01/02/2021 10:00",France,2,"3,0"', '2,2,"05/03/2021 10:00",United Kingdom,1,"4,50"']
+    lines += ['3,1,"2021-02-01",France,1,"3,0"', '4,2,"02/02/2021 00:00",France,1,"1.234,00"']
+    source = write(tmp_path / "sales.csv", *lines)
+    out = str(tmp_path / "out")
+    with pytest.raises(PySparkException, match="could not be parsed"):
+        run_command(monkeypatch, source, str(tmp_path / "no"), "--ts-format", "dd/MM/yyyy HH:mm")
+    run_command(monkeypatch, source, out, "--ts-format", "dd/MM/yyyy HH:mm", "--as-of", "2021-04-01", "--quarantine")
+    assert {"sales", "rejects", "clean_audit"} <= set(capsys.readouterr().out.split())
+    rejects = {r.invoice_no: (r.invoice_ts, r.amount_txt, r.reason) for r in io.read_report(spark, f"{out}/rejects").collect()}
+    assert rejects == {"3": ("2021-02-01", "3,0", "bad_date"), "4": ("02/02/2021 00:00", "1.234,00", "bad_amount")}
+    assert sorted(r.invoice_no for r in io.read_report(spark, f"{out}/sales").collect()) == ["1", "2"]
+    audit = {r.step: r.rows for r in io.read_report(spark, f"{out}/clean_audit").collect()}
+    assert audit == {"raw": 4, "drop_negative": 4, "drop_duplicates": 4, "drop_missing": 4}
+
+
+def test_now_is_the_default_time(spark, tmp_path, monkeypatch):
+    class Clock(dt.datetime):
+        @classmethod
+        def now(cls, tz=None):
+            return cls(2021, 3, 9, 7, 30)
+
+    monkeypatch.setattr(command.dt, "datetime", Clock)
+    out = str(tmp_path / "out")
+    source = write(tmp_path / "sales.csv", HEADER, '1,1,"01/03/2021 08:00",France,2,"3,0"', '2,2,"09/03/2021 07:00",France,1,"4,0"')
+    run_command(monkeypatch, source, out, "--ts-format", "dd/MM/yyyy HH:mm")
+    assert {r.customer_id: r.recency for r in io.read_report(spark, f"{out}/customers").collect()} == {1: 7, 2: 0}
+
+
 def test_scratch_is_in_the_checkpoint_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert folder in scratch_path(spark, "x")
