@@ -29,6 +29,8 @@ WINDOW = 1024
 END_ID = 0
 # Tokens of a group, each document counting as so many more.
 GROUP, PER_PIECE = 1 << 18, 16
+# Groups of a task, if there are more than the usual partitions hold.
+GROUPS_A_TASK = 32
 # Windows more than the least number, as a share, before pieces are cut finer; one more is always allowed.
 SLACK = 1 / 128
 # Every fourth document of a group is halved again and again, down to so many tokens.
@@ -107,12 +109,21 @@ def _encoder(model: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def id_bytes(model: str, end_id: int = END_ID) -> int:
+    """2 if all ids of the tokenizer file fit, else 4."""
+    content = json.loads(model)
+    vocab = content["model"].get("vocab", {})
+    ids = vocab.values() if isinstance(vocab, dict) else range(len(vocab))
+    return 2 if max([end_id, *ids, *(t["id"] for t in content.get("added_tokens", []))]) < 1 << 16 else 4
+
+
 def encoded(docs: DataFrame, model: str, end_id: int = END_ID) -> DataFrame:
-    """row, doc_id, n_tokens and ids (little-endian, 32 bits each) of each row; written once.
+    """row, doc_id, n_tokens and ids (little-endian, `id_bytes` each) of each row; written once.
 
     ``row`` numbers the rows; as the table is stored, it stays what it is.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    kind = f"<u{id_bytes(model, end_id)}"
     end = np.array([end_id], "<u4")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +138,7 @@ def encoded(docs: DataFrame, model: str, end_id: int = END_ID) -> DataFrame:
                         "row": pa.array(np.arange(row, row + len(part))),
                         "doc_id": part.column("doc_id"),
                         "n_tokens": pa.array([len(i) for i in ids], pa.int64()),
-                        "ids": pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary()),
+                        "ids": pa.array([i.astype(kind).tobytes() for i in ids], pa.binary()),
                     }
                 )
                 row += len(part)
@@ -248,16 +259,30 @@ def pack(docs: DataFrame, model: str, window: int = WINDOW, end_id: int = END_ID
                 start += length
         return pd.DataFrame(out, columns=["row", "start", "length", "sequence_id", "offset"])
 
+    # A group's work is far more than its bytes tell: a number of tasks of our own.
+    n_tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), n_groups // GROUPS_A_TASK)
     placed = (
         lengths.withColumn("group", group)
+        .repartition(n_tasks, "group")
         .groupBy("group")
         .applyInPandas(place, "row long, start long, length long, sequence_id long, offset long")
     )
-    own = F.col("ids").substr((F.col("start") * 4 + 1).cast("int"), (F.col("length") * 4).cast("int"))
-    return placed.join(table, "row").select(
+    width = id_bytes(model, end_id)
+    own = F.col("ids").substr((F.col("start") * width + 1).cast("int"), (F.col("length") * width).cast("int"))
+    pieces = placed.join(table, "row").select(
         "doc_id", "start", "length", F.col("n_tokens").alias("doc_tokens"), "sequence_id", "offset", own.alias("ids")
     )
 
+    def widen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths_ = batch.column("length").to_numpy()
+            flat = np.frombuffer(b"".join(batch.column("ids").to_pylist()), f"<u{width}").astype("<u4")
+            ends = np.concatenate(([0], np.cumsum(lengths_ * 4))).astype("<i4")
+            ids = pa.BinaryArray.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer(ends), pa.py_buffer(flat)])
+            yield batch.set_column(batch.schema.get_field_index("ids"), "ids", ids)
+
+    return pieces if width == 4 else pieces.mapInArrow(widen, pieces.schema)
+
 
 def sequences(pieces: DataFrame, window: int = WINDOW, pad_id: int = END_ID) -> DataFrame:
     """sequence_id, n_tokens and ids of each sequence, padded to ``window`` unless it has a power of two."""
