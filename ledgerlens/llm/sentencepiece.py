@@ -110,6 +110,33 @@ def units_of(word: str, pairs: frozenset[str]) -> list[str]:
     return [word[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
+class Cutter:
+    """`units_of` many words at once."""
+
+    def __init__(self, pairs: frozenset[str]) -> None:
+        self.pairs = np.array(sorted(ord(a) << 21 | ord(b) for a, b in pairs) or [-1], np.int64)
+
+    def __call__(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The units of all words in order, and the number of each word's."""
+        joined = "".join(words)
+        points = np.frombuffer(joined.encode("utf-32-le"), "<u4").astype(np.int64)
+        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+        pairs = points[:-1] << 21 | points[1:]
+        near = self.pairs[np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)]
+        cut = np.ones(len(points) + 1, bool)
+        cut[1:-1] = near != pairs
+        cut[ends] = True
+        places = np.flatnonzero(cut)
+        bounds = places.tolist()
+        units = [joined[a:b] for a, b in zip(bounds, bounds[1:])]
+        return units, np.diff(np.searchsorted(places, ends), prepend=0)
+
+
+def _within(lengths: np.ndarray) -> np.ndarray:
+    """0, 1, ... up to each length, in a row."""
+    return np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+
+
 def distinct_units(docs: DataFrame, model: Model) -> DataFrame:
     """All distinct units of the texts; ``spelled`` has the ids of those that are too long to fold.
 
@@ -122,7 +149,9 @@ def distinct_units(docs: DataFrame, model: Model) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, table, first_byte = shared.value
+        cutter = Cutter(pairs)
         seen: set[str] = set()
+        sent: set[str] = set()
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 new: set[str] = set()
@@ -133,7 +162,10 @@ def distinct_units(docs: DataFrame, model: Model) -> DataFrame:
                 if len(seen) > REMEMBERED:
                     seen.clear()
                 seen |= new
-                units = list({u for word in new for u in units_of(word, pairs)})
+                units = list(set(cutter(list(new))[0]) - sent) if new else []
+                if len(sent) > REMEMBERED:
+                    sent.clear()
+                sent.update(units)
                 spelled = [
                     ",".join(map(str, merge_unit(u, table, first_byte))) if len(u) > LONGEST else None for u in units
                 ]
@@ -356,42 +388,65 @@ def mapped_units(units: DataFrame, width: int) -> tuple[str | None, ...]:
 class _Units:
     """All units and their ids, in mapped files."""
 
-    def __init__(self, paths: tuple[str | None, ...], pairs: frozenset[str], width: int) -> None:
+    def __init__(
+        self, paths: tuple[str | None, ...], pairs: frozenset[str], width: int, bytes_of: dict[int, bytes]
+    ) -> None:
         self.files = [map_arrays(path) if path else None for path in paths]
-        self.pairs, self.width = pairs, width
+        self.cutter, self.width = Cutter(pairs), width
+        # What an id is decoded to: bytes in a row, from a start on, so many. A space as such.
+        spelled = [bytes_of.get(i, b"").replace(SPACE.encode(), b" ") for i in range(max(bytes_of) + 1)]
+        self.lengths = np.array([len(b) for b in spelled])
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
+        # Word to the bytes of its ids and those that they are decoded to.
         self.known = Remembered(REMEMBERED)
 
-    def _found(self, units: list[str]) -> list[bytes]:
+    def _found(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units in a row, and the number of each unit's."""
         keys = np.array([xxhash.xxh64_intdigest(u, seed=42) for u in units], "u8")  # Spark's xxhash64
         shard = ((keys >> np.uint64(32)) * np.uint64(len(self.files)) >> np.uint64(32)).astype("i8")
-        out: list[bytes] = [b""] * len(units)
-        for s in np.unique(shard):
+        starts, lengths, places = np.zeros(len(units), "i8"), np.zeros(len(units), "i8"), []
+        for s in np.unique(shard).tolist():
             if self.files[s] is None:
                 raise ValueError("a unit of the text is not in the table")
-            all_keys, ends, ids = self.files[s]
+            all_keys, ends, _ = self.files[s]
             mine = np.flatnonzero(shard == s)
             at = np.searchsorted(all_keys, keys[mine])
             if (all_keys[np.minimum(at, len(all_keys) - 1)] != keys[mine]).any():
                 raise ValueError("a unit of the text is not in the table")
-            raw, stops = memoryview(ids.view("u1")), ends[at] * self.width
-            starts = np.where(at > 0, ends[np.maximum(at - 1, 0)], 0) * self.width
-            for i, start, stop in zip(mine.tolist(), starts.tolist(), stops.tolist()):
-                out[i] = bytes(raw[start:stop])
-        return out
+            starts[mine] = np.where(at > 0, ends[np.maximum(at - 1, 0)], 0)
+            lengths[mine] = ends[at] - starts[mine]
+            places.append((s, mine))
+        out = np.empty(lengths.sum(), f"<u{self.width}")
+        first = np.cumsum(lengths) - lengths
+        for s, mine in places:
+            within = _within(lengths[mine])
+            out[np.repeat(first[mine], lengths[mine]) + within] = self.files[s][2][np.repeat(starts[mine], lengths[mine]) + within]
+        return out, lengths
 
     def _learn(self, words: list[str]) -> None:
-        units = [units_of(word, self.pairs) for word in words]
-        found = iter(self._found([u for own in units for u in own]))
-        for word, own in zip(words, units):
-            self.known[word] = b"".join(next(found) for _ in own)
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text, as bytes."""
+        units, n_units = self.cutter(words)
+        ids, lengths = self._found(units)
+        # Ends of the units, then of the words, in ids; and the latter in decoded bytes.
+        ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(n_units)]
+        sizes = self.lengths[ids]
+        text = self.spelled[np.repeat(self.starts[ids], sizes) + _within(sizes)].tobytes()
+        text_ends = np.concatenate(([0], np.cumsum(sizes)))[ends].tolist()
+        raw, start, text_start = ids.tobytes(), 0, 0
+        for word, end, text_end in zip(words, (ends * self.width).tolist(), text_ends):
+            self.known[word] = raw[start:end], text[text_start:text_end]
+            start, text_start = end, text_end
+
+    def __call__(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
+        """The ids of each text, as bytes, and the bytes that they are decoded to."""
         split = [words_of(text) if text else [] for text in texts]
         unknown = self.known.missing(set().union(*split))
         if unknown:
             self._learn(unknown)
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        found = [list(map(self.known.__getitem__, words)) for words in split]
+        return [b"".join([f[0] for f in own]) for own in found], [
+            b"".join([f[1] for f in own]).removeprefix(b" ") for own in found
+        ]
 
 
 _LOADED: dict[tuple[str | None, ...], _Units] = {}
@@ -422,18 +477,18 @@ def encode(
     schema = "doc_id long, ids array<int>" + (DIGESTS if digests else "")
     bytes_of = spark.sparkContext.broadcast(model.bytes_of())
 
-    def result(doc_ids: pa.Array, data: list[bytes]) -> pa.RecordBatch:
+    def result(doc_ids: pa.Array, data: list[bytes], texts: list[bytes] | None = None) -> pa.RecordBatch:
         arrays = [np.frombuffer(d, f"<u{width}") for d in data]
         ends = np.cumsum([0, *map(len, arrays)]).astype("i4")
         flat = np.concatenate(arrays).astype("i4") if arrays else np.array([], "i4")
         columns = [doc_ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
         names = ["doc_id", "ids"]
         if digests:
-            texts = [text_of(a.tolist(), bytes_of.value) for a in arrays]
+            texts = texts or [text_of(a.tolist(), bytes_of.value).encode() for a in arrays]
             columns += [
                 pa.array([len(a) for a in arrays], pa.int64()),
                 pa.array([zlib.crc32(a.astype("<u4").tobytes()) for a in arrays], pa.int64()),
-                pa.array([zlib.crc32(t.encode()) for t in texts], pa.int64()),
+                pa.array([zlib.crc32(t) for t in texts], pa.int64()),
             ]
             names += ["n_tokens", "ids_crc32", "decoded_crc32"]
         return pa.RecordBatch.from_arrays(columns, names)
@@ -441,11 +496,11 @@ def encode(
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if files not in _LOADED:
             _LOADED.clear()
-            _LOADED[files] = _Units(files, pairs.value, width)
+            _LOADED[files] = _Units(files, pairs.value, width, bytes_of.value)
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
-                yield result(part.column("doc_id"), _LOADED[files](part.column("text").to_pylist()))
+                yield result(part.column("doc_id"), *_LOADED[files](part.column("text").to_pylist()))
         _LOADED.clear()  # an idle worker would keep its words
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

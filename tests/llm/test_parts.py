@@ -376,6 +376,15 @@ def test_changed_notices_are_found(spark):
         assert (got[doc_id].n_words, got[doc_id].n_base) == (n, len(places))
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text("ab▁ 日é\n\U0001f600", min_size=1, max_size=12), max_size=20))
+def test_words_are_cut_alike_one_by_one_and_together(words):
+    pairs = frozenset({"ab", "ba", "▁a", "日é", "é\U0001f600"})
+    units, counts = sentencepiece.Cutter(pairs)(words)
+    wanted = [sentencepiece.units_of(w, pairs) for w in words]
+    assert units == [u for own in wanted for u in own] and counts.tolist() == [len(own) for own in wanted]
+
+
 # Language model
 
 
