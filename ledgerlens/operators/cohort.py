@@ -28,16 +28,19 @@ def first_months(sales: DataFrame) -> DataFrame:
     )
 
 
-def assign_cohort(sales: DataFrame) -> DataFrame:
+def assign_cohort(sales: DataFrame, by_customer: bool = False) -> DataFrame:
     """Add cohort month and index to every invoice row.
 
     A window by customer would sort all rows of a customer in one task. The
     first months are aggregated map-side and joined back instead: the join is
     broadcast if they prove small, and else AQE splits a hot customer. It does
     so only between two fresh shuffles, not next to an aggregate's own
-    partitioning, hence the rebalance of the few rows per customer.
+    partitioning, hence the rebalance of the few rows per customer. A table that
+    is laid out ``by_customer`` is joined where it lies.
     """
-    first = first_months(sales).hint("rebalance")
+    first = first_months(sales)
+    if not by_customer:
+        first = first.hint("rebalance")
     return sales.join(first, "customer_id", "left").withColumn(
         "cohort_index", cohort_index("month", "cohort_month")
     )

@@ -14,6 +14,7 @@ from ledgerlens.plans.oracle import ORACLE
 from ledgerlens import session
 from ledgerlens.operators import clean, cohort, metrics, profile, ranking, rfm
 from ledgerlens.plans import flows
+from ledgerlens.sources import layout
 from ledgerlens.sources.segments import default_segments
 from ledgerlens.sources.star import sales_from_orders
 
@@ -111,12 +112,12 @@ def test_segments_have_no_copy_of_the_percentiles(spark):
 
 def test_analysis_reads_the_clean_table_four_times(spark, tmp_path, monkeypatch):
     plans = []
-    write = flows.write_report
-    monkeypatch.setattr(
-        flows,
-        "write_report",
-        lambda df, path, *args, **more: (plans.append(plan(df, run=False)), write(df, path, *args, **more))[1],
-    )
+
+    def noted(write):
+        return lambda df, path, *args, **more: (plans.append(plan(df, run=False)), write(df, path, *args, **more))[1]
+
+    for name in ("write_report", "write_by_customer"):
+        monkeypatch.setattr(flows, name, noted(getattr(flows, name)))
     raw = sales_from_orders(spark, str(TESTDATA / "sf0.001"))
     out = str(tmp_path / "out")
     with conf(spark, spark__sql__maxMetadataStringLength="1000"):
@@ -235,6 +236,32 @@ def test_shuffles_fit_the_input(spark):
             assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+def test_tables_by_customer_are_not_shuffled_by_customer_again(spark, stored, tmp_path):
+    path = str(tmp_path / "grain")
+    with layout.forgotten(spark):
+        grain = layout.write_by_customer(rfm.customer_grain(stored), path, 8)
+        again = layout.read_by_customer(spark, path, 8)
+        assert sorted(map(str, grain.collect())) == sorted(map(str, again.collect()))
+        sides = rfm.merge_grain(grain, ["customer_id", "is_home"])
+        with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+            for table in (grain, again):
+                flows_of = {
+                    "cohorts": cohort.customer_months(table),
+                    "rfm": rfm.merge_grain(table, ["customer_id"]),
+                    "sides": rfm.merge_grain(table, ["customer_id", "is_home"]),
+                    "cohort of each row": cohort.assign_cohort(table, by_customer=True),
+                }
+                for name, df in flows_of.items():
+                    assert "Exchange" not in plan(df, run=False), name
+        assert sorted(map(tuple, cohort.customer_months(grain).collect())) == sorted(map(tuple, cohort.customer_months(stored).collect()))
+        with pytest.raises(Exception, match="(?i)exist|empty"):
+            layout.write_by_customer(sides, path, 8)
+        n = sides.count()
+        layout.write_by_customer(sides, str(tmp_path / "sides"), 8)
+        assert spark.read.parquet(str(tmp_path / "sides")).count() == n
+    assert not any(t.name.startswith("by_customer_") for t in spark.catalog.listTables())
+
+
 def test_only_digests_and_copies_are_shuffled(spark, tmp_path):
     path = str(tmp_path / "raw")
     sales_from_orders(spark, SF).write.parquet(path)
