@@ -13,8 +13,8 @@ from ledgerlens.llm.text import set_aside, stored
 
 # Repeated lines in a row are removed if they have so many words together.
 MIN_WORDS = 50
-# A line ends a chunk with a chance of its words / CHUNK_WORDS, told by its hash.
-CHUNK_WORDS = 10
+# A line is a border with a chance of its words / CHUNK_WORDS, told by a rolling hash.
+CHUNK_WORDS = 16
 # Up to so many repeated runs, 32 bytes each with their document, are broadcast.
 BROADCAST_RUNS = 2_000_000
 
@@ -32,35 +32,81 @@ def split_lines(text: str) -> tuple[list[str], list[int]]:
 def runs_of(text: str) -> Iterator[tuple[int, int, int]]:
     """First line, last line and hash of each run of lines that is looked up.
 
-    A line is a border if its hash says so, more often the more words it has; so
-    borders depend on the lines alone and move with them. A chunk goes from one border line
-    to the next, both included, so it has two lines or more. What stands at a
-    passage's ragged ends is found by the runs that go from each other line to
-    the next border and back to the last one. A line of MIN_WORDS is a run by itself.
-    Lines without a word are passed over. Hashes of runs roll over the lines'.
+    A line is a border if a hash rolled over it and the line before says so, more
+    often the more words it has. So a border depends on two lines alone, and all
+    borders of a passage but one on its first line are there wherever it stands.
+    A chunk goes from a border to the next, both included. The ragged ends of a
+    passage are found by the runs that go from each line to the next border
+    behind it, and from the last border to each line. Where MIN_WORDS stand in a
+    row without a border behind the first line, the shortest runs of so many
+    words from each line, and up to each line, are runs as well. So every
+    passage of MIN_WORDS is covered by runs that stand wherever it stands. Lines
+    without a word are passed over.
     """
     lines, filled = split_lines(text)
     words = [len(lines[i].split()) for i in filled]
     hashes = [xxhash.xxh3_64_intdigest(lines[i]) for i in filled]
-    border = [h % CHUNK_WORDS < w for h, w in zip(hashes, words)]
-    rolled, start = 0, None
-    for k, at in enumerate(filled):
-        if words[k] >= MIN_WORDS:
-            yield at, at, hashes[k]
-        if start is not None:
-            rolled = _rolled(rolled, hashes[k])
-            yield filled[start], at, rolled
-        if border[k]:
-            start, rolled = k, hashes[k]
-    # Backwards: from each line that is no border, and so began no run above.
-    end, rolled = None, 0
-    for k in range(len(filled) - 1, -1, -1):
+    n = len(filled)
+    border = [k > 0 and _rolled(hashes[k - 1], hashes[k]) % CHUNK_WORDS < words[k] for k in range(n)]
+    # Up to each line: from the last border.
+    last = rolled = None
+    for k in range(n):
         if border[k]:
-            end, rolled = k, hashes[k]
-        elif end is not None:
+            last, rolled = k, hashes[k]
+        elif last is not None:
+            rolled = _rolled(rolled, hashes[k])
+            yield filled[last], filled[k], _sealed(rolled, k - last, 1)
+    # From each line: to the next border behind it.
+    following = rolled = None
+    for k in range(n - 1, -1, -1):
+        if following is not None:
             rolled = _rolled(rolled, hashes[k])
-            # Another seed: a run told backwards is never one told forwards.
-            yield filled[k], filled[end], rolled ^ _MASK
+            yield filled[k], filled[following], _sealed(rolled, following - k, 2)
+        if border[k]:
+            following, rolled = k, hashes[k]
+    yield from _windows(filled, words, hashes, border)
+
+
+def _windows(filled: list[int], words: list[int], hashes: list[int], border: list[bool]) -> Iterator[tuple[int, int, int]]:
+    """The shortest runs of MIN_WORDS from and up to each line that have no border behind their first line.
+
+    Of runs that overlap and are alike, as where one line stands over and over,
+    the first is taken.
+    """
+    found, start, so_far = set(), 0, 0
+    behind = np.concatenate((np.cumsum(border), [0])).tolist() if border else []
+
+    def note(first: int, end: int) -> None:
+        if behind[end] == behind[first]:
+            found.add((first, end))
+
+    for end in range(len(filled)):
+        so_far += words[end]
+        if so_far < MIN_WORDS:
+            continue
+        while so_far - words[start] >= MIN_WORDS:
+            note(start, _first_end(words, start))
+            so_far -= words[start]
+            start += 1
+        note(start, end)
+        note(start, _first_end(words, start))
+    taken: dict[int, int] = {}
+    for first, end in sorted(found):
+        rolled = hashes[first]
+        for h in hashes[first + 1 : end + 1]:
+            rolled = _rolled(rolled, h)
+        own = _sealed(rolled, end - first, 3)
+        if taken.get(own, -1) < first:
+            taken[own] = end
+            yield filled[first], filled[end], own
+
+
+def _first_end(words: list[int], start: int) -> int:
+    so_far, end = words[start], start
+    while so_far < MIN_WORDS:
+        end += 1
+        so_far += words[end]
+    return end
 
 
 def _rolled(so_far: int, line: int) -> int:
@@ -68,6 +114,11 @@ def _rolled(so_far: int, line: int) -> int:
     return x ^ (x >> 29)
 
 
+def _sealed(rolled: int, length: int, kind: int) -> int:
+    """A run's hash: its lines', how many, and how it was found."""
+    return _rolled(rolled, 4 * length + kind)
+
+
 def _text_hash() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 

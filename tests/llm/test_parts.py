@@ -325,6 +325,54 @@ def test_passages_stay_once(spark):
     assert sorted(r.doc_id for r in lines.without_repeats(df).collect()) == [1, 2, 3, 4, 5, 6, 7]
 
 
+def covered(text, runs):
+    """Lines of a text that runs of these hashes cover."""
+    out = set()
+    for first, last, h in lines.runs_of(text):
+        if h in runs:
+            out.update(range(first, last + 1))
+    return out
+
+
+def short_lines(r, words):
+    out, n = [], 0
+    while n < words:
+        own = int(min(r.integers(1, 7), words - n))
+        out.append(" ".join(f"w{i}" for i in r.integers(0, 400, own)))
+        n += own
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_every_passage_is_covered_wherever_it_stands(seed):
+    r = np.random.default_rng(seed)
+    for trial in range(1500):
+        passage = short_lines(r, int(r.integers(50, 56))) if trial % 5 else [f"the same {trial}"] * 20
+        before, after = (short_lines(r, int(r.integers(0, 80))) for _ in range(2))
+        text = "\n".join(before + passage + after)
+        own = {h for *_, h in lines.runs_of("\n".join(short_lines(r, 30) + passage + short_lines(r, 30)))}
+        found = covered(text, own) & set(range(len(before), len(before) + len(passage)))
+        # Of one line over and over, a few at an end may be left.
+        assert len(found) == len(passage) if trial % 5 else 3 * (len(passage) - len(found)) < 50
+
+
+def test_passages_of_short_lines_go(spark):
+    r = np.random.default_rng(5)
+    passages = [short_lines(r, 50 + int(i)) for i in r.integers(0, 30, 40)] + [["a b c"] * 20]
+    rows = []
+    for i, passage in enumerate(passages * 2):
+        rows.append((i, "\n".join(short_lines(r, 25) + passage + short_lines(r, 25)), "s", "en", 0))
+    got = {x.doc_id: x.text for x in lines.report(spark.createDataFrame(rows, DOCS)).collect()}
+    assert brute.repeated_passages(t for _, t, *_ in rows) and not brute.repeated_passages(got.values())
+    # Nothing but the passage goes, and only from the second of each two.
+    for i in range(len(passages) - 1):
+        assert got[i] == rows[i][1]
+        second = rows[i + len(passages)][1].split("\n")
+        assert [line for line in second if line not in set(passages[i])] == [
+            line for line in got[i + len(passages)].split("\n") if line not in set(passages[i])
+        ]
+
+
 def test_equal_hashes_of_other_lines_are_not_removed():
     found = [{"first": 0, "last": 0, "run_text": PASSAGE}]
     assert lines._cut_text(PASSAGE, found)[0] == ""
