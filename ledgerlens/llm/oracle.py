@@ -123,7 +123,8 @@ WITH docs AS (
   SELECT kind, r, min(d) AS d FROM distances GROUP BY kind, r
 ), measured AS (
   SELECT counted.*, coalesce(n_repeat_words, 0) AS n_repeat_words, spoken.language, round(cd.d, 6) AS char_distance,
-    round(CASE WHEN spoken.language IS NULL AND n_words > 0 THEN 1 ELSE wd.d END, 6) AS word_distance
+    round(CASE WHEN spoken.language IS NULL AND 2 * length(regexp_replace(t, '[^A-Za-z]', '', 'g')) < word_chars THEN NULL
+      WHEN spoken.language IS NULL AND n_words > 0 THEN 1 ELSE wd.d END, 6) AS word_distance
   FROM counted LEFT JOIN repeated USING (r) LEFT JOIN spoken USING (r)
     LEFT JOIN nearest cd ON cd.r = counted.r AND cd.kind = 'char'
     LEFT JOIN nearest wd ON wd.r = counted.r AND wd.kind = 'word'

@@ -24,9 +24,16 @@ COMMON = {
     "en": "the of and to in a is that for it was on with as be by this are from at",
     "es": "de la que el en y a los se del las un por con no una su para es al",
     "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au",
+    "it": "di e che la il un per non in una sono mi si ho lo ma ti ha le cosa",
+    "nl": "de het een en van ik te dat die in niet je is op zijn met voor maar er aan",
+    "pl": "nie w i na z do to się że jest o jak a po za co tak od ale czy",
+    "pt": "de a o que e do da em um para com não uma os no se na por mais as",
+    "ru": "и в не на я что с по это как но он к из у то за от так же",
 }
+# Fixed value: the letters of the script that most of those words are in.
+LATIN = "[A-Za-z]"
 # Character classes, by pattern. White space is one more, and the rest another.
-CLASSES = {"upper": "[A-Z]", "digit": "[0-9]", "symbol": "[#*$%&|<>]"}
+CLASSES = {"upper": r"\p{Lu}", "digit": "[0-9]", "symbol": "[#*$%&|<>]"}
 
 
 def _hash(word: str) -> Column:
@@ -105,7 +112,7 @@ def measured(docs: DataFrame, *, repeats: bool = True) -> DataFrame:
     ``language`` is the one of COMMON whose frequent words the text has most of
     (ties: the first by name), null if it has none. ``char_counts`` counts the
     CLASSES and the rest; ``word_counts`` the frequent words of the language and
-    all other words. Null and empty texts count 0 everywhere.
+    all other words; ``foreign``: without a language, and in another script. Null and empty texts count 0 everywhere.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     common = [_hash(w) for w in sorted({w for ws in COMMON.values() for w in ws.split()})]
@@ -151,6 +158,7 @@ def measured(docs: DataFrame, *, repeats: bool = True) -> DataFrame:
         "word_chars": F.col("q_chars"),
         "n_symbols": char_counts["symbol"],
         "language": language,
+        "foreign": F.when(language.isNull(), 2 * _occurrences(text, LATIN) < F.col("q_chars")).otherwise(F.lit(False)),
         "char_counts": let(
             F.array(*char_counts.values(), F.length(text) - F.col("q_chars")),
             lambda c: F.concat(c, F.array(F.length(text).cast("long") - total(c))),
@@ -213,7 +221,9 @@ def _distance(counts: Column, reference: Column) -> Column:
 
     return let(
         counts,
-        lambda c: let(total(c), lambda n: F.when(n > 0, divergence(F.transform(c, lambda x: x / n)))),
+        lambda c: let(
+            total(c), lambda n: F.when((n > 0) & reference.isNotNull(), divergence(F.transform(c, lambda x: x / n)))
+        ),
     )
 
 
@@ -245,7 +255,7 @@ def judged(measures: DataFrame, references: dict) -> DataFrame:
                 F.when(unknown, nearest).otherwise(_distance(F.col("q_char_counts"), F.col("q_char_rates"))), 6
             ),
             "q_word_distance": F.round(
-                F.when(unknown & (F.col("q_n_words") > 0), 1.0).otherwise(
+                F.when(F.col("q_foreign"), F.lit(None)).when(unknown & (F.col("q_n_words") > 0), 1.0).otherwise(
                     _distance(F.col("q_word_counts"), F.col("q_word_rates"))
                 ),
                 6,
@@ -270,7 +280,8 @@ def quality(docs: DataFrame) -> DataFrame:
     character histogram within MAX_CHAR_DISTANCE and a frequent-word histogram
     within MAX_WORD_DISTANCE of the language's reference. A text without any
     frequent word is measured against the nearest reference's characters and
-    has word distance 1. Null text counts as empty and fails the base rule.
+    has word distance 1, or none if most of its letters are of another script
+    than LATIN, of which the lists of frequent words know little. Null text counts as empty and fails the base rule.
     Repeated rows are judged alike; an empty table gives an empty result. The
     operator needs only ``text``; its own columns begin with ``q_`` and replace
     any that ``docs`` has by those names.

@@ -501,6 +501,25 @@ def test_junk_goes_and_prose_stays(spark):
     assert all(got[i].kept for i in range(30)) and not got[100].kept and not got[101].kept
 
 
+LETTERS = {"ru": "абвгдежзиклмнопрст", "it": "abcdefgilmnopqrstuvz", "el": "αβγδεζηθικλμνξοπρσ", "en": "abcdefghiklmnoprstuw"}
+
+
+@pytest.mark.parametrize("language", ["ru", "it", "el"])
+def test_prose_of_another_language_stays(spark, language):
+    r = np.random.default_rng(3)
+
+    def text(name, n=93, share=0.3):
+        rare = ["".join(r.choice(list(LETTERS[name]), r.integers(4, 9))) for _ in range(n)]
+        own = [r.choice(quality.COMMON[name].split()) if name in quality.COMMON and r.random() < share else w for w in rare]
+        parts = [own[i : i + 12] for i in range(0, n, 12)]
+        return " ".join(" ".join([part[0].capitalize(), *part[1:]]) + "." for part in parts)
+
+    rows = [(i, text("en")) for i in range(80)] + [(100, text(language)), (101, text("en", share=0.0))]
+    got = {x.doc_id: x for x in quality.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100].kept and got[100].language == (language if language in quality.COMMON else None)
+    assert all(got[i].kept for i in range(80)) and not got[101].kept
+
+
 def test_junk_with_few_frequent_words_or_some_symbols_goes(spark):
     r = np.random.default_rng(11)
     frequent = quality.COMMON["en"].split()
