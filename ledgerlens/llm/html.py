@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -16,12 +17,14 @@ from ledgerlens.llm.text import stored
 
 # A path wins if this share of its host's pages name it as their best.
 WINNING = 0.25
-# Up to so many hosts' paths, some 50 bytes each, are broadcast.
-BROADCAST_HOSTS = 1_000_000
+# A page is read by a winning path if that holds this share of the text that its own best one holds.
+FAIR = 0.5
+# Up to so many hosts' paths, some hundreds of bytes each, are broadcast.
+BROADCAST_HOSTS = 200_000
 
 # How HTML elements behave.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure"
     " footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre"
@@ -41,7 +44,8 @@ CLOSED_BY = {
 SCOPES = frozenset("table ul ol dl menu select body html article section div".split())
 # Elements and words in classes and ids that mark what is not the article.
 OUTSIDE_TAGS = frozenset(
-    "head nav footer aside form button select dialog menu object canvas audio video map datalist search".split()
+    "head nav footer aside form button select dialog menu object canvas audio video map datalist search"
+    " annotation annotation-xml".split()
 )
 OUTSIDE_WORDS = frozenset(
     "nav navbar navigation menu sidebar side footer ad ads adv advert advertisement adverts sponsor sponsored"
@@ -110,12 +114,64 @@ def _described(tag: str, attributes: str) -> tuple[str, int, float]:
     return name, _ARTICLE, weight
 
 
+class _Open:
+    """The open elements, with the depths of each tag, of blocks and of cells; no look at it takes a search."""
+
+    def __init__(self, nodes: list[Node]) -> None:
+        self.nodes, self.stack = nodes, [0]
+        self.depths: dict[str, list[int]] = {}
+        self.blocks, self.cells = [0], [0]
+
+    def push(self, node: int) -> None:
+        tag = self.nodes[node].tag
+        for depths in self._lists(tag):
+            depths.append(len(self.stack))
+        self.stack.append(node)
+
+    def _lists(self, tag: str) -> Iterator[list[int]]:
+        yield self.depths.setdefault(tag, [])
+        if tag in BLOCKS:
+            yield self.blocks
+        elif tag in ("td", "th"):
+            yield self.cells
+
+    def cut(self, depth: int) -> None:
+        """End all elements from a depth on."""
+        while len(self.stack) > depth:
+            for depths in self._lists(self.nodes[self.stack.pop()].tag):
+                depths.pop()
+
+    def last(self, tags) -> int:
+        """The greatest depth of an element of these tags, 0 if there is none."""
+        return max((own[-1] for tag in tags if (own := self.depths.get(tag))), default=0)
+
+    def before_block(self) -> None:
+        """A block ends an open paragraph, with all that is open in it."""
+        depth = max(self.blocks[-1], self.cells[-1])
+        if depth and self.nodes[self.stack[depth]].tag == "p":
+            self.cut(depth)
+
+    def before_member(self, tag: str) -> None:
+        """A member of a list or table ends the one before, of the same list or table."""
+        while (depth := self.last(CLOSED_BY[tag])) > self.last(SCOPES):
+            self.cut(depth)
+            if tag != "tr":
+                break
+
+    def close(self, tag: str) -> None:
+        depth = self.last((tag,))
+        # A stray end inside a block ends nothing outside.
+        if depth and (tag in BLOCKS or depth > self.blocks[-1]):
+            self.cut(depth)
+
+
 def parse(html: str) -> Page:
     """Elements and texts of a page, however broken its markup is."""
     page = Page()
     nodes, pieces = page.nodes, page.pieces
     nodes.append(Node("", -1, 0, _ARTICLE, 0.5, True))
-    stack = [0]
+    opened = _Open(nodes)
+    stack = opened.stack
     at, end = 0, len(html)
     lower = None
 
@@ -137,29 +193,15 @@ def parse(html: str) -> Page:
                 pieces.append((token[0][9:].removesuffix("]]>"), stack[-1]))
             continue
         if token[1] or token[4]:
-            _close(nodes, stack, tag)
+            opened.close(tag)
             if tag == "br":
                 pieces.append((" ", stack[-1]))
             continue
         attributes = token[3] or token[6] or ""
         if tag in BLOCKS:
-            # A block ends an open paragraph, with all that is open in it.
-            for depth in range(len(stack) - 1, 0, -1):
-                opened = nodes[stack[depth]].tag
-                if opened == "p":
-                    del stack[depth:]
-                    break
-                if opened in BLOCKS or opened in ("td", "th"):
-                    break
+            opened.before_block()
         if tag in CLOSED_BY:
-            for depth in range(len(stack) - 1, 0, -1):
-                opened = nodes[stack[depth]].tag
-                if opened in CLOSED_BY[tag]:
-                    del stack[depth:]
-                    if tag != "tr":
-                        break
-                elif opened in SCOPES:
-                    break
+            opened.before_member(tag)
         if tag in RAW:
             if lower is None:
                 lower = html.lower()
@@ -187,12 +229,12 @@ def parse(html: str) -> Page:
         nodes.append(Node(tag, stack[-1], path, kind, weight, tag in BLOCKS))
         if tag in ("td", "th"):
             pieces.append((" ", stack[-1]))
-        stack.append(len(nodes) - 1)
+        opened.push(len(nodes) - 1)
         if tag in BLOCKS:
             # Even an empty block parts the texts around it.
             pieces.append(("", stack[-1]))
         if attributes.endswith("/") and tag not in BLOCKS:
-            stack.pop()
+            opened.cut(len(stack) - 1)
     return page
 
 
@@ -202,16 +244,6 @@ def _mark(nodes: list[Node], pieces: list[tuple[str, int]], parent: int) -> None
     pieces.append(("", len(nodes) - 1))
 
 
-def _close(nodes: list[Node], stack: list[int], tag: str) -> None:
-    for depth in range(len(stack) - 1, 0, -1):
-        opened = nodes[stack[depth]].tag
-        if opened == tag:
-            del stack[depth:]
-            return
-        if tag not in BLOCKS and opened in BLOCKS:
-            return  # a stray end inside a block ends nothing outside
-
-
 def _blocks(page: Page, inside: list[bool] | None) -> Iterator[tuple[str, int, int]]:
     """Text, innermost block element and link characters of each block of the article."""
     nodes = page.nodes
@@ -256,29 +288,31 @@ def best_path(page: Page) -> int | None:
     return nodes[best].path if nodes[best].score * nodes[best].weight > 0 else None
 
 
-def extract(html: str | None, winners: list[int]) -> tuple[str, int | None]:
+def extract(html: str | None, winners: list[int], losers: list[int] = ()) -> tuple[str, int | None]:
     """A page's article, and the path it was found by.
 
-    The path is the winning one that holds most of the page's text, or the
-    page's own best if none does.
+    The path is the page's own best one, or else the winning one that holds most
+    of the page's text: if its own best is a loser, one that the host's pages
+    have often and do not vote for, or if the winner holds at least FAIR of what
+    the page's own holds.
     """
     if not html:
         return "", None
     page = parse(html)
-    if len(winners) == 1 and (text := _within(page, winners[0])):
-        return text, winners[0]
     own = best_path(page)
     if own is None:
         return "", None
-    score: dict[int, float] = {}
+    text = _within(page, own)
+    if not winners or own in winners:
+        return text, own
+    score = dict.fromkeys(winners, 0.0)
     for node in page.nodes:
-        if node.block:
-            score[node.path] = score.get(node.path, 0.0) + node.score * node.weight
-    path = own
-    if winners and own not in winners:
-        known = max(winners, key=lambda p: (score.get(p, 0.0), -p))
-        path = known if score.get(known, 0.0) > 0 else own
-    return _within(page, path), path
+        if node.block and node.path in score:
+            score[node.path] += node.score * node.weight
+    known = max(winners, key=lambda p: (score[p], -p))
+    agreed = _within(page, known)
+    fair = own in losers or len(agreed) >= FAIR * len(text)
+    return (agreed, known) if agreed and fair else (text, own)
 
 
 def _within(page: Page, path: int) -> str:
@@ -297,32 +331,51 @@ def _host():
     return F.coalesce(F.lower(F.try_parse_url(F.col("url"), F.lit("HOST"))), F.lit(""))
 
 
-def winning_paths(pages: DataFrame) -> DataFrame:
-    """host and paths: those that at least WINNING of the host's pages vote for, 4 at most.
+def host_paths(pages: DataFrame) -> DataFrame:
+    """host, winners and losers: container paths that at least WINNING of the host's pages have.
 
     Each page votes once, for a hash of the tags and classes that lead to its
-    best container, digits made alike. Votes are counted before they are moved.
+    best container, digits made alike. Winners get WINNING of the votes, so
+    there are 4 at most; losers hold text on so many pages, but do not win.
+    Votes are counted before they are moved.
     """
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            best = [best_path(parse(html)) if html else None for html in batch["html"]]
-            frame = pd.DataFrame({"host": batch["host"], "path": pd.array([None if b is None else _signed(b) for b in best], "Int64")})
-            yield frame[frame["path"].notna()]
+            votes, there = Counter(), Counter()
+            for host, html in zip(batch["host"], batch["html"]):
+                page = parse(html or "")
+                best = best_path(page)
+                if best is not None:
+                    votes[host, best] += 1
+                    there.update({(host, node.path) for node in page.nodes if node.block and node.score > 0})
+            keys = list(votes | there)
+            yield pd.DataFrame(
+                {
+                    "host": [host for host, _ in keys],
+                    "path": pd.array([_signed(path) for _, path in keys], "Int64"),
+                    "n": pd.array([votes[key] for key in keys], "Int64"),
+                    "there": pd.array([there[key] for key in keys], "Int64"),
+                }
+            )
 
     votes = (
         pages.select(_host().alias("host"), "html")
-        .mapInPandas(vote, "host string, path long")
+        .mapInPandas(vote, "host string, path long, n long, there long")
         .groupBy("host", "path")
-        .agg(F.count("*").alias("n"))
+        .agg(F.sum("n").alias("n"), F.sum("there").alias("there"))
     )
     votes = stored(votes, "votes")
     whole = votes.groupBy("host").agg(F.sum("n").alias("of"))
+    wins = F.col("n") >= F.col("of") * WINNING
     return (
         votes.join(whole, "host")
-        .filter(F.col("n") >= F.col("of") * WINNING)
+        .filter(wins | (F.col("there") >= F.col("of") * WINNING))
         .groupBy("host")
-        .agg(F.sort_array(F.collect_list("path")).alias("paths"))
+        .agg(
+            F.sort_array(F.collect_list(F.when(wins, F.col("path")))).alias("winners"),
+            F.sort_array(F.collect_list(F.when(~wins, F.col("path")))).alias("losers"),
+        )
     )
 
 
@@ -333,20 +386,25 @@ def extract_pages(pages: DataFrame) -> DataFrame:
     elements that end a line in a browser are blocks, a line break or a table
     cell is white space. Headings stay, also those in a header inside the
     article. Null, empty and textless pages give an empty text. Pages without a
-    valid url vote together and, like pages that lack their host's paths, are
-    read by their own best container. Repeated rows are pages each. Only
+    valid url vote together and, like pages of a layout that few of the host's
+    pages have, are read by their own best container. The time and memory that a
+    page takes grow with its size, also where tags are left open. Formulas are
+    text, but for their annotations. Repeated rows are pages each. Only
     page_id, url and html are read, so other columns cannot clash; an empty
     table gives an empty result.
     """
-    winners = stored(winning_paths(pages), "winners")
-    if winners.count() <= BROADCAST_HOSTS:
-        winners = F.broadcast(winners)
+    known = stored(host_paths(pages), "host-paths")
+    if known.count() <= BROADCAST_HOSTS:
+        known = F.broadcast(known)
+
+    def unsigned(paths) -> list[int]:
+        return [] if paths is None else [int(p) % (1 << 64) for p in paths]
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, paths = [], []
-            for html, known in zip(batch["html"], batch["paths"]):
-                text, path = extract(html, [] if known is None else [int(p) % (1 << 64) for p in known])
+            for html, winners, losers in zip(batch["html"], batch["winners"], batch["losers"]):
+                text, path = extract(html, unsigned(winners), unsigned(losers))
                 texts.append(text)
                 paths.append(None if path is None else _signed(path))
             yield pd.DataFrame(
@@ -361,7 +419,7 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     return (
         pages.select("page_id", "url", "html", _host().alias("host"))
-        .join(winners, "host", "left")
-        .select(F.col("page_id").cast("long"), "url", "html", "paths")
+        .join(known, "host", "left")
+        .select(F.col("page_id").cast("long"), "url", "html", "winners", "losers")
         .mapInPandas(read, "page_id long, url string, text string, n_chars long, path long")
     )

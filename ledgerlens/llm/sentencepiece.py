@@ -6,6 +6,8 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pyarrow as pa
@@ -440,10 +442,13 @@ class _Units:
     def __call__(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
         """The ids of each text, as bytes, and the bytes that they are decoded to."""
         split = [words_of(text) if text else [] for text in texts]
-        unknown = self.known.missing(set().union(*split))
-        if unknown:
-            self._learn(unknown)
-        found = [list(map(self.known.__getitem__, words)) for words in split]
+        found = [list(map(self.known.get, words)) for words in split]
+        new = set().union(*(compress(words, map(not_, own)) for words, own in zip(split, found)))
+        if new:
+            unknown = self.known.missing(new)
+            if unknown:
+                self._learn(unknown)
+            found = [[f or self.known[w] for w, f in zip(words, own)] for words, own in zip(split, found)]
         return [b"".join([f[0] for f in own]) for own in found], [
             b"".join([f[1] for f in own]).removeprefix(b" ") for own in found
         ]

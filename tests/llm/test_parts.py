@@ -241,6 +241,45 @@ def test_main_text(page, text):
     assert html.extract(page, [])[0] == text
 
 
+def test_formulas_are_text():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> be.</p></article>"
+    assert html.extract(page, [])[0] == "Let x=1 be."
+
+
+def test_a_minority_layout_is_read_by_its_own(spark):
+    """A caption under the host's winning path does not stand for an article elsewhere."""
+    usual = "<div class=c1><p>{}</p></div><div class=x><p>short</p></div>"
+    other = "<div class=c2><p>a caption</p></div><section class=long><p>" + "word " * 100 + "</p></section>"
+    pages = [(i, "https://a.example/x", usual.format("word " * 30)) for i in range(9)] + [(9, "https://a.example/y", other)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html.extract_pages(df).collect()}
+    assert got[9] == ("word " * 100).strip() and got[0] == ("word " * 30).strip()
+
+
+@pytest.mark.parametrize(
+    "piece", ["<b>x</i>", "<i><p><b>x</i>", "<b>x<hr>", "<li><b>x", "<table><tr><td><b>x", "<p><b>x</p>", "</div><span>", "<dt><i>a<dd>"]
+)
+def test_very_long_broken_pages_take_linear_time(piece):
+    import time
+
+    html.parse(piece * 1000)
+    start = time.perf_counter()
+    html.parse(piece * 10_000)
+    small = time.perf_counter() - start
+    page = piece * (1_000_000 // len(piece))
+    start = time.perf_counter()
+    html.extract(page, [])
+    assert time.perf_counter() - start < 20 + 40 * small
+
+
+def test_very_long_and_repeated_pages(spark):
+    text = " ".join(f"word{i}" for i in range(60_000))
+    page = f"<nav>menu</nav><article><p>{text}</p></article>"
+    df = spark.createDataFrame([(1, "http://b.example", page)] * 3 + [(2, None, "")], "page_id long, url string, html string")
+    got = html.extract_pages(df).collect()
+    assert [r.n_chars for r in got if r.page_id == 1] == [len(text)] * 3 and len(got) == 4
+
+
 def test_pages_follow_their_host(spark):
     """Where most pages agree, a page whose sidebar is longer is read like the others."""
     usual = "<div class=c1><p>{}</p></div><div class=x><p>short</p></div>"
