@@ -350,6 +350,8 @@ def host_paths(pages: DataFrame) -> DataFrame:
                     votes[host, best] += 1
                     there.update({(host, node.path) for node in page.nodes if node.block and node.score > 0})
             keys = list(votes | there)
+            if not keys:
+                continue
             yield pd.DataFrame(
                 {
                     "host": [host for host, _ in keys],
