@@ -6,8 +6,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress
-from operator import not_
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +15,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlens.llm.mapped import map_arrays, write_arrays
 from ledgerlens.llm.text import let, stored
-from ledgerlens.llm.tokens_file import Remembered
 from ledgerlens.session import scratch_path
 
 # Fixed value: the character that stands for a space.
@@ -26,7 +24,7 @@ LONGEST = 60
 # Up to so many units, some 40 bytes each, are mapped by each worker.
 LOADED_UNITS = 100_000_000
 # Words that a worker remembers, and texts that it holds at once.
-REMEMBERED, SLICE = 200_000, 500
+REMEMBERED, SLICE = 400_000, 500
 
 # Fixed value: line feed, tab, vertical tab, form feed. A carriage return is part of some pieces.
 BREAKS = "\t\n\x0b\x0c"
@@ -182,41 +180,43 @@ def distinct_units(docs: DataFrame, model: Model) -> DataFrame:
 def lattice(units: DataFrame, model: Model) -> DataFrame:
     """unit, spelled and edges: the pieces in each unit, each packed in a long.
 
-    All substrings up to the longest piece are joined to the pieces. An edge
-    holds, from the highest bits, the piece's rank, first character, end and id;
-    so edges in order are in order of rank, then from the left. A character that
-    is no piece has an edge with the id _UNKNOWN. The piece table is the model's
-    and is broadcast; the units are dealt by unit already, so the edges of one
-    come together without a shuffle. Spelled units have no edges.
+    All substrings up to the longest piece are joined to the pieces, by a hash
+    and then by their letters. An edge holds, from the highest bits, the piece's
+    rank, first character, end and id; so edges in order are in order of rank,
+    then from the left. A character that is no piece has an edge with the id
+    _UNKNOWN. The piece table is the model's and is broadcast; the units are
+    dealt by unit already, so the edges of one come together without a shuffle.
+    Spelled units have no edges.
     """
     spark = units.sparkSession
     ranks = model.ranks()
+    hashes = {xxhash.xxh64_intdigest(p, seed=42) for p, _, _ in model.pieces}  # Spark's xxhash64
+    if len(hashes) < len(model.pieces):
+        raise ValueError("two pieces share a hash")
     pieces = spark.createDataFrame(
-        [(p, ranks[s], i) for p, i, s in model.pieces], "piece string, rank long, id long"
-    )
-    size = F.length("unit")
-    parts = F.when(size <= LONGEST, F.flatten(
-        F.transform(
-            F.sequence(F.lit(0), size - 1),
-            lambda at: F.transform(
-                F.sequence(F.lit(1), F.least(F.lit(model.longest), size - at)),
-                lambda n: F.struct(at.alias("at"), (at + n).alias("end"), F.substring(F.col("unit"), at + 1, n).alias("piece")),
-            ),
-        )
-    ))
+        [(p, ranks[s], i) for p, i, s in model.pieces], "spelling string, rank long, id long"
+    ).withColumn("key", F.xxhash64("spelling"))
+    # Two explodes of plain numbers, as the compiled code of a stage takes them in.
+    size, at, n = F.length("unit"), F.col("at"), F.col("n")
+    starts = F.when(size <= LONGEST, F.sequence(F.lit(0), size - 1))
+    lengths = F.when(at.isNotNull(), F.sequence(F.lit(1), F.least(F.lit(model.longest), size - at)))
     packed = (
         F.shiftleft(F.coalesce("rank", F.lit(_UNKNOWN)).cast("long"), 32)
-        + F.shiftleft(F.col("at").cast("long"), 26)
-        + F.shiftleft(F.col("end").cast("long"), 20)
+        + F.shiftleft(at.cast("long"), 26)
+        + F.shiftleft((at + n).cast("long"), 20)
         + F.coalesce("id", F.lit(_UNKNOWN))
     )
+    same = F.col("spelling") == F.col("piece")
     return (
         units.withColumn("number", F.monotonically_increasing_id())
-        .withColumn("part", F.explode_outer(parts))
-        .select("number", "unit", "spelled", "part.*")
-        .join(F.broadcast(pieces), "piece", "left")
-        .filter(F.col("id").isNotNull() | (F.col("end") == F.col("at") + 1) | F.col("piece").isNull())
-        .select("number", "unit", "spelled", packed.alias("edge"))
+        .withColumn("at", F.explode_outer(starts))
+        .withColumn("n", F.explode_outer(lengths))
+        .withColumn("piece", F.col("unit").substr(at + 1, n))
+        .withColumn("key", F.xxhash64("piece"))
+        .join(F.broadcast(pieces), "key", "left")
+        .withColumns({"rank": F.when(same, F.col("rank")), "id": F.when(same, F.col("id"))})
+        .filter(F.col("id").isNotNull() | (n == 1) | n.isNull())
+        .select("number", "unit", "spelled", F.when(n.isNotNull(), packed).alias("edge"))
         .groupBy("number", "unit", "spelled")
         .agg(F.sort_array(F.collect_list("edge")).alias("edges"))
         .select("unit", "spelled", "edges")
@@ -400,8 +400,13 @@ class _Units:
         self.lengths = np.array([len(b) for b in spelled])
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.spelled = np.frombuffer(b"".join(spelled), np.uint8)
-        # Word to the bytes of its ids and those that they are decoded to.
-        self.known = Remembered(REMEMBERED)
+        self._forget()
+
+    def _forget(self) -> None:
+        # Each known word's number; by number, the ends of its ids and of its decoded bytes, in a row.
+        self.known: dict[str, int] = {}
+        self.ids, self.text = np.zeros(0, f"<u{self.width}"), np.zeros(0, np.uint8)
+        self.ends = np.zeros((1, 2), "i8")
 
     def _found(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all units in a row, and the number of each unit's."""
@@ -429,29 +434,37 @@ class _Units:
     def _learn(self, words: list[str]) -> None:
         units, n_units = self.cutter(words)
         ids, lengths = self._found(units)
-        # Ends of the units, then of the words, in ids; and the latter in decoded bytes.
         ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(n_units)]
         sizes = self.lengths[ids]
-        text = self.spelled[np.repeat(self.starts[ids], sizes) + _within(sizes)].tobytes()
-        text_ends = np.concatenate(([0], np.cumsum(sizes)))[ends].tolist()
-        raw, start, text_start = ids.tobytes(), 0, 0
-        for word, end, text_end in zip(words, (ends * self.width).tolist(), text_ends):
-            self.known[word] = raw[start:end], text[text_start:text_end]
-            start, text_start = end, text_end
-
-    def __call__(self, texts: list[str | None]) -> tuple[list[bytes], list[bytes]]:
-        """The ids of each text, as bytes, and the bytes that they are decoded to."""
+        text = self.spelled[np.repeat(self.starts[ids], sizes) + _within(sizes)]
+        text_ends = np.concatenate(([0], np.cumsum(sizes)))[ends]
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.ends = np.concatenate((self.ends, np.stack((ends, text_ends), 1) + self.ends[-1]))
+        self.ids, self.text = np.concatenate((self.ids, ids)), np.concatenate((self.text, text))
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        found = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = found < 0
+        if missing.any():
+            new = set(compress(words, missing.tolist()))
+            if len(self.known) + len(new) > REMEMBERED and self.known:
+                self._forget()
+                return self._numbers(words)
+            self._learn(list(new))
+            found[missing] = [self.known[w] for w in compress(words, missing.tolist())]
+        return found
+
+    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of all texts in a row and their ends, and the bytes that they are decoded to and their ends."""
         split = [words_of(text) if text else [] for text in texts]
-        found = [list(map(self.known.get, words)) for words in split]
-        new = set().union(*(compress(words, map(not_, own)) for words, own in zip(split, found)))
-        if new:
-            unknown = self.known.missing(new)
-            if unknown:
-                self._learn(unknown)
-            found = [[f or self.known[w] for w, f in zip(words, own)] for words, own in zip(split, found)]
-        return [b"".join([f[0] for f in own]) for own in found], [
-            b"".join([f[1] for f in own]).removeprefix(b" ") for own in found
-        ]
+        numbers = self._numbers(list(chain.from_iterable(split)))
+        last = np.cumsum([0, *map(len, split)])
+        out = []
+        for kind, values in enumerate((self.ids, self.text)):
+            starts = self.ends[numbers, kind]
+            sizes = self.ends[numbers + 1, kind] - starts
+            out += [values[np.repeat(starts, sizes) + _within(sizes)], np.concatenate(([0], np.cumsum(sizes)))[last]]
+        return tuple(out)
 
 
 _LOADED: dict[tuple[str | None, ...], _Units] = {}
@@ -482,17 +495,14 @@ def encode(
     schema = "doc_id long, ids array<int>" + (DIGESTS if digests else "")
     bytes_of = spark.sparkContext.broadcast(model.bytes_of())
 
-    def result(doc_ids: pa.Array, data: list[bytes], texts: list[bytes] | None = None) -> pa.RecordBatch:
-        arrays = [np.frombuffer(d, f"<u{width}") for d in data]
-        ends = np.cumsum([0, *map(len, arrays)]).astype("i4")
-        flat = np.concatenate(arrays).astype("i4") if arrays else np.array([], "i4")
-        columns = [doc_ids, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+    def result(doc_ids: pa.Array, ids: np.ndarray, ends: np.ndarray, texts: list[bytes] | None) -> pa.RecordBatch:
+        columns = [doc_ids, pa.ListArray.from_arrays(pa.array(ends.astype("i4")), pa.array(ids.astype("i4")))]
         names = ["doc_id", "ids"]
         if digests:
-            texts = texts or [text_of(a.tolist(), bytes_of.value).encode() for a in arrays]
+            wide, bounds = memoryview(ids.astype("<u4")).cast("B"), (4 * ends).tolist()
             columns += [
-                pa.array([len(a) for a in arrays], pa.int64()),
-                pa.array([zlib.crc32(a.astype("<u4").tobytes()) for a in arrays], pa.int64()),
+                pa.array(np.diff(ends), pa.int64()),
+                pa.array([zlib.crc32(wide[a:b]) for a, b in zip(bounds, bounds[1:])], pa.int64()),
                 pa.array([zlib.crc32(t) for t in texts], pa.int64()),
             ]
             names += ["n_tokens", "ids_crc32", "decoded_crc32"]
@@ -505,15 +515,20 @@ def encode(
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
-                yield result(part.column("doc_id"), *_LOADED[files](part.column("text").to_pylist()))
+                ids, ends, spelled, stops = _LOADED[files](part.column("text").to_pylist())
+                raw, stops = spelled.tobytes(), stops.tolist()
+                texts = [raw[a:b].removeprefix(b" ") for a, b in zip(stops, stops[1:])]
+                yield result(part.column("doc_id"), ids, ends, texts)
         _LOADED.clear()  # an idle worker would keep its words
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, len(batch), SLICE):
                 part = batch.slice(at, SLICE)
-                data = [np.array(ids or [], f"<u{width}").tobytes() for ids in part.column("ids").to_pylist()]
-                yield result(part.column("doc_id"), data)
+                lists = [ids or [] for ids in part.column("ids").to_pylist()]
+                texts = [text_of(ids, bytes_of.value).encode() for ids in lists]
+                flat = np.fromiter(chain.from_iterable(lists), "i8", sum(map(len, lists)))
+                yield result(part.column("doc_id"), flat, np.cumsum([0, *map(len, lists)]), texts)
 
     if units.count() <= loaded:
         files = mapped_units(units, width)
