@@ -45,6 +45,68 @@ NOTICES = [
         " the mpl was not distributed with this file you can obtain one",
         "mpl-2",
     ),
+    (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
+        " granted provided that the above copyright notice and this permission notice appear in all copies",
+        "isc",
+    ),
+    (
+        "the software is provided as is without warranty of any kind express or implied including but not limited to"
+        " the warranties of merchantability fitness for a particular purpose and noninfringement",
+        "mit",
+    ),
+    (
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions"
+        " of the software",
+        "mit",
+    ),
+    (
+        "redistributions of source code must retain the above copyright notice this list of conditions and the"
+        " following disclaimer redistributions in binary form must reproduce the above copyright notice this list of"
+        " conditions and the following disclaimer in the documentation and or other materials provided with the"
+        " distribution",
+        "bsd",
+    ),
+    (
+        "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote"
+        " products derived from this software without specific prior written permission",
+        "bsd-3",
+    ),
+    (
+        "unless required by applicable law or agreed to in writing software distributed under the license is"
+        " distributed on an as is basis without warranties or conditions of any kind either express or implied",
+        "apache-2",
+    ),
+    (
+        "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser"
+        " general public license as published by the free software foundation",
+        "lgpl",
+    ),
+    (
+        "it under the terms of the gnu affero general public license as published by the free software foundation",
+        "agpl",
+    ),
+    (
+        "this software is provided as is without any express or implied warranty in no event will the authors be held"
+        " liable for any damages arising from the use of this software",
+        "zlib",
+    ),
+    (
+        "permission is hereby granted free of charge to any person or organization obtaining a copy of the software"
+        " and accompanying documentation covered by this license",
+        "boost",
+    ),
+    ("this is free and unencumbered software released into the public domain", "unlicense"),
+    ("licensed under the creative commons attribution sharealike 4 0 international license", "cc-by-sa"),
+    (
+        "to the extent possible under law the author has waived all copyright and related or neighboring rights to"
+        " this work",
+        "cc0",
+    ),
+    (
+        "this program and the accompanying materials are made available under the terms of the eclipse public license",
+        "epl",
+    ),
     ("all rights reserved", "all-rights-reserved"),
 ]
 # Words in a k-gram: short ones for phrases, of which every word must stand.
@@ -78,7 +140,7 @@ def _gram_hash(gram: list[str]) -> Column:
 def template_grams(spark: SparkSession, phrases=PHRASES, notices=NOTICES) -> DataFrame:
     """A row per template position: gram, template, its label and words, position.
 
-    As many rows as the given templates have words: a few hundred.
+    As many rows as the given templates have words: some hundreds.
     """
     rows = []
     for kind, k, templates in (("phrase", PHRASE_GRAM, phrases), ("notice", NOTICE_GRAM, notices)):

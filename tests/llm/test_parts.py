@@ -463,6 +463,35 @@ def test_changed_notices_are_found(spark):
         assert (got[doc_id].n_words, got[doc_id].n_base) == (n, len(places))
 
 
+def plain_cover(text, notice, k=3):
+    """The share of a notice's words in k-grams that the text has, wherever they stand."""
+    own, words = brute.license_words(text), notice.split()
+    grams = {tuple(own[i : i + k]) for i in range(len(own) - k + 1)}
+    covered = {i + j for i in range(len(words) - k + 1) if tuple(words[i : i + k]) in grams for j in range(k)}
+    return len(covered) / len(words)
+
+
+def test_grants_are_labelled(spark):
+    rows = [
+        (1, "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+        (2, "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+            "the following conditions are met:\n1. Redistributions of source code must retain the above copyright notice."),
+        (3, "Permission to walk here at any hour is granted by the owner of the field, with or without a dog."),
+        (4, None),
+    ]
+    got = {r.doc_id: r for r in licenses.report(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i].labels for i in (1, 2, 3, 4)] == ["isc", "bsd", "", ""]
+    for doc_id, text in rows:
+        best = max(plain_cover(text, notice) for notice, _ in licenses.NOTICES)
+        assert got[doc_id].score == pytest.approx(best)
+
+
+def test_templates_are_plain_words():
+    for text, label in [*licenses.PHRASES, *licenses.NOTICES]:
+        assert text == " ".join(brute.license_words(text)) and label
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text("ab▁ 日é\n\U0001f600", min_size=1, max_size=12), max_size=20))
 def test_words_are_cut_alike_one_by_one_and_together(words):
