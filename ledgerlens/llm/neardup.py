@@ -41,7 +41,7 @@ _B = _random.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
 
 # A pair whose sketches, one bit a hash value, agree in fewer bits is no candidate.
 # At similarity 0.8 a bit agrees with a chance of 0.9, and this lies six standard
-# deviations below what is expected: one in 1e9 such pairs goes.
+# deviations below what is expected: by the binomial tail 1.4e-7 of such pairs go.
 SKETCH_DEVIATIONS = 6
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
 
@@ -216,9 +216,10 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
             F.col("node").alias(side), F.col("node_set").alias(f"{side}_set"), F.col("shingles").alias(f"{side}_shingles")
         )
 
+    # Dealt by id at every size: sets are wide, and how many are wanted is not known.
     return (
-        pairs.join(of("a"), ["a", "a_set"])
-        .join(of("b"), ["b", "b_set"])
+        pairs.join(of("a").hint("merge"), ["a", "a_set"])
+        .join(of("b").hint("merge"), ["b", "b_set"])
         .select(F.col("a").alias("u"), F.col("b").alias("v"), "a_shingles", "b_shingles")
         .mapInPandas(similar, "u long, v long")
     )
@@ -372,7 +373,7 @@ def settled(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     ids = _small(rows.select("node", "node_set").distinct())
     once = sets.join(ids, ["node", "node_set"], "left_semi").dropDuplicates(["node", "node_set"])
     return (
-        _blocks(rows.join(once, ["node", "node_set"]), SET_BLOCK)
+        _blocks(rows.join(once.hint("merge"), ["node", "node_set"]), SET_BLOCK)
         .groupBy("region", "first", "second")
         .applyInPandas(of, "u long, v long")
         .distinct()
