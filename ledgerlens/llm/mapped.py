@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 import numpy as np
@@ -24,14 +23,13 @@ def write_arrays(folder: str, arrays: list[np.ndarray]) -> str:
 
 
 def map_arrays(uri: str) -> list[np.ndarray]:
-    """The arrays of a file, mapped into memory; a remote file is copied to the worker's disk first."""
+    """The arrays of a file: mapped into memory, or read into it if the shared folder is no mounted one."""
     store, path = fs.FileSystem.from_uri(uri)
-    if not isinstance(store, fs.LocalFileSystem):
-        with tempfile.NamedTemporaryFile(delete=False) as copy, store.open_input_stream(path) as source:
-            while part := source.read(1 << 20):
-                copy.write(part)
-        path = copy.name
-    data = np.memmap(path, np.uint8, "r")
+    if isinstance(store, fs.LocalFileSystem):
+        data = np.memmap(path, np.uint8, "r")
+    else:
+        with store.open_input_file(path) as source:
+            data = np.frombuffer(source.read_buffer(), np.uint8)
     at, arrays = 8, []
     for _ in range(int(data[:8].view("<i8")[0])):
         kind = data[at : at + 8].tobytes().strip().decode()

@@ -9,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import components, html, licenses, lines, mixing, neardup, ngram_lm, quality, sentencepiece, tokens_file, topk
+from ledgerlens.llm import components, html, licenses, lines, mapped, mixing, neardup, ngram_lm, quality, sentencepiece, tokens_file, topk
 from ledgerlens.llm.eliasfano import EliasFano
 from ledgerlens.session import scratch_path
 
@@ -540,6 +540,19 @@ def test_small_vocabularies(spark, n_words, shards):
         assert abs(row.score - model) <= tokens / ngram_lm.STEPS
 
 
+def test_arrays_are_read_where_they_cannot_be_mapped(tmp_path, monkeypatch):
+    own = [np.arange(1000, dtype="<i8"), np.array([], "<u2"), np.array([7, 9, 11], "<u4")]
+    uri = mapped.write_arrays(str(tmp_path), own)
+    assert all((a == b).all() for a, b in zip(mapped.map_arrays(uri), own, strict=True))
+    remote = mapped.fs.SubTreeFileSystem("/", mapped.fs.LocalFileSystem())
+
+    class Remote:
+        from_uri = staticmethod(lambda uri: (remote, uri.removeprefix("/")))
+
+    monkeypatch.setattr(mapped.fs, "FileSystem", Remote)
+    assert all((a == b).all() for a, b in zip(mapped.map_arrays(uri), own, strict=True))
+
+
 def test_a_hot_context_is_spread():
     shards = ngram_lm._pair_shards(np.zeros(1000, "i8"), np.arange(1000), np.full(1000, 10**8), 40)
     assert len(set(shards.tolist())) > 20
