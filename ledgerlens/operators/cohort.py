@@ -14,9 +14,9 @@ from ledgerlens.functions.dates import cohort_index
 from ledgerlens.operators.metrics import ratio
 
 SCOPES = ("all", "home", "away")
-# Months in a word of a customer's calendar, and its words: 42 years from the
+# Months in a word of a customer's calendar, and its words: 31 years from the
 # first to the last purchase of one customer.
-WORD_MONTHS, WORDS = 63, 8
+WORD_MONTHS, WORDS = 31, 12
 
 
 def first_months(sales: DataFrame) -> DataFrame:
@@ -53,41 +53,37 @@ def _month_number(month: Column | str) -> Column:
 def customer_calendar(sales: DataFrame, words: int = WORDS) -> DataFrame:
     """One row per customer: the first and the last month, and all active ones as bits.
 
-    Month number n is bit n % WORD_MONTHS of word n div WORD_MONTHS % words, in
-    ``home_0`` and so on for home sales and ``away_0`` and so on for others. One
-    hash aggregate of fixed width: rows are combined map-side, whatever a
-    customer's share of them, and shuffled once, by customer. Calendars of two
-    parts of the sales merge by the same aggregate (`merge_calendars`). Also
-    reads ``customer_grain``.
+    Month number n has two bits, for home and for other sales, at place n %
+    WORD_MONTHS of word n div WORD_MONTHS % words; the words are ``word_0`` and
+    so on. One hash aggregate of fixed width: rows are combined map-side,
+    whatever a customer's share of them, and shuffled once, by customer.
+    Calendars of two parts of the sales merge by the same aggregate
+    (`merge_calendars`). Also reads ``customer_grain``.
     """
-    number = _month_number("month")
-    word = F.floor(number / WORD_MONTHS) % words
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), number % WORD_MONTHS)
-    home = F.coalesce("is_home", F.lit(False))
-    # Word, bit and side are no columns of their own: the optimizer drops a removal
-    # of duplicates below an aggregate that lies right on it and ignores them.
+    number = "(year(month) * 12 + month(month) - 1)"
+    away = "IF(coalesce(is_home, FALSE), 0, 1)"
+    bit = f"shiftleft(1L, CAST({number} % {WORD_MONTHS} * 2 + {away} AS INT))"
+    word = f"{number} DIV {WORD_MONTHS} % {words}"
+    # Word and bit are no columns of their own: the optimizer drops a removal of
+    # duplicates below an aggregate that lies right on it and ignores them. As
+    # factors, not conditions, they are computed once for all words of a row.
     return (
         sales.filter(F.col("customer_id").isNotNull() & F.col("month").isNotNull())
         .groupBy("customer_id")
         .agg(
             F.min("month").alias("first_month"),
             F.max("month").alias("last_month"),
-            *[
-                F.bit_or(F.when((word == w) & on_side, bit).otherwise(0)).alias(f"{side}_{w}")
-                for side, on_side in (("home", home), ("away", ~home))
-                for w in range(words)
-            ],
+            *[F.expr(f"bit_or({bit} * CAST({word} = {w} AS BIGINT)) AS word_{w}") for w in range(words)],
         )
     )
 
 
 def merge_calendars(calendars: DataFrame) -> DataFrame:
     """One calendar per customer from the union of some of the same width."""
-    bits = [c for c in calendars.columns if c.startswith(("home_", "away_"))]
     return calendars.groupBy("customer_id").agg(
         F.min("first_month").alias("first_month"),
         F.max("last_month").alias("last_month"),
-        *[F.bit_or(c).alias(c) for c in bits],
+        *[F.bit_or(c).alias(c) for c in calendars.columns if c.startswith("word_")],
     )
 
 
@@ -97,23 +93,20 @@ def calendar_months(calendars: DataFrame) -> DataFrame:
     A customer whose months span more than the words hold fails the query: give
     ``customer_calendar`` more of them.
     """
-    words = sum(c.startswith("home_") for c in calendars.columns)
+    words = [c for c in calendars.columns if c.startswith("word_")]
     span = _month_number("last_month") - _month_number("first_month")
-    too_long = F.raise_error(F.lit(f"a customer's months span more than {words} words")).cast("int")
-    offset = F.sequence(F.lit(0), F.when(span < words * WORD_MONTHS, span).otherwise(too_long))
+    too_long = F.raise_error(F.lit(f"a customer's months span more than {len(words)} words")).cast("int")
+    offset = F.sequence(F.lit(0), F.when(span < len(words) * WORD_MONTHS, span).otherwise(too_long))
     number = _month_number("first_month") + F.col("offset")
-
-    def active(side: str) -> Column:
-        word = F.get(F.array(*[F.col(f"{side}_{w}") for w in range(words)]), (F.floor(number / WORD_MONTHS) % words).cast("int"))
-        return F.getbit(word, number % WORD_MONTHS) == 1
-
+    word = F.get(F.array(*words), (F.floor(number / WORD_MONTHS) % len(words)).cast("int"))
     return (
         calendars.withColumn("offset", F.explode(offset))
+        .withColumns({"word": word, "place": number % WORD_MONTHS * 2})
         .select(
             "customer_id",
             F.add_months("first_month", F.col("offset")).alias("month"),
-            active("home").alias("home"),
-            active("away").alias("away"),
+            (F.getbit("word", F.col("place")) == 1).alias("home"),
+            (F.getbit("word", F.col("place") + 1) == 1).alias("away"),
             F.col("first_month").alias("cohort_month"),
             (F.col("offset") + 1).alias("cohort_index"),
         )
@@ -121,13 +114,13 @@ def calendar_months(calendars: DataFrame) -> DataFrame:
     )
 
 
-def customer_months(sales: DataFrame) -> DataFrame:
+def customer_months(sales: DataFrame, words: int = WORDS) -> DataFrame:
     """One row per customer and active month, with cohort and home/away flags.
 
     Read off the customers' calendars: one shuffle, no sort. Also reads
     ``customer_grain``.
     """
-    return calendar_months(customer_calendar(sales))
+    return calendar_months(customer_calendar(sales, words))
 
 
 def calendar_span(months: DataFrame) -> int:

@@ -408,7 +408,7 @@ def rfm_base(spark, sf_dir):
 
 @query
 def rfm_edges(spark, sf_dir):
-    return rfm.rfm_edges(_base(spark, sf_dir))
+    return rfm.rfm_edges(materialise(_base(spark, sf_dir)))
 
 
 @query

@@ -70,12 +70,17 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Store ``df`` reliably, for plans that read one intermediate several times."""
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared scratch folder."""
     return f"{_ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Store ``df`` in the shared scratch folder, for plans that read one intermediate several times.
+
+    As parquet: it is computed once, its size is known to later joins, and they
+    read the columns that they need.
+    """
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
