@@ -241,9 +241,24 @@ def _small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
-def crowded_regions(classes: DataFrame) -> DataFrame:
-    """What more than REGION classes share as a tree's MIN_DEPTH leading values."""
-    return classes.select(_prefixes()).groupBy("region").count().filter(F.col("count") > REGION).select("region")
+def _rooted(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """A row per tree and class: region, the class, and the component that it is in."""
+    return (
+        classes.select("node", "node_set", "n_shingles", "keys", "sketch")
+        .join(roots, "node", "left")
+        .select(_prefixes(), "node", "node_set", "n_shingles", "sketch", F.coalesce("component", "node").alias("root"))
+    )
+
+
+def crowded_regions(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """What more than REGION classes, not all of one component, share as a tree's MIN_DEPTH leading values."""
+    return (
+        _rooted(classes, roots)
+        .groupBy("region")
+        .agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
+        .filter((F.col("members") > REGION) & (F.col("low") < F.col("high")))
+        .select("region")
+    )
 
 
 def crowded(classes: DataFrame, regions: DataFrame, roots: DataFrame, only: DataFrame | None = None) -> DataFrame:
@@ -251,12 +266,7 @@ def crowded(classes: DataFrame, regions: DataFrame, roots: DataFrame, only: Data
 
     With ``only``, a table of region, node and node_set, just those rows take part.
     """
-    rows = (
-        classes.select("node", "node_set", "n_shingles", "keys", "sketch")
-        .join(roots, "node", "left")
-        .select(_prefixes(), "node", "node_set", "n_shingles", "sketch", F.coalesce("component", "node").alias("root"))
-        .join(_small(regions), "region", "left_semi")
-    )
+    rows = _rooted(classes, roots).join(_small(regions), "region", "left_semi")
     if only is not None:
         rows = rows.join(_small(only), ["region", "node", "node_set"], "left_semi")
     apart = (
@@ -425,7 +435,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
     rest = stored(rest.filter(apart).select("a", "a_set", "b", "b_set"), "rest")
     links = stored(links.union(confirmed(rest, sets, similarity)).distinct(), "links")
     roots = components(links)
-    regions = stored(crowded_regions(classes), "regions")
+    regions = stored(crowded_regions(classes, roots), "regions")
     rows = stored(crowded(classes, regions, roots), "crowded")
     if not rows.isEmpty():
         links = links.union(confirmed(stored(hub_pairs(rows, similarity), "hubs"), sets, similarity))
