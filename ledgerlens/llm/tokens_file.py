@@ -36,12 +36,12 @@ from ledgerlens.session import scratch_path
 
 END_ID = 2
 # Words, and parts of words, whose ids a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
-_WORD = re.compile(r"[^\x20\x09-\x0d]+")
 # Signs up to U+024F, but for the white space among them.
 _PLAIN = re.compile("[^\x00-\x20\x85\xa0\u0250-\U0010ffff]+")
 _PART = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+_SIGNS = ".,;:!?"
 _LENGTH, _CHECK = np.dtype("<u8"), np.dtype("<u4")
 _ENTRY = np.dtype([("doc_id", "<i8"), ("no_id", "u1"), ("offset", "<u8"), ("n_tokens", "<u8")])
 _MASK = 0xA282EAD8
@@ -90,17 +90,19 @@ class Remembered(dict):
         super().__init__()
         self.most, self.old = most, {}
 
-    def missing(self, keys: set[str]) -> list[str]:
+    def missing(self, keys: set[bytes]) -> list[bytes]:
         """The keys that must be found; afterwards those of before are at hand again."""
         if len(self) > self.most:
             self.old = dict(self)
             self.clear()
         unknown = []
-        for key in [k for k in keys if k not in self]:
-            if key in self.old:
-                self[key] = self.old[key]
-            else:
-                unknown.append(key)
+        for key in keys:
+            if key not in self:
+                found = self.old.get(key)
+                if found is None:
+                    unknown.append(key)
+                else:
+                    self[key] = found
         return unknown
 
 
@@ -120,39 +122,60 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        size = self.tokenizer.get_vocab_size()
+        self.width = 2 if size <= 1 << 16 else 4
         self.model = self.tokenizer.model
         self.words, self.parts = Remembered(REMEMBERED), Remembered(REMEMBERED)
         self.end = END_ID.to_bytes(self.width, "little")
+        self.written = [i.to_bytes(self.width, "little") for i in range(size)]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, f"<u{self.width}").tobytes() for e in found]
 
-    def _learn(self, words: list[str]) -> None:
-        plain, other = {}, []
-        for word in words:
+    def _learn(self, words: list[bytes]) -> None:
+        plain, other = [], []
+        for raw in words:
+            word = raw.decode()
             if _PLAIN.fullmatch(word) and "<|" not in word:
-                plain[word] = _PART.findall(word.lower())
+                word = word.lower()
+                # Letters, with a sign behind them or not, need no search for the parts.
+                if word.isalpha():
+                    plain.append((raw, (word,)))
+                elif word[-1] in _SIGNS and word[:-1].isalpha():
+                    plain.append((raw, (word[:-1], word[-1])))
+                else:
+                    plain.append((raw, _PART.findall(word)))
             else:
-                other.append(word)
-        parts = self.parts.missing({p for own in plain.values() for p in own})
-        for part in parts:
+                other.append((raw, word))
+        written = self.written
+        for part in self.parts.missing({p for _, own in plain for p in own}):
             # A part is one step of the tokenizer, its model's: bytes to ids.
-            ids = [t.id for t in self.model.tokenize(part.encode().decode("latin-1").translate(_BYTES))]
-            self.parts[part] = np.array(ids, f"<u{self.width}").tobytes()
-        for word, own in plain.items():
-            self.words[word] = b"".join(map(self.parts.__getitem__, own))
-        self.words.update(zip(other, self._encode(other)))
+            spelled = part if part.isascii() else part.encode().decode("latin-1").translate(_BYTES)
+            self.parts[part] = b"".join([written[t.id] for t in self.model.tokenize(spelled)])
+        for raw, own in plain:
+            self.words[raw] = self.parts[own[0]] if len(own) == 1 else b"".join([self.parts[p] for p in own])
+        if other:
+            self.words.update(zip([raw for raw, _ in other], self._encode([word for _, word in other])))
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 100):
-            split = [_WORD.findall(text) for text in texts[at : at + 100]]
-            unknown = self.words.missing(set().union(*split))
-            if unknown:
-                self._learn(unknown)
-            for words in split:
-                yield b"".join(map(self.words.__getitem__, words)) + self.end
+        for at in range(0, len(texts), 10):
+            # Words end at ASCII white space, as those of bytes do.
+            split = [text.encode().split() for text in texts[at : at + 10]]
+            found = [list(map(self.words.get, words)) for words in split]
+            unknown = {w for words, ids in zip(split, found) if None in ids for w, i in zip(words, ids) if i is None}
+            if unknown and (new := self.words.missing(unknown)):
+                self._learn(new)
+            for words, ids in zip(split, found):
+                # What was at hand is kept in ``ids``, as learning may have put it among the old.
+                if None in ids:
+                    ids = [self.words[w] if i is None else i for w, i in zip(words, ids)]
+                yield b"".join(ids) + self.end
+
+    def forget(self) -> None:
+        """Keep only the later words: idle workers keep their memory, next to others at work."""
+        for found in (self.words, self.parts):
+            found.old = {}
 
 
 _ENCODERS: dict[int, _Encoder] = {}
@@ -201,6 +224,7 @@ def write_tokens(docs: DataFrame, model: str, path: str) -> DataFrame:
                 n += len(entries)
                 index.write(np.array(entries, _ENTRY).tobytes())
                 entries = []
+        encoder.forget()
         if n:
             yield pd.DataFrame(
                 {"shard": [shard], "path": [f"{path}/{name}"], "width": [encoder.width], "n_records": [n], "n_tokens": [tokens]}
