@@ -26,9 +26,9 @@ NEXT = 2
 FIRST_TREES = 4
 # Classes of a block: pairs of blocks are a task's work where a region is crowded.
 BLOCK, SET_BLOCK = 2048, 512
-# Shingles whose common ones are counted together.
-COLUMNS = 8192
-# Up to so many ids, 16 bytes each, are broadcast to thin the table of sets.
+# Rows of a pair of blocks, pairs of rows, and shingles that are compared at once.
+STRIP, PAIRS_AT_ONCE, COLUMNS = 128, 8192, 2048
+# Up to so many rows of ids, 16 bytes each, are broadcast to thin or to mark a table.
 BROADCAST_IDS = 4_000_000
 
 # Bytes of a shingle's hash that are kept: two different shingles of two texts
@@ -44,8 +44,10 @@ _B = _random.integers(0, 1 << 63, TREES * DEPTH, dtype=np.uint64)
 # deviations below what is expected: by the binomial tail 1.4e-7 of such pairs go.
 SKETCH_DEVIATIONS = 6
 _ONES = np.array([bin(b).count("1") for b in range(256)], np.uint8)
+# Bits of a set's parity: four a shingle, as a power of two.
+LEAST_BITS, MOST_BITS = 1 << 8, 1 << 17
 
-SETS = "doc_id long, n_shingles long, set_id binary, shingles binary, keys binary, sketch binary"
+SETS = "doc_id long, n_shingles long, set_id binary, shingles binary, keys binary, sketch binary, parity binary"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -88,13 +90,36 @@ def _keys(values: np.ndarray) -> tuple[bytes, bytes]:
     return keys, np.packbits((least >> np.uint64(16)).astype(np.uint8) & 1).tobytes()
 
 
+def _parity(values: np.ndarray) -> bytes:
+    """For each remainder of the hashes, whether an odd number of shingles has it.
+
+    Where the parities of two sets differ, a shingle is in one of them alone. So
+    two sets differ in as many shingles at least, and a pair that may not differ
+    in so many is none, without exception.
+    """
+    bits = min(max(1 << (4 * len(values) - 1).bit_length(), LEAST_BITS), MOST_BITS)
+    places = (values & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(places, minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(parity: bytes, size: int) -> np.ndarray:
+    """The parity of fewer remainders, ``size`` bytes."""
+    return np.bitwise_xor.reduce(np.frombuffer(parity, np.uint64).reshape(-1, size // 8), axis=0)
+
+
+def _may_be_similar(differing: np.ndarray, both: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether sets of ``both`` shingles together, that differ in so many, may have that similarity."""
+    percent = round(100 * similarity)
+    return differing.astype(np.int64) * (100 + percent) <= both * (100 - percent)
+
+
 def _least_agreement(similarity: float) -> float:
     bits, chance = TREES * DEPTH, (1 + similarity) / 2
     return bits * chance - SKETCH_DEVIATIONS * (bits * chance * (1 - chance)) ** 0.5
 
 
 def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
-    """A row per document: n_shingles, set_id (a digest), shingles, keys and sketch; null without words."""
+    """A row per document: n_shingles, set_id (a digest), shingles, keys, sketch and parity; null without words."""
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -104,10 +129,10 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
                     values = shingles(text, size) if text else np.array([], np.uint64)
                     if len(values):
                         data = _packed(values)
-                        rows.append((len(values), xxhash.xxh3_128_digest(data), data, *_keys(values)))
+                        rows.append((len(values), xxhash.xxh3_128_digest(data), data, *_keys(values), _parity(values)))
                     else:
-                        rows.append((0, None, None, None, None))
-                frame = pd.DataFrame(rows, columns=["n_shingles", "set_id", "shingles", "keys", "sketch"])
+                        rows.append((0, None, None, None, None, None))
+                frame = pd.DataFrame(rows, columns=["n_shingles", "set_id", "shingles", "keys", "sketch", "parity"])
                 frame.insert(0, "doc_id", part["doc_id"].astype("Int64").to_numpy())
                 yield frame.astype({"doc_id": "Int64"})
         forget()
@@ -190,16 +215,56 @@ def candidates(classes: DataFrame, similarity: float) -> DataFrame:
     return found.groupBy("a", "a_set", "b", "b_set").agg(F.max("near").alias("near"))
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those pairs (as links u, v) whose full shingle sets are similar enough."""
+def _small(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _with_sets(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """``pairs`` with n_shingles and that column of both sets."""
     ids = (
         pairs.select(F.col("a").alias("node"), F.col("a_set").alias("node_set"))
         .union(pairs.select("b", "b_set"))
         .distinct()
     )
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    wanted = sets.join(ids, ["node", "node_set"], "left_semi")
+    wanted = sets.join(_small(ids), ["node", "node_set"], "left_semi")
+
+    def of(side: str) -> DataFrame:
+        return wanted.select(
+            F.col("node").alias(side),
+            F.col("node_set").alias(f"{side}_set"),
+            F.col("n_shingles").alias(f"{side}_n"),
+            F.col(column).alias(f"{side}_{column}"),
+        )
+
+    # Dealt by id at every size: sets are wide, and how many are wanted is not known.
+    return (
+        pairs.select("a", "a_set", "b", "b_set")
+        .join(of("a").hint("merge"), ["a", "a_set"])
+        .join(of("b").hint("merge"), ["b", "b_set"])
+    )
+
+
+def possible(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs that the parities of their sets do not rule out, each once."""
+
+    def fits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            differing = np.zeros(len(batch), np.int64)
+            for k, (x, y) in enumerate(zip(batch["a_parity"], batch["b_parity"])):
+                size = min(len(x), len(y))
+                differing[k] = np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum(dtype=np.int64)
+            ok = _may_be_similar(differing, (batch["a_n"] + batch["b_n"]).to_numpy(), similarity)
+            yield batch.loc[ok, ["a", "a_set", "b", "b_set"]]
+
+    found = _with_sets(pairs, sets, "parity").mapInPandas(fits, "a long, a_set long, b long, b_set long")
+    return stored(found.distinct(), "possible")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs (as links u, v) whose full shingle sets are similar enough.
+
+    The sets, which are wide, are fetched for the pairs that their parities leave.
+    """
     percent = round(100 * similarity)
 
     def similar(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,15 +276,8 @@ def confirmed(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
                 ok.append(100 * (len(both) - union) >= percent * union)
             yield batch.loc[ok, ["u", "v"]]
 
-    def of(side: str) -> DataFrame:
-        return wanted.select(
-            F.col("node").alias(side), F.col("node_set").alias(f"{side}_set"), F.col("shingles").alias(f"{side}_shingles")
-        )
-
-    # Dealt by id at every size: sets are wide, and how many are wanted is not known.
     return (
-        pairs.join(of("a").hint("merge"), ["a", "a_set"])
-        .join(of("b").hint("merge"), ["b", "b_set"])
+        _with_sets(possible(pairs, sets, similarity), sets, "shingles")
         .select(F.col("a").alias("u"), F.col("b").alias("v"), "a_shingles", "b_shingles")
         .mapInPandas(similar, "u long, v long")
     )
@@ -237,45 +295,42 @@ def _prefixes() -> Column:
     ).alias("region")
 
 
-def _small(ids: DataFrame) -> DataFrame:
-    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+def crowded(classes: DataFrame) -> DataFrame:
+    """The classes of which more than REGION share a tree's MIN_DEPTH leading values, a row per such region."""
+    regions = classes.select(_prefixes()).groupBy("region").count().filter(F.col("count") > REGION)
+    regions = stored(regions.select("region"), "regions")
+    rows = classes.select(_prefixes(), "node", "node_set", "n_shingles", "sketch")
+    return stored(rows.join(_small(regions), "region", "left_semi"), "crowded")
 
 
-def _rooted(classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """A row per tree and class: region, the class, and the component that it is in."""
-    return (
-        classes.select("node", "node_set", "n_shingles", "keys", "sketch")
-        .join(roots, "node", "left")
-        .select(_prefixes(), "node", "node_set", "n_shingles", "sketch", F.coalesce("component", "node").alias("root"))
+def still_apart(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of regions that are not one component, with their component as ``root`` and the region's members."""
+    rows = rows.drop("root", "members").join(_small(roots), F.col("node") == F.col("of"), "left")
+    rows = rows.withColumn("root", F.coalesce("component", "node")).drop("of", "component")
+    ends = rows.groupBy("region").agg(
+        F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high")
     )
+    apart = stored(ends.filter("low < high").select("region", "members"), "apart")
+    return stored(rows.join(_small(apart), "region"), "crowded")
 
 
-def crowded_regions(classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """What more than REGION classes, not all of one component, share as a tree's MIN_DEPTH leading values."""
-    return (
-        _rooted(classes, roots)
-        .groupBy("region")
-        .agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter((F.col("members") > REGION) & (F.col("low") < F.col("high")))
-        .select("region")
-    )
-
+def rooted_by(links: DataFrame) -> DataFrame:
+    """``of`` and component (the least node of its component) of all nodes with a link."""
+    return stored(components(links).select(F.col("node").alias("of"), "component"), "roots")
 
-def crowded(classes: DataFrame, regions: DataFrame, roots: DataFrame, only: DataFrame | None = None) -> DataFrame:
-    """Classes of those ``regions`` that are not yet one component.
 
-    With ``only``, a table of region, node and node_set, just those rows take part.
-    """
-    rows = _rooted(classes, roots).join(_small(regions), "region", "left_semi")
-    if only is not None:
-        rows = rows.join(_small(only), ["region", "node", "node_set"], "left_semi")
-    apart = (
-        rows.groupBy("region")
-        .agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high"))
-        .filter("low < high")
-        .select("region", "members")
-    )
-    return rows.join(_small(stored(apart, "apart")), "region")
+def joined_roots(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further ``links`` u, v: those between components decide, and only they are followed."""
+    for side in "uv":
+        found = roots.select(F.col("of").alias(side), F.col("component").alias(f"{side}_root"))
+        links = links.join(_small(found), side, "left").withColumn(f"{side}_root", F.coalesce(f"{side}_root", side))
+    between = links.select(F.col("u_root").alias("u"), F.col("v_root").alias("v")).filter("u <> v")
+    more = rooted_by(between)
+    now = more.select(F.col("of").alias("component"), F.col("component").alias("low"))
+    kept = roots.join(_small(now), "component", "left").select("of", F.coalesce("low", "component").alias("component"))
+    # A node without a link so far; a component's least node is in ``roots`` already.
+    new = more.join(_small(roots.select("of")), "of", "left_anti")
+    return stored(kept.union(new), "roots")
 
 
 def _blocks(rows: DataFrame, size: int) -> DataFrame:
@@ -290,17 +345,23 @@ def _blocks(rows: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _likely(frame: pd.DataFrame, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Which pairs of a pair of blocks may be similar and lie in two components, and all agreements."""
+def _likely(frame: pd.DataFrame, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Which pairs of a pair of blocks may be similar and lie in two components, and all agreements.
+
+    A strip of rows with all others at a time, so that memory does not go with the square of a block.
+    """
     bits = np.unpackbits(np.frombuffer(b"".join(frame["sketch"]), np.uint8).reshape(len(frame), -1), axis=1)
     signs = bits[:, : TREES * DEPTH].astype("f4") * 2 - 1
-    agreed = (signs @ signs.T + TREES * DEPTH) / 2
     n, root, block = (frame[c].to_numpy() for c in ("n_shingles", "root", "block"))
-    ok = (agreed >= _least_agreement(similarity)) & (root[:, None] != root)
-    ok &= np.minimum(n[:, None], n) >= similarity * np.maximum(n[:, None], n) - 1e-9
-    if frame["first"].iloc[0] != frame["second"].iloc[0]:
-        ok &= block[:, None] != block
-    return ok, agreed
+    two = frame["first"].iloc[0] != frame["second"].iloc[0]
+    for at in range(0, len(frame), STRIP):
+        own = slice(at, at + STRIP)
+        agreed = (signs[own] @ signs.T + TREES * DEPTH) / 2
+        ok = (agreed >= _least_agreement(similarity)) & (root[own, None] != root)
+        ok &= np.minimum(n[own, None], n) >= similarity * np.maximum(n[own, None], n) - 1e-9
+        if two:
+            ok &= block[own, None] != block
+        yield ok, agreed
 
 
 HUBS = "a long, a_set long, b long, b_set long"
@@ -310,23 +371,76 @@ def hub_pairs(rows: DataFrame, similarity: float) -> DataFrame:
     """In each pair of blocks, the class that agrees most with all others, with each that may be similar."""
 
     def of(frame: pd.DataFrame) -> pd.DataFrame:
-        ok, agreed = _likely(frame, similarity)
-        hub = int((agreed * ok).sum(axis=1).argmax())
-        with_hub = frame[ok[hub]]
+        hub, most, near, at = 0, -1.0, None, 0
+        for ok, agreed in _likely(frame, similarity):
+            sums = (agreed * ok).sum(axis=1)
+            best = int(sums.argmax())
+            if sums[best] > most:
+                hub, most, near = at + best, sums[best], ok[best]
+            at += len(ok)
+        with_hub = frame[near]
         pairs = pd.DataFrame({"a": with_hub["node"], "a_set": with_hub["node_set"]})
         return pairs.assign(b=frame["node"].iloc[hub], b_set=frame["node_set"].iloc[hub])
 
     return _blocks(rows, BLOCK).groupBy("region", "first", "second").applyInPandas(of, HUBS).distinct()
 
 
+OPEN = "region binary, node long, node_set long"
+
+
 def unsettled(rows: DataFrame, similarity: float) -> DataFrame:
-    """region, node and node_set of the classes that may be similar to one of another component."""
+    """region, node and node_set of the classes that may be similar to one of another component, by their sketches."""
 
     def of(frame: pd.DataFrame) -> pd.DataFrame:
-        return frame.loc[_likely(frame, similarity)[0].any(axis=1), ["region", "node", "node_set"]]
+        found = np.concatenate([ok.any(axis=1) for ok, _ in _likely(frame, similarity)])
+        return frame.loc[found, ["region", "node", "node_set"]]
+
+    return _blocks(rows, BLOCK).groupBy("region", "first", "second").applyInPandas(of, OPEN).distinct()
+
+
+def only(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose region, node and node_set are ``wanted``."""
+    wanted = stored(wanted, "unsettled")
+    return stored(rows.join(_small(wanted), ["region", "node", "node_set"], "left_semi"), "crowded")
+
+
+def _differing(parities: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """In how many shingles rows i and j differ at least."""
+    sizes = np.fromiter(map(len, parities), np.int64, len(parities))
+    common, out = np.minimum(sizes[i], sizes[j]), np.zeros(len(i), np.int64)
+    for size in np.unique(common).tolist():
+        pairs, place = np.flatnonzero(common == size), np.cumsum(sizes >= size) - 1
+        held = np.stack([_folded(parities[k], size) for k in np.flatnonzero(sizes >= size)])
+        step = max(1, PAIRS_AT_ONCE * 256 // size)
+        for at in range(0, len(pairs), step):
+            part = pairs[at : at + step]
+            out[part] = np.bitwise_count(held[place[i[part]]] ^ held[place[j[part]]]).sum(axis=1, dtype=np.int64)
+    return out
+
 
-    schema = "region binary, node long, node_set long"
-    return _blocks(rows, BLOCK).groupBy("region", "first", "second").applyInPandas(of, schema).distinct()
+def undecided(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Of those classes, the ones that the parities of the sets do not rule out either."""
+
+    def of(frame: pd.DataFrame) -> pd.DataFrame:
+        parities, n = frame["parity"].tolist(), frame["n_shingles"].to_numpy()
+        found, at = np.zeros(len(frame), bool), 0
+        for ok, _ in _likely(frame, similarity):
+            i, j = np.nonzero(ok)
+            i += at
+            i, j = i[i < j], j[i < j]
+            near = _may_be_similar(_differing(parities, i, j), n[i] + n[j], similarity)
+            found[i[near]] = found[j[near]] = True
+            at += len(ok)
+        return frame.loc[found, ["region", "node", "node_set"]]
+
+    with_parity = _with_set(rows, sets, "parity")
+    return _blocks(with_parity, BLOCK).groupBy("region", "first", "second").applyInPandas(of, OPEN).distinct()
+
+
+def _with_set(rows: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    ids = _small(rows.select("node", "node_set").distinct())
+    once = sets.select("node", "node_set", column).join(ids, ["node", "node_set"], "left_semi")
+    return rows.join(once.dropDuplicates(["node", "node_set"]).hint("merge"), ["node", "node_set"])
 
 
 def _grouped(linked: np.ndarray) -> np.ndarray:
@@ -366,7 +480,7 @@ def settled(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     percent = round(100 * similarity)
 
     def of(frame: pd.DataFrame) -> pd.DataFrame:
-        ok = _likely(frame, similarity)[0]
+        ok = np.concatenate([strip for strip, _ in _likely(frame, similarity)])
         label, node, n = _grouped(ok), frame["node"].to_numpy(), frame["n_shingles"].to_numpy()
         u, v = [], []
         # Likely pairs lie within a label, so only its sets are compared.
@@ -380,10 +494,8 @@ def settled(rows: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
         links = pd.DataFrame({"u": np.concatenate(u), "v": np.concatenate(v)} if u else {"u": [], "v": []}, dtype="int64")
         return links[links["u"] != links["v"]]
 
-    ids = _small(rows.select("node", "node_set").distinct())
-    once = sets.join(ids, ["node", "node_set"], "left_semi").dropDuplicates(["node", "node_set"])
     return (
-        _blocks(rows.join(once.hint("merge"), ["node", "node_set"]), SET_BLOCK)
+        _blocks(_with_set(rows, sets, "shingles"), SET_BLOCK)
         .groupBy("region", "first", "second")
         .applyInPandas(of, "u long, v long")
         .distinct()
@@ -405,8 +517,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
 
     Where more than REGION classes share MIN_DEPTH leading values of a tree and
     are not one component by then, all of them are compared: with hubs first,
-    and then, on full sets and in blocks, every pair that lies in two components
-    and passes the tests of size and sketch.
+    and then, in blocks, every pair that lies in two components and passes the
+    tests of size and sketch. What the parities of the sets leave of these is
+    compared on full sets.
 
     Null and empty texts, and texts without words, have no shingles and no link.
     A row without an id is linked with nothing, and kept. Rows that share an id
@@ -421,31 +534,29 @@ def near_duplicates(docs: DataFrame, size: int = 5, similarity: float = 0.8) ->
         .withColumn("node_set", F.xxhash64("set_id")),
         "classes",
     )
-    sets = found.select(F.col("doc_id").alias("node"), F.xxhash64("set_id").alias("node_set"), "shingles")
+    sets = found.select(
+        F.col("doc_id").alias("node"), F.xxhash64("set_id").alias("node_set"), "n_shingles", "shingles", "parity"
+    )
     pairs = stored(candidates(classes, similarity), "candidates")
     # A row per class: repeated rows of a document would repeat its pairs.
-    links = stored(confirmed(pairs.filter("near"), sets, similarity).distinct(), "links")
-    roots = components(links)
+    roots = rooted_by(confirmed(pairs.filter("near"), sets, similarity).distinct())
     rest = pairs.filter(~F.col("near"))
     for side in "ab":
-        rest = rest.join(
-            roots.select(F.col("node").alias(side), F.col("component").alias(f"{side}_root")), side, "left"
-        )
+        found_roots = roots.select(F.col("of").alias(side), F.col("component").alias(f"{side}_root"))
+        rest = rest.join(_small(found_roots), side, "left")
     apart = F.coalesce("a_root", "a") != F.coalesce("b_root", "b")
     rest = stored(rest.filter(apart).select("a", "a_set", "b", "b_set"), "rest")
-    links = stored(links.union(confirmed(rest, sets, similarity)).distinct(), "links")
-    roots = components(links)
-    regions = stored(crowded_regions(classes, roots), "regions")
-    rows = stored(crowded(classes, regions, roots), "crowded")
+    roots = joined_roots(roots, confirmed(rest, sets, similarity).distinct())
+    rows = still_apart(crowded(classes), roots)
     if not rows.isEmpty():
-        links = links.union(confirmed(stored(hub_pairs(rows, similarity), "hubs"), sets, similarity))
-        links = stored(links.distinct(), "links")
-        roots = components(links)
-        open_ = stored(unsettled(crowded(classes, regions, roots), similarity), "unsettled")
-        if not open_.isEmpty():
-            rows = stored(crowded(classes, regions, roots, open_), "crowded")
-            roots = components(links.union(settled(rows, sets, similarity)))
-    named = classes.select("set_id", "node").join(roots, "node", "left").select(
+        hubs = stored(hub_pairs(rows, similarity), "hubs")
+        roots = joined_roots(roots, confirmed(hubs, sets, similarity).distinct())
+        rows = still_apart(rows, roots)
+        rows = only(rows, unsettled(rows, similarity))
+        rows = still_apart(only(rows, undecided(rows, sets, similarity)), roots)
+        if not rows.isEmpty():
+            roots = joined_roots(roots, settled(rows, sets, similarity))
+    named = classes.select("set_id", "node").join(_small(roots), F.col("node") == F.col("of"), "left").select(
         "set_id", F.coalesce("component", "node").alias("component_id")
     )
     return (
